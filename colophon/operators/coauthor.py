@@ -17,22 +17,27 @@ BLOCK = 1_000
 def _paired(sized: DataFrame, list_size: str, block: int) -> DataFrame:
     """Pairs of each publication from ``person_id, publication_key, n_authors`` rows.
 
-    The author list of a publication is cut into blocks that each meet the whole list, so a
-    very long list is paired by many tasks. Most publications are one block.
+    Lists of up to ``block`` authors meet in a self-join on the publication, which reuses the
+    partitioning by publication that ``sized`` comes with. Longer lists are cut into blocks
+    that each meet the whole list, so that many tasks share one list.
     """
-    cut = sized.withColumn("blocks", F.ceil(F.col(list_size) / F.lit(block)).cast("int"))
-    left = cut.select(
-        F.col("person_id").alias("author1_id"), "publication_key", "n_authors",
-        F.pmod(F.xxhash64("person_id"), F.col("blocks")).cast("int").alias("block"))
-    right = cut.select(
-        F.col("person_id").alias("author2_id"), "publication_key",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return (
-        left.join(right, ["publication_key", "block"])
-        .where("author1_id < author2_id")
-        .select("author1_id", "author2_id", "publication_key",
-                (F.lit(1.0) / F.col("n_authors")).alias("publ_weight"))
-    )
+    weight = (F.lit(1.0) / F.col("n_authors")).alias("publ_weight")
+
+    def meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        first = left.withColumnRenamed("person_id", "author1_id")
+        second = right.select(F.col("person_id").alias("author2_id"), *on)
+        return first.join(second, on).where("author1_id < author2_id").select(
+            "author1_id", "author2_id", "publication_key", weight)
+
+    short = sized.where(F.col(list_size) <= block)
+    long = sized.where(F.col(list_size) > block).withColumn(
+        "blocks", F.ceil(F.col(list_size) / F.lit(block)).cast("int"))
+    in_block = long.withColumn(
+        "block", F.pmod(F.xxhash64("person_id"), F.col("blocks")).cast("int"))
+    in_all = long.withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return meet(short, short, ["publication_key"]).unionByName(
+        meet(in_block, in_all, ["publication_key", "block"]))
 
 
 def _sized(author: DataFrame) -> DataFrame:

@@ -18,8 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from colophon.operators.coauthor import above
-from colophon.operators.skew import lookup_join
+from colophon.operators.skew import BROADCAST_ROWS, lookup_join
 from colophon.session import Scratch
 
 MAX_ROUNDS = 200
@@ -41,11 +40,11 @@ def mirrored(edges: DataFrame) -> DataFrame:
 def _choices(edges: DataFrame, round_no: int) -> DataFrame:
     """``id, rep``: the best of each vertex and its neighbours in this round's order.
 
-    Odd rounds use a random order, which bounds the number of rounds for any graph. Even
-    rounds prefer vertices with many edges, so that stars and hubs collapse at once.
+    Every third round uses a random order, which bounds the number of rounds for any graph.
+    The others prefer vertices with many edges, so that stars and hubs collapse at once.
     """
     both = mirrored(edges)
-    if round_no % 2 == 0:
+    if round_no % 3 != 2:
         degrees = both.groupBy("u").agg((-F.count(F.lit(1))).alias("d"))
         both = (
             edges.join(degrees.select("u", F.col("d").alias("du")), "u")
@@ -68,6 +67,20 @@ def _choices(edges: DataFrame, round_no: int) -> DataFrame:
         "id", F.col("best.id").alias("rep"))
 
 
+def _followed(choice: DataFrame, rows: int) -> DataFrame:
+    """A small table of choices with the choice of the choice, twice: up to four steps at once.
+
+    Any vertex of the component may stand for the others, so this only saves rounds.
+    """
+    if rows > BROADCAST_ROWS:
+        return choice
+    for _ in range(2):
+        onward = choice.select(F.col("id").alias("rep"), F.col("rep").alias("_onward"))
+        choice = choice.join(F.broadcast(onward), "rep").select(
+            "id", F.col("_onward").alias("rep"))
+    return choice
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``id, component`` for every vertex that has an edge; the label is the smallest id of the
     component. Edge direction and repetition do not matter."""
@@ -79,6 +92,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             break
         name = f"choice{round_no}"
         choice = scratch.table(_choices(graph, round_no), name)
+        choice = _followed(choice, scratch.rows[name])
         picked.append(choice)
         for end in ("u", "v"):
             new = choice.select(F.col("id").alias(end), F.col("rep").alias(f"new_{end}"))
@@ -90,22 +104,22 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         raise RuntimeError(f"no convergence after {MAX_ROUNDS} rounds")
     if not picked:
         return graph.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    # Follow the choices back from the last, smallest graph to the first.
+    # Follow the choices back from the last, smallest graph to the first. Small steps stay one
+    # plan of broadcast joins.
     last = len(picked) - 1
     labels, rows = picked[last], scratch.rows[f"choice{last}"]
     for round_no in range(last - 1, -1, -1):
         onward = labels.select(F.col("id").alias("rep"), F.col("rep").alias("_onward"))
-        labels = scratch.table(
-            lookup_join(picked[round_no], onward, "rep", lookup_rows=rows).select(
-                "id", F.coalesce("_onward", "rep").alias("rep")),
-            f"labels{round_no}")
-        rows = scratch.rows[f"labels{round_no}"]
-        scratch.drop(f"choice{round_no + 1}")
-    smallest = scratch.table(
-        labels.groupBy("rep").agg(F.min("id").alias("component")), "smallest")
-    return lookup_join(
-        labels, smallest, "rep", lookup_rows=scratch.rows["smallest"]
-    ).select("id", "component")
+        labels = lookup_join(picked[round_no], onward, "rep", lookup_rows=rows).select(
+            "id", F.coalesce("_onward", "rep").alias("rep"))
+        rows = scratch.rows[f"choice{round_no}"]
+        if round_no == 0 or rows > BROADCAST_ROWS:
+            labels = scratch.table(labels, f"labels{round_no}")
+    smallest = labels.groupBy("rep").agg(F.min("id").alias("component"))
+    if rows > BROADCAST_ROWS:
+        smallest = scratch.table(smallest, "smallest")
+        rows = scratch.rows["smallest"]
+    return lookup_join(labels, smallest, "rep", lookup_rows=rows).select("id", "component")
 
 
 def with_isolated(labels: DataFrame, vertices: DataFrame, id_col: str) -> DataFrame:
@@ -174,18 +188,23 @@ def components_above(
 ) -> DataFrame:
     """``threshold, id, component`` for edges with ``pair_weight > threshold``.
 
-    Thresholds are taken in rising order, each on the edges that the one before left.
+    All thresholds are solved in one run, as parts of one graph that do not touch.
     """
-    scratch = Scratch(graph.sparkSession, "threshold")
-    edges = graph.select("author1_id", "author2_id", "pair_weight")
-    found = []
-    for i, threshold in enumerate(sorted(thresholds)):
-        edges = scratch.table(edges.where(above(threshold)), f"above{i}")
-        labels = connected_components(edges, "author1_id", "author2_id")
-        if vertices is not None:
-            labels = with_isolated(labels, vertices, id_col)
-        found.append(labels.withColumn("threshold", F.lit(float(threshold))))
-    return reduce(DataFrame.unionByName, found).select("threshold", "id", "component")
+    steps = F.array(*[F.lit(float(t)) for t in thresholds])
+    weight = F.round("pair_weight", 9)
+    passed = F.filter(steps, lambda t: weight > t)
+    edges = graph.select("author1_id", "author2_id", F.explode(passed).alias("threshold"))
+    labels = connected_components(
+        edges.select(F.struct("threshold", F.col("author1_id").alias("id")).alias("src"),
+                     F.struct("threshold", F.col("author2_id").alias("id")).alias("dst"))
+    ).select("id.threshold", "id.id", F.col("component.id").alias("component"))
+    if vertices is None:
+        return labels
+    # One copy of the vertices per threshold; the thresholds are a handful of constants.
+    every = vertices.select(F.col(id_col).alias("id")).distinct().select(
+        F.explode(steps).alias("threshold"), "id")
+    return every.join(labels, ["threshold", "id"], "left").select(
+        "threshold", "id", F.coalesce("component", "id").alias("component"))
 
 
 def component_of(

@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from colophon.operators.components import mirrored, undirected
+from colophon.session import Scratch
 
 
 def khop_paths(edges: DataFrame, start, depth: int, src: str = "author1_id",
                dst: str = "author2_id") -> DataFrame:
     """All simple paths of 1..``depth`` edges from ``start``: ``id`` (last vertex), ``depth``
     and ``path``. For reachability use ``component_of``, which needs no paths."""
-    both = mirrored(undirected(edges, src, dst))
+    both = Scratch(edges.sparkSession, "paths").table(
+        mirrored(undirected(edges, src, dst)), "edges")
     step = both.where(F.col("u") == F.lit(start)).select(
         F.col("v").alias("id"), F.lit(1).alias("depth"), F.array("u", "v").alias("path"))
     found = [step]

@@ -136,7 +136,7 @@ def parse_records(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
     """Parse ``tag, xml`` publication records; others are skipped.
 
     Entities are decoded first. A record that cannot be parsed has its text in
-    ``_corrupt_record`` and nulls elsewhere.
+    ``_corrupt_record``; its other columns hold what was read up to the error.
     """
     parsed = F.from_xml(
         decode_entities(F.col("xml")),
@@ -158,26 +158,29 @@ def read_tag(spark: SparkSession, path: str | Sequence[str], tag: str,
     return parsed.withColumn("category", F.lit(tag))
 
 
+def _usable() -> Column:
+    return F.col("_key").isNotNull() & F.col("_corrupt_record").isNull()
+
+
 def good_records(parsed: DataFrame, strict: bool = False) -> DataFrame:
-    """Parsed records that have a key. With ``strict`` a record without one fails the job."""
+    """Well-formed records that have a key. With ``strict`` any other record fails the job."""
     if strict:
-        parsed = parsed.where(
-            F.assert_true(F.col("_key").isNotNull(), F.concat(F.lit("record without key: "),
-                                                              "xml")).isNull()
-        )
-    return parsed.where("_key is not null")
+        problem = F.concat(F.lit("unusable record: "), "xml")
+        return parsed.where(F.when(_usable(), F.lit(True)).otherwise(
+            F.raise_error(problem).cast("boolean")))
+    return parsed.where(_usable())
 
 
 def rejected_records(parsed: DataFrame) -> DataFrame:
     """Records that cannot be used, with the reason."""
     reason = F.when(F.col("_corrupt_record").isNotNull(), "not well-formed").otherwise("no key")
-    return parsed.where("_key is null").select("category", reason.alias("reason"), "xml")
+    return parsed.where(~_usable()).select("category", reason.alias("reason"), "xml")
 
 
 def parse_stats(parsed: DataFrame) -> DataFrame:
     """Total, parsed and failed records per record element."""
     return (
         parsed.groupBy("category")
-        .agg(F.count(F.lit(1)).alias("total"), F.count_if("_key is not null").alias("parsed"))
+        .agg(F.count(F.lit(1)).alias("total"), F.count_if(_usable()).alias("parsed"))
         .withColumn("failed", F.col("total") - F.col("parsed"))
     )
