@@ -14,30 +14,29 @@ from colophon.operators.authors import authors_per_publication, top
 BLOCK = 1_000
 
 
-def _paired(sized: DataFrame, list_size: str, block: int) -> DataFrame:
-    """Pairs of each publication from ``person_id, publication_key, n_authors`` rows.
+def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    first = left.withColumnRenamed("person_id", "author1_id")
+    second = right.select(F.col("person_id").alias("author2_id"), *on)
+    return first.join(second, on).where("author1_id < author2_id").select(
+        "author1_id", "author2_id", "publication_key",
+        (F.lit(1.0) / F.col("n_authors")).alias("publ_weight"))
 
-    Lists of up to ``block`` authors meet in a self-join on the publication, which reuses the
-    partitioning by publication that ``sized`` comes with. Longer lists are cut into blocks
-    that each meet the whole list, so that many tasks share one list.
-    """
-    weight = (F.lit(1.0) / F.col("n_authors")).alias("publ_weight")
-
-    def meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        first = left.withColumnRenamed("person_id", "author1_id")
-        second = right.select(F.col("person_id").alias("author2_id"), *on)
-        return first.join(second, on).where("author1_id < author2_id").select(
-            "author1_id", "author2_id", "publication_key", weight)
-
-    short = sized.where(F.col(list_size) <= block)
-    long = sized.where(F.col(list_size) > block).withColumn(
-        "blocks", F.ceil(F.col(list_size) / F.lit(block)).cast("int"))
-    in_block = long.withColumn(
+
+def _paired(sized: DataFrame) -> DataFrame:
+    """Pairs of each publication: a self-join that reuses the partitioning by publication that
+    ``sized`` comes with."""
+    return _meet(sized, sized, ["publication_key"])
+
+
+def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame:
+    """Pairs of publications with long author lists: each list is cut into blocks that meet the
+    whole list, so that many tasks share one list."""
+    cut = sized.withColumn("blocks", F.ceil(F.col(list_size) / F.lit(block)).cast("int"))
+    part = cut.withColumn(
         "block", F.pmod(F.xxhash64("person_id"), F.col("blocks")).cast("int"))
-    in_all = long.withColumn(
+    whole = cut.withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return meet(short, short, ["publication_key"]).unionByName(
-        meet(in_block, in_all, ["publication_key", "block"]))
+    return _meet(part, whole, ["publication_key", "block"])
 
 
 def _sized(author: DataFrame) -> DataFrame:
@@ -55,10 +54,13 @@ def _edges(pairs: DataFrame) -> DataFrame:
 def coauthor_pairs(author: DataFrame, block: int = BLOCK) -> DataFrame:
     """``author1_id, author2_id, publication_key, publ_weight``: each pair of each publication.
 
-    An equi-join on the publication with a residual ``<``. Pairs are only formed where they
-    are the result; rankings and components of all authors have forms without them.
+    An equi-join on the publication with a residual ``<``; lists of more than ``block`` authors
+    are paired by many tasks. Pairs are only formed where they are the result; rankings and
+    components of all authors have forms without them.
     """
-    return _paired(_sized(author), "n_authors", block)
+    sized = _sized(author)
+    return _paired(sized.where(F.col("n_authors") <= block)).unionByName(
+        _paired_in_blocks(sized.where(F.col("n_authors") > block), "n_authors", block))
 
 
 def coauthor_graph(author: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -70,18 +72,22 @@ def coauthor_graph(author: DataFrame, block: int = BLOCK) -> DataFrame:
 def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """Co-author edges with ``pair_weight > threshold``.
 
-    An edge weighs no more than the shared publications' weights that either end has in total,
-    so authors whose total is not above the threshold are dropped before pairs are formed;
-    that empties the long author lists first. Weights stay those of the whole lists.
+    An edge weighs no more than the shared publications that either end has in total. Before a
+    long author list is paired, it loses the authors whose total is not above the threshold;
+    whoever only has long lists in common with others has a tiny total. The edges of the rest
+    are complete.
     """
     sized = _sized(author)
+    short = sized.where(F.col("n_authors") <= block)
+    long = sized.where(F.col("n_authors") > block)
     total = sized.groupBy("person_id").agg(F.sum(F.lit(1.0) / F.col("n_authors")).alias("total"))
     # The slack covers rounding: sums of the same weights in another order.
     able = total.where(F.col("total") > F.lit(threshold) - 1e-6).select("person_id")
-    kept = sized.join(able, "person_id", "left_semi")
+    kept = long.join(able, "person_id", "left_semi")
     remaining = kept.groupBy("publication_key").agg(F.count(F.lit(1)).alias("remaining"))
     kept = kept.join(remaining.where("remaining > 1"), "publication_key")
-    return _edges(_paired(kept, "remaining", block)).where(above(threshold))
+    pairs = _paired(short).unionByName(_paired_in_blocks(kept, "remaining", block))
+    return _edges(pairs).where(above(threshold))
 
 
 def above(threshold: float, weight: str = "pair_weight") -> Column:

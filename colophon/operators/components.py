@@ -129,28 +129,27 @@ def with_isolated(labels: DataFrame, vertices: DataFrame, id_col: str) -> DataFr
         "id", F.coalesce("component", "id").alias("component"))
 
 
+def _stars(relation: DataFrame, person: str, publication: str) -> tuple[DataFrame, DataFrame]:
+    """Per publication its first person, and one edge from there to each of its persons.
+
+    The stars connect the same persons as all pairs would, with as many edges as rows.
+    """
+    first = relation.groupBy(publication).agg(F.min(person).alias("first"))
+    edges = relation.join(first, publication).select(
+        F.col("first").alias("src"), F.col(person).alias("dst"))
+    return first, edges
+
+
 def author_components(author: DataFrame, include_isolated: bool = True) -> DataFrame:
-    """``person_id, component`` of the co-author graph, labelled by the smallest person id.
+    """``id, component`` of the co-author graph's persons, labelled by the smallest person id.
 
-    Two persons are connected by co-authorship exactly if they are connected through persons
-    and publications, so the authorships themselves are the edges and no pair is formed.
-    Persons who only wrote alone are components of their own, or left out.
+    No pair of authors is formed. Persons who only wrote alone are components of their own, or
+    left out.
     """
-    if not include_isolated:
-        sizes = author.groupBy("publication_key").agg(F.count(F.lit(1)).alias("n"))
-        author = author.join(sizes.where("n > 1").select("publication_key"),
-                             "publication_key", "left_semi")
-    scratch = Scratch(author.sparkSession, "author-components")
-    labels = scratch.table(
-        bipartite_components(author).where(F.col("id").startswith("p:")).select(
-            F.substr("id", F.lit(3)).cast("long").alias("person_id"),
-            F.col("component").alias("_label")),
-        "labels")
-    smallest = scratch.table(
-        labels.groupBy("_label").agg(F.min("person_id").alias("component")), "smallest")
-    return lookup_join(
-        labels, smallest, "_label", lookup_rows=scratch.rows["smallest"]
-    ).select("person_id", "component")
+    rows = author.select("person_id", "publication_key")
+    _, edges = _stars(rows, "person_id", "publication_key")
+    labels = connected_components(edges)
+    return with_isolated(labels, rows, "person_id") if include_isolated else labels
 
 
 def bipartite_components(
@@ -159,10 +158,28 @@ def bipartite_components(
 ) -> DataFrame:
     """Components over a person-publication relation; ids are ``p:...`` and ``k:...``.
 
+    Persons are labelled first; a publication has the label of any of its persons.
     ``vertices(id)`` adds isolated ones, e.g. persons who never wrote anything.
     """
-    labels = connected_components(tagged_edges(relation, person, publication))
-    return labels if vertices is None else with_isolated(labels, vertices, "id")
+    scratch = Scratch(relation.sparkSession, "bipartite")
+    rows = relation.select(person, publication)
+    first, edges = _stars(rows, person, publication)
+    persons = scratch.table(with_isolated(connected_components(edges), rows, person), "persons")
+    first = scratch.table(first, "first")
+    labels = persons.select(
+        F.concat(F.lit("p:"), F.col("id").cast("string")).alias("id"),
+        F.col("component").alias("_label"),
+    ).unionAll(
+        lookup_join(first, persons.withColumnRenamed("id", "first"), "first",
+                    lookup_rows=scratch.rows["persons"])
+        .select(F.concat(F.lit("k:"), F.col(publication).cast("string")), "component"))
+    labels = scratch.table(labels, "labels")
+    smallest = scratch.table(
+        labels.groupBy("_label").agg(F.min("id").alias("component")), "smallest")
+    found = lookup_join(
+        labels, smallest, "_label", lookup_rows=scratch.rows["smallest"]
+    ).select("id", "component")
+    return found if vertices is None else with_isolated(found, vertices, "id")
 
 
 def tagged_edges(relation: DataFrame, person: str = "person_id",

@@ -260,7 +260,7 @@ labelled as (select person_id, first from persons join smallest using (component
 select p_partkey as id, coalesce(first, p_partkey) as component
 from part left join labelled on person_id = p_partkey""")
 def _(spark, sf):
-    labels = comp.author_components(part_author(spark, sf)).withColumnRenamed("person_id", "id")
+    labels = comp.author_components(part_author(spark, sf), include_isolated=False)
     return comp.with_isolated(labels, part_person(spark, sf), "id")
 
 
