@@ -19,7 +19,8 @@ def author_keys(person: DataFrame, author: DataFrame, name: str) -> DataFrame:
     named = person.where(F.col("full_name") == F.lit(name)).select("id")
     scratch = Scratch(person.sparkSession, "author")
     ids = scratch.table(named, "ids")
-    rows = prune_to(author.select("person_id", "publication_key"), ids, "person_id", "id")
+    rows = prune_to(author.select("person_id", "publication_key"), ids, "person_id", "id",
+                    rows=scratch.rows["ids"])
     return ids.join(rows, ids["id"] == rows["person_id"], "left").select(
         F.col("id").alias("person_id"), "publication_key")
 
@@ -44,19 +45,20 @@ def publications_of(
         ).select("requested_name", "id"),
         "wanted",
     )
-    own = prune_to(authorship, wanted, "person_id", "id")
+    own = prune_to(authorship, wanted, "person_id", "id", rows=scratch.rows["wanted"])
     keys = scratch.table(
         wanted.join(own, wanted["id"] == own["person_id"], "left").select(
             "requested_name", "publication_key"),
         "keys",
     )
-    distinct_keys = scratch.table(keys.select("publication_key").distinct(), "distinct_keys")
+    n_keys = scratch.rows["keys"]
     found = prune_to(
-        publication.select(*PUBLICATION_COLUMNS), distinct_keys, "key", "publication_key")
-    with_authors = prune_to(authorship, distinct_keys, "publication_key", "publication_key")
-    ids = scratch.table(with_authors, "authorship")
-    people = prune_to(
-        person.select("id", "full_name"), ids.select("person_id").distinct(), "id", "person_id")
+        publication.select(*PUBLICATION_COLUMNS), keys, "key", "publication_key", rows=n_keys)
+    ids = scratch.table(
+        prune_to(authorship, keys, "publication_key", "publication_key", rows=n_keys),
+        "authorship")
+    people = prune_to(person.select("id", "full_name"), ids, "id", "person_id",
+                      rows=scratch.rows["authorship"])
     return (
         keys.join(found, keys["publication_key"] == found["key"], "left")
         .drop("publication_key")

@@ -22,10 +22,10 @@ def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         (F.lit(1.0) / F.col("n_authors")).alias("publ_weight"))
 
 
-def _paired(sized: DataFrame) -> DataFrame:
+def _paired(sized: DataFrame, rows: DataFrame) -> DataFrame:
     """Pairs of each publication: a self-join that reuses the partitioning by publication that
     ``sized`` comes with."""
-    return _meet(sized, sized, ["publication_key"])
+    return _meet(sized, rows, ["publication_key"])
 
 
 def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame:
@@ -39,9 +39,15 @@ def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame
     return _meet(part, whole, ["publication_key", "block"])
 
 
-def _sized(author: DataFrame) -> DataFrame:
+def _keys(author: DataFrame) -> DataFrame:
+    """The two keys. The filter is what joins would add on some uses only; here it keeps all
+    uses the same, so that they share one shuffle."""
+    return author.select("person_id", "publication_key").where(
+        "person_id is not null and publication_key is not null")
+
+
+def _sized(rows: DataFrame) -> DataFrame:
     """Authorships of publications with more than one author, with the number of authors."""
-    rows = author.select("person_id", "publication_key")
     return rows.join(authors_per_publication(rows).where("n_authors > 1"), "publication_key")
 
 
@@ -58,8 +64,9 @@ def coauthor_pairs(author: DataFrame, block: int = BLOCK) -> DataFrame:
     are paired by many tasks. Pairs are only formed where they are the result; rankings and
     components of all authors have forms without them.
     """
-    sized = _sized(author)
-    return _paired(sized.where(F.col("n_authors") <= block)).unionByName(
+    rows = _keys(author)
+    sized = _sized(rows)
+    return _paired(sized.where(F.col("n_authors") <= block), rows).unionByName(
         _paired_in_blocks(sized.where(F.col("n_authors") > block), "n_authors", block))
 
 
@@ -77,7 +84,8 @@ def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> Data
     whoever only has long lists in common with others has a tiny total. The edges of the rest
     are complete.
     """
-    sized = _sized(author)
+    rows = _keys(author)
+    sized = _sized(rows)
     short = sized.where(F.col("n_authors") <= block)
     long = sized.where(F.col("n_authors") > block)
     total = sized.groupBy("person_id").agg(F.sum(F.lit(1.0) / F.col("n_authors")).alias("total"))
@@ -86,7 +94,7 @@ def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> Data
     kept = long.join(able, "person_id", "left_semi")
     remaining = kept.groupBy("publication_key").agg(F.count(F.lit(1)).alias("remaining"))
     kept = kept.join(remaining.where("remaining > 1"), "publication_key")
-    pairs = _paired(short).unionByName(_paired_in_blocks(kept, "remaining", block))
+    pairs = _paired(short, rows).unionByName(_paired_in_blocks(kept, "remaining", block))
     return _edges(pairs).where(above(threshold))
 
 
@@ -110,7 +118,7 @@ def weighted_degree_of_authors(author: DataFrame) -> DataFrame:
     In a publication with n authors each of them has n - 1 edges of weight 1/n.
     """
     others = F.col("n_authors") - 1
-    return _sized(author).groupBy(
+    return _sized(_keys(author)).groupBy(
         F.col("person_id").alias("author_id")
     ).agg(F.sum(others).alias("author_count"),
           F.sum(others / F.col("n_authors")).alias("author_weight"))

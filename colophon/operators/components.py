@@ -18,7 +18,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from colophon.operators.skew import BROADCAST_ROWS, lookup_join
+from colophon.operators import skew
+from colophon.operators.skew import lookup_join
 from colophon.session import Scratch
 
 MAX_ROUNDS = 200
@@ -72,7 +73,7 @@ def _followed(choice: DataFrame, rows: int) -> DataFrame:
 
     Any vertex of the component may stand for the others, so this only saves rounds.
     """
-    if rows > BROADCAST_ROWS:
+    if rows > skew.BROADCAST_ROWS:
         return choice
     for _ in range(2):
         onward = choice.select(F.col("id").alias("rep"), F.col("rep").alias("_onward"))
@@ -113,10 +114,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         labels = lookup_join(picked[round_no], onward, "rep", lookup_rows=rows).select(
             "id", F.coalesce("_onward", "rep").alias("rep"))
         rows = scratch.rows[f"choice{round_no}"]
-        if round_no == 0 or rows > BROADCAST_ROWS:
+        if round_no == 0 or rows > skew.BROADCAST_ROWS:
             labels = scratch.table(labels, f"labels{round_no}")
     smallest = labels.groupBy("rep").agg(F.min("id").alias("component"))
-    if rows > BROADCAST_ROWS:
+    if rows > skew.BROADCAST_ROWS:
         smallest = scratch.table(smallest, "smallest")
         rows = scratch.rows["smallest"]
     return lookup_join(labels, smallest, "rep", lookup_rows=rows).select("id", "component")

@@ -11,27 +11,24 @@ BROADCAST_ROWS = 500_000
 HOT_SHARE = 1e-4
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> bool:
-    """Whether a written table has at most ``max_rows`` rows. If its number of ``rows`` is not
-    known, it is read from the file footers."""
-    return (df.count() if rows is None else rows) <= max_rows
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether a written table has at most ``BROADCAST_ROWS`` rows. If its number of ``rows``
+    is not known, it is read from the file footers."""
+    return (df.count() if rows is None else rows) <= BROADCAST_ROWS
 
 
-def checked_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None
-) -> DataFrame:
+def checked_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it is small, else ``df`` for a shuffle join.
 
     ``df`` should be a written table, as it is counted here and read again in the join.
     """
-    return F.broadcast(df) if is_small(df, max_rows, rows) else df
+    return F.broadcast(df) if is_small(df, rows) else df
 
 
 def lookup_join(
     fact: DataFrame,
     lookup: DataFrame,
     on: str,
-    max_rows: int = BROADCAST_ROWS,
     hot_share: float = HOT_SHARE,
     lookup_rows: int | None = None,
 ) -> DataFrame:
@@ -42,7 +39,7 @@ def lookup_join(
     and all other rows by an ordinary shuffle join, so no task gets a hot key's rows.
     Both inputs should be written tables, since they are read more than once.
     """
-    if is_small(lookup, max_rows, lookup_rows):
+    if is_small(lookup, lookup_rows):
         return fact.join(F.broadcast(lookup), on, "left")
     counts = fact.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total")).scalar()
@@ -56,11 +53,10 @@ def lookup_join(
 
 
 def prune_to(
-    big: DataFrame, keys: DataFrame, big_key: str, key: str, max_rows: int = BROADCAST_ROWS,
-    rows: int | None = None,
+    big: DataFrame, keys: DataFrame, big_key: str, key: str, rows: int | None = None
 ) -> DataFrame:
     """Rows of ``big`` whose key is in ``keys``: a scan with a broadcast filter if ``keys`` is
     small, a shuffle semi-join if it is not."""
     wanted = keys.select(F.col(key).alias(big_key)).where(F.col(big_key).isNotNull())
-    return big.join(checked_broadcast(wanted, max_rows, rows), big_key, "left_semi")
+    return big.join(checked_broadcast(wanted, rows), big_key, "left_semi")
 
