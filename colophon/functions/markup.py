@@ -21,11 +21,21 @@ def latin_entities() -> dict[str, str]:
 
 def decode_entities(col: Column) -> Column:
     """Replace named Latin-1 entities by their characters; ``&amp;`` and the other entities
-    that XML itself defines stay for the parser."""
-    decoded = col
-    for name, char in latin_entities().items():
-        decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(char))
-    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+    that XML itself defines stay for the parser. Work grows with the ``&`` in a text only."""
+    chars = F.create_map(*[F.lit(x) for pair in latin_entities().items() for x in pair])
+
+    def decoded(piece: Column) -> Column:
+        name = F.substring_index(piece, ";", 1)
+        char = F.when(F.contains(piece, F.lit(";")), F.try_element_at(chars, name))
+        rest = F.substr(piece, F.length(name) + F.lit(2))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(col, "&")
+    after_first = F.slice(pieces, F.lit(2), F.size(pieces))
+    return F.when(
+        F.contains(col, F.lit("&")),
+        F.concat(pieces[0], F.array_join(F.transform(after_first, decoded), "")),
+    ).otherwise(col)
 
 
 def strip_element(col: Column, names: Iterable[str]) -> Column:

@@ -54,18 +54,26 @@ def publications_of(
     n_keys = scratch.rows["keys"]
     found = prune_to(
         publication.select(*PUBLICATION_COLUMNS), keys, "key", "publication_key", rows=n_keys)
+    listed = scratch.table(
+        keys.join(found, keys["publication_key"] == found["key"], "left").drop(
+            "publication_key"),
+        "listed",
+    )
     ids = scratch.table(
         prune_to(authorship, keys, "publication_key", "publication_key", rows=n_keys),
         "authorship")
     people = prune_to(person.select("id", "full_name"), ids, "id", "person_id",
                       rows=scratch.rows["authorship"])
-    return (
-        keys.join(found, keys["publication_key"] == found["key"], "left")
-        .drop("publication_key")
-        .join(ids, F.col("key") == ids["publication_key"], "left")
-        .join(people, F.col("person_id") == people["id"], "left")
-        .select("requested_name", "full_name", *PUBLICATION_COLUMNS)
-    )
+    named = ids.join(people, ids["person_id"] == people["id"], "left").select(
+        F.col("publication_key").alias("key"), "full_name")
+    columns = ["requested_name", "full_name", *PUBLICATION_COLUMNS]
+    # A listed publication has an author, the requested one; the other rows stay nulls. The
+    # authorships stream past the list, so a long author list is no single task's work.
+    known = listed.where(F.col("key").isNotNull())
+    complete = named.join(checked_broadcast(known, n_keys), "key").select(*columns)
+    without = listed.where(F.col("key").isNull()).withColumn(
+        "full_name", F.lit(None).cast("string"))
+    return complete.unionByName(without.select(*columns))
 
 
 def author_publications(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from colophon.operators.authors import authors_per_publication, top
+from colophon.session import Scratch
 
 # Author lists longer than this are paired in blocks of this size.
 BLOCK = 1_000
@@ -137,12 +138,22 @@ def top_authors(degrees: DataFrame, person: DataFrame, k: int | None = None) ->
 
 
 def ranking_name_join(ranking: DataFrame, person: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` lowest ranked rows with every person of that name."""
-    names = person.select(F.col("id").alias("person_id"), F.col("full_name").alias("name"))
-    joined = ranking.join(names, F.col("full_name") == F.col("name"), "left").drop("name")
-    return top(joined, k, F.col("author_count").asc_nulls_last(),
-               F.col("author_weight").asc_nulls_last(), F.col("full_name"),
-               F.col("person_id"))
+    """The ``k`` lowest rows of the ranking with every person of that name.
+
+    Each ranked row gives at least one result row, so the first ``k`` results come from the
+    ``k`` lowest ranked rows; only those meet the persons.
+    """
+    order = [F.col("author_count").asc_nulls_last(), F.col("author_weight").asc_nulls_last(),
+             F.col("full_name").asc_nulls_last()]
+    lowest = Scratch(ranking.sparkSession, "lowest").table(top(ranking, k, *order), "rows")
+    named = person.select(F.col("id").alias("person_id"), "full_name").join(
+        F.broadcast(lowest), "full_name")
+    unnamed = lowest.join(named.select("full_name"), "full_name", "left_anti")
+    columns = [*lowest.columns, "person_id"]
+    return top(
+        named.select(*columns).unionByName(
+            unnamed.withColumn("person_id", F.lit(None).cast("long")).select(*columns)),
+        k, *order, F.col("person_id"))
 
 
 def top_pairs(graph: DataFrame, person: DataFrame, k: int = 20) -> DataFrame:

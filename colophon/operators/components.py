@@ -14,7 +14,7 @@ rows of the other side: see ``lookup_join``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -38,25 +38,33 @@ def mirrored(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(F.array(there, back)))
 
 
-def _choices(edges: DataFrame, round_no: int) -> DataFrame:
-    """``id, rep``: the best of each vertex and its neighbours in this round's order.
+def _with_degrees(edges: DataFrame, scratch: Scratch, round_no: int) -> DataFrame:
+    """``u, v, du, dv``: edges with minus the number of edges at either end."""
+    degrees = mirrored(edges).groupBy("u").agg((-F.count(F.lit(1))).alias("d"))
+    if scratch.rows[f"edges{round_no}"] > skew.BROADCAST_ROWS:
+        name = f"degrees{round_no}"
+        degrees = scratch.table(degrees, name)
+        join = partial(lookup_join, lookup_rows=scratch.rows[name])
+    else:
+        join = DataFrame.join
+    with_u = join(edges, degrees.select("u", F.col("d").alias("du")), "u")
+    return join(with_u, degrees.select(F.col("u").alias("v"), F.col("d").alias("dv")), "v")
+
+
+def _choices(edges: DataFrame, scratch: Scratch, round_no: int) -> DataFrame:
+    """``id, rep``: the first of each vertex and its neighbours in this round's order.
 
     Every third round uses a random order, which bounds the number of rounds for any graph.
     The others prefer vertices with many edges, so that stars and hubs collapse at once.
     """
-    both = mirrored(edges)
-    if round_no % 3 != 2:
-        degrees = both.groupBy("u").agg((-F.count(F.lit(1))).alias("d"))
-        both = (
-            edges.join(degrees.select("u", F.col("d").alias("du")), "u")
-            .join(degrees.select(F.col("u").alias("v"), F.col("d").alias("dv")), "v")
-            .select(F.inline(F.array(
-                F.struct("u", "v", "du", "dv"),
-                F.struct(F.col("v").alias("u"), F.col("u").alias("v"), F.col("dv").alias("du"),
-                         F.col("du").alias("dv")))))
-        )
+    if round_no % 3 == 2:
+        edges = edges.withColumns({"du": F.lit(0), "dv": F.lit(0)})
     else:
-        both = both.withColumns({"du": F.lit(0), "dv": F.lit(0)})
+        edges = _with_degrees(edges, scratch, round_no)
+    both = edges.select(F.inline(F.array(
+        F.struct("u", "v", "du", "dv"),
+        F.struct(F.col("v").alias("u"), F.col("u").alias("v"), F.col("dv").alias("du"),
+                 F.col("du").alias("dv")))))
 
     def rank(vertex: str, degree: str):
         return F.struct(F.col(degree).alias("d"),
@@ -92,7 +100,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         if scratch.rows[f"edges{round_no}"] == 0:
             break
         name = f"choice{round_no}"
-        choice = scratch.table(_choices(graph, round_no), name)
+        choice = scratch.table(_choices(graph, scratch, round_no), name)
         choice = _followed(choice, scratch.rows[name])
         picked.append(choice)
         for end in ("u", "v"):

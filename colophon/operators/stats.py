@@ -15,12 +15,11 @@ def exact_median(df: DataFrame, group: str, value: str, tie: str) -> DataFrame:
     """
     values = df.select(group, value, tie).where(F.col(value).isNotNull())
     ranked = dense_ids(values, [group, value, tie], "_rank")
-    bounds = ranked.groupBy(group).agg(
-        F.min("_rank").alias("_first"), F.max("_rank").alias("_last"))
-    # Doubled ranks keep the two middle rows of an even group apart from all others.
-    middle = F.abs(2 * F.col("_rank") - F.col("_first") - F.col("_last")) <= 1
-    return ranked.join(bounds, group).where(middle).groupBy(group).agg(
-        F.avg(value).alias("median"))
+    ends = F.min("_rank") + F.max("_rank")
+    middle = F.array_distinct(F.array(F.floor(ends / 2), F.ceil(ends / 2)))
+    wanted = ranked.groupBy(group).agg(middle.alias("_middle")).select(
+        F.explode("_middle").alias("_rank"))
+    return ranked.join(wanted, "_rank").groupBy(group).agg(F.avg(value).alias("median"))
 
 
 def summary_stats(df: DataFrame, run: str, value: str, label: str, order: str) -> DataFrame:

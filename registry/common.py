@@ -186,7 +186,7 @@ def xml_dump(spark, sf_dir) -> str:
         fields = spark.sql(
             FIELDS.replace("from orders join customer", "from {orders} join {customer}")
                   .replace("join nation", "join {nation}"), **tables)
-        orders = fields.selectExpr(_ORDER_XML)
+        orders = fields.repartition("k").selectExpr(_ORDER_XML)
         others = tables["customer"].selectExpr(_OTHER_XML)
         folder = Scratch(spark, "dump").path + "/xml"
         orders.unionAll(others).write.text(folder)

@@ -41,9 +41,9 @@ def test_flags(spark):
 
 
 def test_entities(spark):
-    got = column(spark, ["M&uuml;ller &amp; &Ouml;z &times; &reg; &divide; &micro;", "plain"],
-                 markup.decode_entities)
-    assert got == ["Müller &amp; Öz × ® &divide; µ", "plain"]
+    got = column(spark, ["M&uuml;ller &amp; &Ouml;z &times; &reg; &divide; &micro;", "plain",
+                         "&auml;", "AT&T &uuml", "&;&&eth;", None], markup.decode_entities)
+    assert got == ["Müller &amp; Öz × ® &divide; µ", "plain", "ä", "AT&T &uuml", "&;&ð", None]
     assert len(markup.latin_entities()) == 65
 
 
