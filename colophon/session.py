@@ -43,6 +43,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
 class Scratch:
     """A unique folder below the shared one that holds the intermediate tables of one job.
 
@@ -55,13 +66,9 @@ class Scratch:
         self.spark = spark
         self.rows: dict[str, int] = {}
         self.path = f"{shared_folder(spark)}/colophon-{purpose}-{uuid.uuid4().hex}"
-        jvm = spark.sparkContext._jvm
-        self._hadoop_path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._hadoop_path(self.path).getFileSystem(
-            spark.sparkContext._jsc.hadoopConfiguration()
-        )
-        self._fs.mkdirs(self._hadoop_path(self.path))
-        self._fs.deleteOnExit(self._hadoop_path(self.path))
+        files, where = _file_system(spark, self.path)
+        files.mkdirs(where)
+        files.deleteOnExit(where)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as Parquet and return a scan of what was written. Its number of rows,
@@ -74,4 +81,5 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(where)
 
     def drop(self, name: str) -> None:
-        self._fs.delete(self._hadoop_path(f"{self.path}/{name}"), True)
+        files, where = _file_system(self.spark, f"{self.path}/{name}")
+        files.delete(where, True)

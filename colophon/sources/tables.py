@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from colophon.functions.values import blank_to_null, integral
 from colophon.schemas import TABLES
+from colophon.session import path_exists
 
 
 def table_schema(table: str) -> T.StructType:
@@ -73,9 +74,12 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]
 
 def load_csv_tables(spark: SparkSession, csv_folder: str, folder: str,
                     tables: Iterable[str] = tuple(TABLES)) -> dict[str, int]:
-    """Load the CSV files of the known tables into Parquet tables; others are not touched."""
+    """Load the CSV files there are for known tables into Parquet tables; other files are not
+    touched."""
+    paths = {t: f"{csv_folder}/{t}.csv" for t in tables}
     return write_tables(
-        {t: read_csv(spark, f"{csv_folder}/{t}.csv", table_schema(t)) for t in tables}, folder)
+        {t: read_csv(spark, path, table_schema(t)) for t, path in paths.items()
+         if path_exists(spark, path)}, folder)
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:

@@ -130,3 +130,16 @@ def test_lookup_with_a_hot_key(spark, monkeypatch, limit):
     want = fact.join(table, "k", "left").select("id", "k", "v")
     assert sorted(map(tuple, got.select("id", "k", "v").collect()), key=repr) == sorted(
         map(tuple, want.collect()), key=repr)
+
+
+def test_mean_and_deviation_of_ten_runs(spark):
+    # Sums of ten runs and their published mean and sample deviation (fixed values).
+    sums = [366792.761, 361896.354, 378547.78, 389248.277, 378146.897, 373707.895, 366623.221,
+            369391.925, 362907.109, 361354.039]
+    # Each run's sum comes from two measurements.
+    rows = [(i, part * s) for i, s in enumerate(sums) for part in (0.25, 0.75)]
+    got = stats.summary_of_runs(spark.createDataFrame(rows, "run int, v double"), "run", "v")
+    row = got.first()
+    assert row["runs"] == 10
+    assert row["mean"] == pytest.approx(370861.6258, abs=1e-4)
+    assert row["std"] == pytest.approx(9000.2885, abs=1e-3)

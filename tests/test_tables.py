@@ -28,7 +28,7 @@ def test_csv_round_trip(spark, tmp_path):
     rows = [(1, 'a "b", c', None), (2, "back\\slash", "0-1"), (3, "'", "0-2")]
     people = spark.createDataFrame(rows, "id long, full_name string, orcid string")
     table_io.write_csv(people, str(tmp_path / "person.csv"))
-    counts = table_io.load_csv_tables(spark, str(tmp_path), str(tmp_path / "t"), ["person"])
+    counts = table_io.load_csv_tables(spark, str(tmp_path), str(tmp_path / "t"))
     assert counts == {"person": 3}
     got = table_io.read_table(spark, str(tmp_path / "t"), "person")
     assert sorted(map(tuple, got.collect())) == rows
