@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 # A side is broadcast only after its rows were counted: half a million narrow rows are some
 # tens of megabytes.
 BROADCAST_ROWS = 500_000
+# So many keys are pushed into a scan as a list (see the session's inFilterThreshold).
+LISTED_KEYS = 200
 # A key is hot if it holds more than this share of the rows, so there are at most 10,000.
 HOT_SHARE = 1e-4
 
@@ -55,8 +57,14 @@ def lookup_join(
 def prune_to(
     big: DataFrame, keys: DataFrame, big_key: str, key: str, rows: int | None = None
 ) -> DataFrame:
-    """Rows of ``big`` whose key is in ``keys``: a scan with a broadcast filter if ``keys`` is
-    small, a shuffle semi-join if it is not."""
+    """Rows of ``big`` whose key is in the written table ``keys`` of that many ``rows``.
+
+    A few keys become a list in the filter, which the scan checks against the statistics and
+    bloom filters of its files; more are a broadcast filter; too many for that a shuffle
+    semi-join.
+    """
     wanted = keys.select(F.col(key).alias(big_key)).where(F.col(big_key).isNotNull())
+    rows = wanted.count() if rows is None else rows
+    if rows <= min(LISTED_KEYS, BROADCAST_ROWS):
+        return big.where(F.col(big_key).isin([r[0] for r in wanted.distinct().collect()]))
     return big.join(checked_broadcast(wanted, rows), big_key, "left_semi")
-

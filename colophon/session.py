@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even if that costs the plan one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lists of up to so many keys reach the statistics and bloom filters of Parquet files.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
 }
 
 

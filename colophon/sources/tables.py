@@ -60,14 +60,25 @@ def read_tables(spark: SparkSession, folder: str,
     return {t: read_table(spark, folder, t) for t in tables}
 
 
+# Columns that single values are looked up by: their files get bloom filters.
+LOOKUP_COLUMNS = {
+    "person": ["full_name", "id"],
+    "author": ["person_id", "publication_key"],
+    "editor": ["person_id", "publication_key"],
+    "publication": ["key"],
+}
+
+
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Replace each table below ``folder`` and return its number of rows, which is observed
     while writing."""
     counts = {}
     for name, df in tables.items():
         rows = Observation(f"rows of {name}")
-        df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            f"{folder}/{name}")
+        bloom = {f"parquet.bloom.filter.enabled#{c}": "true"
+                 for c in LOOKUP_COLUMNS.get(name, ()) if c in df.columns}
+        df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(
+            **bloom).parquet(f"{folder}/{name}")
         counts[name] = rows.get["rows"]
     return counts
 

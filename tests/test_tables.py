@@ -1,7 +1,9 @@
 import datetime
 
+from pyspark.sql import functions as F
+
 from colophon.__main__ import main
-from colophon.operators import checks
+from colophon.operators import checks, skew
 from colophon.sources import graphfiles, tables as table_io
 
 
@@ -43,6 +45,26 @@ def test_reload_replaces(spark, tmp_path):
     assert table_io.read_table(spark, folder, "editor").count() == 1
 
 
+def test_point_lookup_skips_files(spark, tmp_path):
+    # Every file holds ids of the whole range, so only the bloom filters can tell them apart.
+    rows = spark.range(200_000).select(
+        (F.col("id") * 999_983 % 200_000).alias("person_id"),
+        F.concat(F.lit("k"), "id").alias("publication_key"))
+    folder = str(tmp_path)
+    table_io.write_tables({"editor": rows.repartition(8, "publication_key")}, folder)
+    editor = table_io.read_table(spark, folder, "editor")
+    wanted = spark.createDataFrame([(777,)], "id long")
+    found = skew.prune_to(editor, wanted, "person_id", "id")
+    plan = found._jdf.queryExecution().executedPlan()
+    assert plan.execute().count() == 1
+    scan = plan
+    while not scan.children().isEmpty():
+        scan = scan.children().head()
+    assert "777" in scan.toString() and "PushedFilters: []" not in scan.toString()
+    read = scan.metrics().apply("numOutputRows").value()
+    assert read < 100_000, read
+
+
 def test_graph_files(spark, tmp_path):
     tables = {
         "person": spark.createDataFrame([(1, "A"), (1, "A")], "id long, full_name string"),
