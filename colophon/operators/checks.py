@@ -66,15 +66,23 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) ->
 
 
 def width_violations(tables: Tables, widths=schemas.WIDTHS) -> DataFrame:
-    """Columns with texts longer than allowed: number of such rows and the longest length."""
-    def check(table, column, width):
-        length = F.length(column)
-        return tables[table].agg(
-            F.count_if(length > width).alias("too_long"), F.max(length).alias("longest")
-        ).select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-                 F.lit(width).alias("width"), "too_long", "longest")
-
-    return _union(check(t, c, w) for (t, c), w in widths.items() if t in tables)
+    """Columns with texts longer than allowed: number of such rows and the longest length. One
+    pass per table for all its columns."""
+    by_table: dict[str, dict[str, int]] = {}
+    for (table, column), width in widths.items():
+        if table in tables:
+            by_table.setdefault(table, {})[column] = width
+
+    def check(table, columns):
+        found = F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(w).alias("width"),
+                     F.count_if(F.length(c) > w).alias("too_long"),
+                     F.max(F.length(c)).alias("longest"))
+            for c, w in columns.items()])
+        return tables[table].agg(found.alias("found")).select(
+            F.lit(table).alias("table_name"), F.inline("found"))
+
+    return _union(check(t, c) for t, c in by_table.items())
 
 
 def integrity_report(

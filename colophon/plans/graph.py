@@ -15,6 +15,7 @@ def save_coauthor_graph(graph: DataFrame, table: str, path: str, buckets: int) -
     """Write the edges as a table bucketed by their first end, so that later joins and
     aggregations on it need no shuffle of the edges."""
     (graph.write.mode("overwrite").option("path", path)
+     .options(**table_io.bloom_filters("coauthor_graph", graph))
      .bucketBy(buckets, "author1_id").sortBy("author1_id", "author2_id").saveAsTable(table))
 
 
@@ -27,7 +28,7 @@ def build_graph(spark: SparkSession, folder: str, thresholds: Sequence[float] =
     person = table_io.read_table(spark, folder, "person")
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        table_io.write_tables({name: df}, folder)
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     if buckets:

@@ -66,19 +66,25 @@ LOOKUP_COLUMNS = {
     "author": ["person_id", "publication_key"],
     "editor": ["person_id", "publication_key"],
     "publication": ["key"],
+    "coauthor_graph": ["author1_id", "author2_id"],
+    "components": ["id"],
 }
 
 
+def bloom_filters(name: str, df: DataFrame) -> dict[str, str]:
+    """Parquet options for the lookup columns of a table."""
+    return {f"parquet.bloom.filter.enabled#{c}": "true"
+            for c in LOOKUP_COLUMNS.get(name, ()) if c in df.columns}
+
+
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Replace each table below ``folder`` and return its number of rows, which is observed
     while writing."""
     counts = {}
     for name, df in tables.items():
         rows = Observation(f"rows of {name}")
-        bloom = {f"parquet.bloom.filter.enabled#{c}": "true"
-                 for c in LOOKUP_COLUMNS.get(name, ()) if c in df.columns}
         df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(
-            **bloom).parquet(f"{folder}/{name}")
+            **bloom_filters(name, df)).parquet(f"{folder}/{name}")
         counts[name] = rows.get["rows"]
     return counts
 
