@@ -38,14 +38,14 @@ def publications_of(
     its scan while the keys are few, else by a shuffle join.
     """
     scratch = Scratch(names.sparkSession, "publications")
-    authorship = author.select("person_id", "publication_key")
+    rows = author.select("person_id", "publication_key")
     wanted = scratch.table(
         person.select("id", "full_name").join(
             checked_broadcast(names), F.col("full_name") == F.col("requested_name")
         ).select("requested_name", "id"),
         "wanted",
     )
-    own = prune_to(authorship, wanted, "person_id", "id", rows=scratch.rows["wanted"])
+    own = prune_to(rows, wanted, "person_id", "id", rows=scratch.rows["wanted"])
     keys = scratch.table(
         wanted.join(own, wanted["id"] == own["person_id"], "left").select(
             "requested_name", "publication_key"),
@@ -60,7 +60,7 @@ def publications_of(
         "listed",
     )
     ids = scratch.table(
-        prune_to(authorship, keys, "publication_key", "publication_key", rows=n_keys),
+        prune_to(rows, keys, "publication_key", "publication_key", rows=n_keys),
         "authorship")
     people = prune_to(person.select("id", "full_name"), ids, "id", "person_id",
                       rows=scratch.rows["authorship"])
@@ -101,6 +101,13 @@ def distinct_authors(author: DataFrame) -> DataFrame:
     return author.select("person_id").distinct()
 
 
+def authorship(author: DataFrame) -> DataFrame:
+    """The two keys of the author rows. The filter is what joins would add on some uses only;
+    here it keeps all uses in a plan the same, so that they share one shuffle."""
+    return author.select("person_id", "publication_key").where(
+        "person_id is not null and publication_key is not null")
+
+
 def authors_per_publication(author: DataFrame) -> DataFrame:
     return author.groupBy("publication_key").agg(F.count("person_id").alias("n_authors"))
 
@@ -132,7 +139,8 @@ def name_pub_counts(person: DataFrame, author: DataFrame) -> DataFrame:
 
 def fractional_productivity(person: DataFrame, author: DataFrame) -> DataFrame:
     """Sum of 1 / number of authors per name."""
-    shares = author.join(publication_weight(author), "publication_key").groupBy(
+    rows = authorship(author)
+    shares = rows.join(publication_weight(rows), "publication_key").groupBy(
         "person_id").agg(F.sum("publ_weight").alias("share"))
     return (
         shares.join(person, shares["person_id"] == person["id"])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colophon.operators.authors import authors_per_publication, top
+from colophon.operators.authors import authors_per_publication, authorship, top
 from colophon.session import Scratch
 
 # Author lists longer than this are paired in blocks of this size.
@@ -40,13 +40,6 @@ def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame
     return _meet(part, whole, ["publication_key", "block"])
 
 
-def _keys(author: DataFrame) -> DataFrame:
-    """The two keys. The filter is what joins would add on some uses only; here it keeps all
-    uses the same, so that they share one shuffle."""
-    return author.select("person_id", "publication_key").where(
-        "person_id is not null and publication_key is not null")
-
-
 def _sized(rows: DataFrame) -> DataFrame:
     """Authorships of publications with more than one author, with the number of authors."""
     return rows.join(authors_per_publication(rows).where("n_authors > 1"), "publication_key")
@@ -65,7 +58,7 @@ def coauthor_pairs(author: DataFrame, block: int = BLOCK) -> DataFrame:
     are paired by many tasks. Pairs are only formed where they are the result; rankings and
     components of all authors have forms without them.
     """
-    rows = _keys(author)
+    rows = authorship(author)
     sized = _sized(rows)
     return _paired(sized.where(F.col("n_authors") <= block), rows).unionByName(
         _paired_in_blocks(sized.where(F.col("n_authors") > block), "n_authors", block))
@@ -85,7 +78,7 @@ def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> Data
     whoever only has long lists in common with others has a tiny total. The edges of the rest
     are complete.
     """
-    rows = _keys(author)
+    rows = authorship(author)
     sized = _sized(rows)
     short = sized.where(F.col("n_authors") <= block)
     long = sized.where(F.col("n_authors") > block)
@@ -119,7 +112,7 @@ def weighted_degree_of_authors(author: DataFrame) -> DataFrame:
     In a publication with n authors each of them has n - 1 edges of weight 1/n.
     """
     others = F.col("n_authors") - 1
-    return _sized(_keys(author)).groupBy(
+    return _sized(authorship(author)).groupBy(
         F.col("person_id").alias("author_id")
     ).agg(F.sum(others).alias("author_count"),
           F.sum(others / F.col("n_authors")).alias("author_weight"))

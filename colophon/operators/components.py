@@ -19,7 +19,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, functions as F
 
 from colophon.operators import skew
-from colophon.operators.skew import lookup_join
+from colophon.operators.skew import lookup_join, prune_to
 from colophon.session import Scratch
 
 MAX_ROUNDS = 200
@@ -239,29 +239,33 @@ def component_of(
 ) -> DataFrame:
     """``id`` of every vertex in the component of ``start``; nothing if it has no edge.
 
-    A frontier walks outwards; a new vertex can only have been seen in the frontier before or
-    the one before that. If the component is deeper than ``max_rounds``, the labels of the
-    whole graph answer instead.
+    ``edges`` should be a written table. A frontier walks outwards along both directions, and
+    each step only takes the edges at the frontier out of the scan. A new vertex can only have
+    been seen in the frontier before or the one before that. If the component is deeper than
+    ``max_rounds``, the labels of the whole graph answer instead.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "reach")
-    both = scratch.table(mirrored(undirected(edges, src, dst)), "edges")
+    scratch = Scratch(edges.sparkSession, "reach")
+    links = edges.select(src, dst).where(F.col(src) != F.col(dst))
+    at_start = (F.col(src) == F.lit(start)) | (F.col(dst) == F.lit(start))
     frontier = scratch.table(
-        both.where(F.col("u") == F.lit(start)).select(F.col("u").alias("id")).distinct(), "step0")
+        links.where(at_start).limit(1).select(
+            F.lit(start).cast(edges.schema[src].dataType).alias("id")), "step0")
     before = frontier.limit(0)
     reached = [frontier]
     for step in range(1, max_rounds + 1):
-        if scratch.rows[f"step{step - 1}"] == 0:
+        rows = scratch.rows[f"step{step - 1}"]
+        if rows == 0:
             return reduce(DataFrame.unionByName, reached)
+        there = prune_to(links, frontier, src, "id", rows).select(F.col(dst).alias("id"))
+        back = prune_to(links, frontier, dst, "id", rows).select(F.col(src).alias("id"))
         found = (
-            both.join(frontier, both["u"] == frontier["id"], "left_semi")
-            .select(F.col("v").alias("id")).distinct()
+            there.union(back).distinct()
             .join(frontier, "id", "left_anti")
             .join(before, "id", "left_anti")
         )
         before, frontier = frontier, scratch.table(found, f"step{step}")
         reached.append(frontier)
-    labels = connected_components(both, "u", "v")
+    labels = connected_components(links, src, dst)
     own = labels.where(F.col("id") == F.lit(start)).select("component")
     return labels.join(F.broadcast(own), "component", "left_semi").select("id")
 

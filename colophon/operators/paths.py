@@ -6,25 +6,31 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from colophon.operators.components import mirrored, undirected
+from colophon.operators.skew import checked_broadcast
 from colophon.session import Scratch
 
 
 def khop_paths(edges: DataFrame, start, depth: int, src: str = "author1_id",
                dst: str = "author2_id") -> DataFrame:
     """All simple paths of 1..``depth`` edges from ``start``: ``id`` (last vertex), ``depth``
-    and ``path``. For reachability use ``component_of``, which needs no paths."""
-    both = Scratch(edges.sparkSession, "paths").table(
-        mirrored(undirected(edges, src, dst)), "edges")
-    step = both.where(F.col("u") == F.lit(start)).select(
-        F.col("v").alias("id"), F.lit(1).alias("depth"), F.array("u", "v").alias("path"))
-    found = [step]
-    for hop in range(2, depth + 1):
-        step = (
-            step.join(both, step["id"] == both["u"])
-            .where(~F.array_contains("path", F.col("v")))
-            .select(F.col("v").alias("id"), F.lit(hop).alias("depth"),
-                    F.array_append("path", F.col("v")).alias("path"))
-        )
+    and ``path``. For reachability use ``component_of``, which needs no paths.
+
+    ``edges`` should be a written table that has each undirected edge once; it is not copied,
+    but joined with the current paths from either end.
+    """
+    scratch = Scratch(edges.sparkSession, "paths")
+    links = edges.select(src, dst).where(F.col(src) != F.col(dst))
+    kind = edges.schema[src].dataType.simpleString()
+    step = edges.sparkSession.createDataFrame([(start, 0, [start])],
+                                              f"id {kind}, depth int, path array<{kind}>")
+    rows, found = 1, []
+    for hop in range(1, depth + 1):
+        here = checked_broadcast(step.select(F.col("id").alias("end"), "path"), rows)
+        ways = [links.join(here, F.col(a) == F.col("end")).select(F.col(b).alias("id"), "path")
+                for a, b in ((src, dst), (dst, src))]
+        longer = ways[0].unionAll(ways[1]).where(~F.array_contains("path", F.col("id"))).select(
+            "id", F.lit(hop).alias("depth"), F.array_append("path", F.col("id")).alias("path"))
+        step = scratch.table(longer, f"hop{hop}")
+        rows = scratch.rows[f"hop{hop}"]
         found.append(step)
     return reduce(DataFrame.unionByName, found)

@@ -160,7 +160,8 @@ select c.d, 3, '1-' || a.d || '-' || b.d || '-' || c.d
 from e a join e b on b.s = a.d join e c on c.s = b.d
 where a.s = 1 and b.d <> 1 and c.d <> 1 and c.d <> a.d""")
 def _(spark, sf):
-    edges = coauthor.edges_above(part_author(spark, sf), 0.3)
+    edges = Scratch(spark, "graph").table(
+        coauthor.edges_above(part_author(spark, sf), 0.3), "edges")
     return paths.khop_paths(edges, 1, 3).withColumn(
         "path", F.concat_ws("-", F.transform("path", lambda v: v.cast("string"))))
 
@@ -248,7 +249,8 @@ reach(id) as (select distinct s from e where s = 1
               union select e.d from reach join e on e.s = reach.id)
 select id from reach""")
 def _(spark, sf):
-    return comp.component_of(coauthor.coauthor_graph(part_author(spark, sf)), 1)
+    graph = coauthor.coauthor_graph(part_author(spark, sf))
+    return comp.component_of(Scratch(spark, "graph").table(graph, "edges"), 1)
 
 
 @entry("components", f"""
