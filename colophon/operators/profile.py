@@ -34,18 +34,18 @@ def tag_counts(texts: DataFrame, column: str) -> DataFrame:
 
 
 def unexpected_elements(
-    chunks: DataFrame, root: str = "dblp", tags: Sequence[str] = RECORD_TAGS,
-    strict: bool = False,
+    chunks: DataFrame, tags: Sequence[str] = RECORD_TAGS, strict: bool = False
 ) -> DataFrame:
     """Top-level elements that are no record elements, with their number.
 
-    They stand before a file's first record or between a record's end and the next record.
+    They stand before a file's first record or between a record's end and the next record. The
+    root is none of them, as its end is in another chunk than its start.
     With ``strict`` the job fails if there is one.
     """
     names = "|".join(tags)
     gap = F.regexp_replace("body", rf"(?s)^<({names})\b(?:[^>]*/>|.*?</\1\s*>)", "")
     elements = F.regexp_extract_all(
-        F.regexp_replace(gap, rf"</?{root}\b[^>]*>", ""),
+        gap,
         F.lit(r"(?s)<([A-Za-z][\w-]*)\b(?:[^>]*/>|[^>]*>.*?</\1\s*>)"),
         F.lit(1),
     )

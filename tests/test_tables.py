@@ -110,8 +110,8 @@ def test_checks(spark):
 
 def test_command_line(spark, tmp_path, capsys):
     dump = write(tmp_path / "d.xml", (
-        '<dblp><article key="a"><author>Ann</author><author>Bob</author><title>T</title>'
-        '<year>2000</year></article>\n<book key="b"><editor>Eve</editor></book></dblp>'))
+        '<bib><article key="a"><author>Ann</author><author>Bob</author><title>T</title>'
+        '<year>2000</year></article>\n<book key="b"><editor>Eve</editor></book></bib>'))
     folder, out = str(tmp_path / "t"), str(tmp_path / "out")
     main(["profile", dump])
     main(["ingest", folder, dump])

@@ -5,8 +5,8 @@ from colophon.plans import ingest
 from colophon.sources import tables as table_io, xml
 
 DUMP = '''<?xml version="1.0" encoding="UTF-8"?>
-<!DOCTYPE dblp SYSTEM "dblp.dtd">
-<dblp mdate="2020-01-01">
+<!DOCTYPE bib SYSTEM "bib.dtd">
+<bib mdate="2020-01-01">
 <article mdate="2019-01-01" key="journals/a/1" publtype="informal" reviewid="r1">
 <author orcid="0000-0001-0000-0001" bibtex="B">Ann Lee</author><author>Bob</author>
 <title bibtex="bt">Draft</title>
@@ -32,7 +32,7 @@ DUMP = '''<?xml version="1.0" encoding="UTF-8"?>
 <article key="bad/1"><author>Broken &undefined;</author></article>
 <surprise id="1"><inner/></surprise>
 <mastersthesis key="ms/1" mdate="nonsense"><title>No authors</title></mastersthesis>
-</dblp>
+</bib>
 '''
 
 
@@ -71,8 +71,8 @@ def test_records_across_splits_are_whole(spark, dump, size):
 def test_many_files_in_one_task(spark, tmp_path):
     for i in range(20):
         (tmp_path / f"{i}.xml").write_text(
-            f'<dblp><article key="a/{i}"><title>{i}</title></article>\n'
-            f'<book key="b/{i}"></book></dblp>')
+            f'<bib><article key="a/{i}"><title>{i}</title></article>\n'
+            f'<book key="b/{i}"></book></bib>')
     found = xml.parse_records(xml.scan_records(spark, str(tmp_path)))
     assert rows(found, "_key") == sorted((f"{t}/{i}",) for t in "ab" for i in range(20))
 
@@ -97,8 +97,8 @@ def test_rejects_and_stats(spark, dump):
 
 def test_native_reader_gives_the_same_rows(spark, tmp_path):
     path = tmp_path / "n.xml"
-    path.write_text('<dblp><book key="b/1"><title>A <i>b</i></title></book>'
-                    '<book key="b/2"><author orcid="o">X</author></book></dblp>')
+    path.write_text('<bib><book key="b/1"><title>A <i>b</i></title></book>'
+                    '<book key="b/2"><author orcid="o">X</author></book></bib>')
     native = xml.read_tag(spark, str(path), "book")
     scanned = xml.parse_records(xml.scan_records(spark, str(path)))
     columns = ["category", "_key", "title", "author"]
@@ -181,7 +181,7 @@ def test_big_dictionaries_give_the_same_tables(spark, dump, loaded, tmp_path, sh
 
 def test_no_occurrence_gives_an_empty_table(spark, tmp_path):
     path = tmp_path / "e.xml"
-    path.write_text('<dblp><article key="k"><author>A</author></article></dblp>')
+    path.write_text('<bib><article key="k"><author>A</author></article></bib>')
     counts = ingest.ingest(spark, str(path), str(tmp_path / "t"))
     assert counts["note"] == counts["publisher"] == counts["editor"] == 0
     assert counts["author"] == counts["publication"] == 1
