@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from colophon.llm import quality
+from colophon.llm import licenses, quality, secret_scan
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,27 @@ def op3_quality_rules(spark, sf_dir):
         "base_failed", "kept", F.concat_ws(",", "rejected_by").alias("rejected_by"))
 
 
+def op1_secret_scan(spark, sf_dir):
+    found = secret_scan.secret_scan(_read(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(
+            f"n_{secret_scan.KINDS[kind]}")
+
+    base = F.filter("spans", lambda x: x["kind"] < 3)
+    return found.select(
+        "doc_id", *(count(kind) for kind in range(4)),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def op9_license_scan(spark, sf_dir):
+    found = licenses.license_scan(_read(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 ENTRIES = {
+    "op1_secret_scan": (op1_secret_scan, None),
     "op3_quality_rules": (op3_quality_rules, None),
+    "op9_license_scan": (op9_license_scan, None),
 }
