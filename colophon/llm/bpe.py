@@ -209,21 +209,23 @@ def minimal_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
     slots = sum(len(edges) for _, edges in states) * 2 + 1024
     base, final = np.zeros(len(states), np.int32), np.zeros(len(states), bool)
     check, target, add = np.full(slots, -1, np.int32), np.zeros(slots, np.int32), np.zeros(slots, np.int32)
-    used, lowest = bytearray(slots), 0
+    used, begin = bytearray(slots), {}
     for s, (end, edges) in sorted(enumerate(states), key=lambda x: -len(x[1][1])):
         final[s] = end
         if not edges:
             continue
-        while used[lowest]:
-            lowest += 1
-        at = lowest - edges[0][0]
-        while at < 0 or any(used[at + c] for c, _ in edges):
-            at = used.index(0, max(at + edges[0][0] + 1, lowest)) - edges[0][0]
-            if at + 256 >= len(used):
-                grow = len(used)
-                used.extend(bytes(grow))
-                check = np.r_[check, np.full(grow, -1, np.int32)]
-                target, add = np.r_[target, np.zeros(grow, np.int32)], np.r_[add, np.zeros(grow, np.int32)]
+        # The search goes on where the last state of as many edges was put.
+        first, others = edges[0][0], [c - edges[0][0] for c, _ in edges[1:]]
+        free = used.find(0, begin.get(len(edges), 256))
+        while any(used[free + c] for c in others):
+            free = used.find(0, free + 1)
+        begin[len(edges)] = free
+        at = free - first
+        if at + 1024 >= len(used):
+            grow = len(used)
+            used.extend(bytes(grow))
+            check = np.r_[check, np.full(grow, -1, np.int32)]
+            target, add = np.r_[target, np.zeros(grow, np.int32)], np.r_[add, np.zeros(grow, np.int32)]
         base[s], before = at, int(end)
         for c, to in edges:
             used[at + c] = 1

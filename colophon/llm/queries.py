@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from colophon.llm import licenses, quality, secret_scan
+from colophon.llm import (
+    bpe, fingerprints, jaccard_join, language, licenses, packing, quality, quotations, secret_scan, substring_dedup)
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +36,43 @@ def op1_secret_scan(spark, sf_dir):
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(_read(spark, sf_dir, "documents")).drop("copy")
+
+
+def op4_quotation_linking(spark, sf_dir):
+    return quotations.link_quotations(_read(spark, sf_dir, "conversations"))
+
+
+def op5_fingerprints(spark, sf_dir):
+    found = fingerprints.fingerprints(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                        *(c for c in found.columns if c not in {"doc_id", "n_chars", "edited"}))
+
+
+def op6_bpe_codec(spark, sf_dir):
+    coded = bpe.encode(_read(spark, sf_dir, "documents"), TOKENIZER)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_substring_dedup(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substring_dedup.dedup_substrings(docs, joined=True)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_language_id(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    model = language.train(language.training_rows(docs))
+    named = language.classify(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op10_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op9_license_scan(spark, sf_dir):
     found = licenses.license_scan(_read(spark, sf_dir, "documents"))
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
@@ -39,6 +80,13 @@ def op9_license_scan(spark, sf_dir):
 
 ENTRIES = {
     "op1_secret_scan": (op1_secret_scan, None),
+    "op2_jaccard_join": (op2_jaccard_join, None),
     "op3_quality_rules": (op3_quality_rules, None),
+    "op4_quotation_linking": (op4_quotation_linking, None),
+    "op5_fingerprints": (op5_fingerprints, None),
+    "op6_bpe_codec": (op6_bpe_codec, None),
+    "op7_substring_dedup": (op7_substring_dedup, None),
+    "op8_language_id": (op8_language_id, None),
     "op9_license_scan": (op9_license_scan, None),
+    "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
