@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colophon.llm import (
-    bpe, fingerprints, jaccard_join, language, licenses, packing, quality, quotations, secret_scan, substring_dedup)
+    bpe, fingerprints, jaccard_join, language, licenses, oracles, packing, quality, quotations, secret_scan,
+    substring_dedup)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -75,18 +76,19 @@ def op10_best_fit_packing(spark, sf_dir):
 
 def op9_license_scan(spark, sf_dir):
     found = licenses.license_scan(_read(spark, sf_dir, "documents"))
-    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")}).withColumn(
+        "score", F.round("score", 6))
 
 
 ENTRIES = {
-    "op1_secret_scan": (op1_secret_scan, None),
-    "op2_jaccard_join": (op2_jaccard_join, None),
-    "op3_quality_rules": (op3_quality_rules, None),
+    "op1_secret_scan": (op1_secret_scan, oracles.OP1),
+    "op2_jaccard_join": (op2_jaccard_join, oracles.OP2),
+    "op3_quality_rules": (op3_quality_rules, oracles.OP3),
     "op4_quotation_linking": (op4_quotation_linking, None),
     "op5_fingerprints": (op5_fingerprints, None),
     "op6_bpe_codec": (op6_bpe_codec, None),
-    "op7_substring_dedup": (op7_substring_dedup, None),
+    "op7_substring_dedup": (op7_substring_dedup, oracles.OP7),
     "op8_language_id": (op8_language_id, None),
-    "op9_license_scan": (op9_license_scan, None),
+    "op9_license_scan": (op9_license_scan, oracles.OP9),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
