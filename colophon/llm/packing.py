@@ -32,7 +32,7 @@ CAPACITY = 2048
 END = 0
 GROUPS = 96
 # Lengths from here on are planned by configurations, as a share of the capacity.
-LARGE = 1 / 16
+LARGE = 1 / 3
 GRAIN = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
