@@ -33,7 +33,6 @@ END = 0
 GROUPS = 96
 # Lengths from here on are planned by configurations, as a share of the capacity.
 LARGE = 1 / 3
-GRAIN = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -178,9 +177,9 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS) ->
                 taken = min(room, rest)
                 members[-1].append([n, taken])
                 rest, room = rest - taken, room - taken
-        sizes = np.array([-(-group[0][0] // GRAIN) for group in members])
+        sizes = np.array([group[0][0] for group in members])
         demand = np.array([sum(c for _, c in group) for group in members], float)
-        for pattern, use in configurations(sizes, demand, capacity // GRAIN):
+        for pattern, use in configurations(sizes, demand, capacity):
             slots = [g for g in np.flatnonzero(pattern) for _ in range(pattern[g])]
             times = int(use + 1e-6)
             for g in np.flatnonzero(pattern):
