@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-# A side is broadcast only after its rows were counted: half a million narrow rows are some
-# tens of megabytes.
+from colophon.session import Scratch
+
+# A side is broadcast only after its rows were counted, and if they cannot take more than this
+# many bytes: half a million narrow rows are some tens of megabytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 # So many keys are pushed into a scan as a list (see the session's inFilterThreshold).
 LISTED_KEYS = 200
 # A key is hot if it holds more than this share of the rows, so there are at most 10,000.
 HOT_SHARE = 1e-4
+# A key with fewer rows than this is never hot; it keeps the list of candidates short.
+HOT_ROWS = 100
 
 
 def is_small(df: DataFrame, rows: int | None = None) -> bool:
-    """Whether a written table has at most ``BROADCAST_ROWS`` rows. If its number of ``rows``
-    is not known, it is read from the file footers."""
-    return (df.count() if rows is None else rows) <= BROADCAST_ROWS
+    """Whether a written table has at most ``BROADCAST_ROWS`` rows, and texts of at most
+    ``BROADCAST_BYTES`` in all. If its number of ``rows`` is not known, it is read from the file
+    footers; texts are only measured in tables of few rows."""
+    if (df.count() if rows is None else rows) > BROADCAST_ROWS:
+        return False
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    if not texts:
+        return True
+    size = df.agg(F.sum(sum(texts, F.lit(0))).alias("bytes")).first()["bytes"]
+    return (size or 0) <= BROADCAST_BYTES
 
 
 def checked_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
@@ -37,21 +49,27 @@ def lookup_join(
     """``fact`` left join ``lookup`` on a key that is unique in ``lookup``.
 
     A small lookup is broadcast. For a big one, keys that hold more than ``hot_share`` of the
-    fact rows (at most ``1 / hot_share`` keys, whatever the data) are looked up by broadcast
-    and all other rows by an ordinary shuffle join, so no task gets a hot key's rows.
-    Both inputs should be written tables, since they are read more than once.
+    fact rows (at most ``1 / hot_share`` keys, whatever the data, and whether the lookup has them
+    or not) are looked up by broadcast, null keys are not looked up at all, and only the other
+    rows go through a shuffle join, so no task gets a hot key's rows. ``lookup`` should be a
+    written table; ``fact`` is read three times.
     """
     if is_small(lookup, lookup_rows):
         return fact.join(F.broadcast(lookup), on, "left")
-    counts = fact.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    hot = counts.where(F.col("_n") > total * F.lit(hot_share)).select(on)
-    hot_rows = lookup.join(F.broadcast(hot), on, "left_semi").withColumn("_hot", F.lit(True))
+    rows = Observation()
+    counts = fact.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    often = Scratch(fact.sparkSession, "hot").table(
+        counts.observe(rows, F.sum("_n").alias("total")).where(F.col("_n") >= HOT_ROWS), "keys")
+    total = rows.get["total"] or 0
+    hot = F.broadcast(often.where(F.col("_n") > total * hot_share).select(
+        F.col(on).alias("_hot_key")))
     columns = fact.columns + [c for c in lookup.columns if c != on]
-    probed = fact.join(F.broadcast(hot_rows), on, "left")
-    resolved = probed.where("_hot").select(*columns)
-    rest = probed.where("_hot is null").select(*fact.columns).join(lookup, on, "left")
-    return resolved.unionByName(rest.select(*columns))
+    marked = fact.join(hot, F.col(on) == F.col("_hot_key"), "left")
+    apart = F.col("_hot_key").isNotNull() | F.col(on).isNull()
+    hot_rows = lookup.join(hot, F.col(on) == F.col("_hot_key"), "left_semi")
+    resolved = marked.where(apart).drop("_hot_key").join(F.broadcast(hot_rows), on, "left")
+    rest = marked.where(~apart).drop("_hot_key").join(lookup, on, "left")
+    return resolved.select(*columns).unionByName(rest.select(*columns))
 
 
 def prune_to(

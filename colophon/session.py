@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -31,18 +30,10 @@ def get_session(app_name: str = "colophon", master: str | None = None, **extra:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a temporary folder of its own.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or where that is not set a folder
+    in the warehouse, which a cluster shares as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="colophon-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -56,12 +47,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+# The folders that are not removed yet, and their sessions.
+_paths: dict[str, SparkSession] = {}
+
+
+def close_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of a session. Results that still read them must be written."""
+    for path in [p for p, owner in _paths.items() if owner is spark]:
+        files, where = _file_system(spark, path)
+        files.delete(where, True)
+        del _paths[path]
+
+
 class Scratch:
     """A unique folder below the shared one that holds the intermediate tables of one job.
 
     Writing a table cuts the lineage, survives lost executors, and gives the next plan real
-    sizes to choose joins by. The folder is removed when the driver's JVM exits; big tables
-    that are no longer needed can be dropped earlier.
+    sizes to choose joins by. A long-lived driver calls ``close_scratch`` once the results of
+    its jobs are written; the folder goes with the driver's JVM in any case. Tables that are
+    no longer needed can be dropped earlier.
     """
 
     def __init__(self, spark: SparkSession, purpose: str = "job"):
@@ -71,6 +75,13 @@ class Scratch:
         files, where = _file_system(spark, self.path)
         files.mkdirs(where)
         files.deleteOnExit(where)
+        _paths[self.path] = spark
+
+    def close(self) -> None:
+        """Remove the folder."""
+        files, where = _file_system(self.spark, self.path)
+        files.delete(where, True)
+        _paths.pop(self.path, None)
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as Parquet and return a scan of what was written. Its number of rows,
