@@ -61,9 +61,34 @@ def child_names(record: Column, inline: Iterable[str] = INLINE_TAGS) -> Column:
     return F.filter(F.slice(names, F.lit(2), F.size(names)), lambda n: ~n.isin(inline))
 
 
+def predefined_entities(col: Column) -> Column:
+    """Resolve what XML itself defines: five names and numbers. ``&amp;`` goes last, so that what
+    it stands for is not read again."""
+    number = r"(?s)^#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});.*$"
+
+    def resolved(piece: Column) -> Column:
+        digits = F.regexp_extract(piece, number, 1)
+        code = F.when(digits.startswith("x"), F.conv(F.substr(digits, F.lit(2)), 16, 10)).otherwise(
+            digits).try_cast("int")
+        # Encoded as UTF-32, as chr() only knows Latin-1.
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.substr(piece, F.locate(";", piece) + 1)
+        return F.when((digits != "") & (code <= 0x10FFFF), F.concat(char, rest)).otherwise(
+            F.concat(F.lit("&"), piece))
+
+    pieces = F.split(col, "&")
+    numbers = F.concat(pieces[0], F.array_join(F.transform(
+        F.slice(pieces, F.lit(2), F.size(pieces)), resolved), ""))
+    text = F.when(F.contains(col, F.lit("&#")), numbers).otherwise(col)
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+    return text
+
+
 def attribute(col: Column, element: str, name: str) -> Column:
-    """Attribute of the last such element in the text; null if it has none."""
-    start_tag = F.try_element_at(
-        F.regexp_extract_all(col, F.lit(rf"<{element}\b[^>]*>"), F.lit(0)), F.lit(-1)
-    )
-    return F.nullif(F.regexp_extract(start_tag, rf'\s{name}="([^"]*)"', 1), F.lit(""))
+    """Attribute of the last such element in the text, in quotes of either kind; null if it has
+    none."""
+    start_tag = F.try_element_at(F.regexp_extract_all(
+        col, F.lit(rf"""<{element}\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), F.lit(0)), F.lit(-1))
+    quoted = F.regexp_extract(start_tag, rf"""\s{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
+    return F.nullif(F.substr(quoted, F.lit(2), F.length(quoted) - 2), F.lit(""))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colophon.operators.skew import checked_broadcast, prune_to
+from colophon.operators.skew import LISTED_KEYS, checked_broadcast, lookup_join, prune_to
 from colophon.session import Scratch
 
 PUBLICATION_COLUMNS = ["key", "title", "booktitle", "journal", "pages", "year"]
@@ -112,6 +112,14 @@ def authors_per_publication(author: DataFrame) -> DataFrame:
     return author.groupBy("publication_key").agg(F.count("person_id").alias("n_authors"))
 
 
+def with_publication_count(rows: DataFrame) -> DataFrame:
+    """Authorships with the number of authors of their publication. The counts are a written
+    lookup, so a publication that holds a large share of all rows is no single task's work."""
+    scratch = Scratch(rows.sparkSession, "sizes")
+    counts = scratch.table(authors_per_publication(rows), "counts")
+    return lookup_join(rows, counts, "publication_key", lookup_rows=scratch.rows["counts"])
+
+
 def publication_weight(author: DataFrame) -> DataFrame:
     """The share each author has in a publication: 1 / number of authors."""
     return author.groupBy("publication_key").agg(
@@ -139,9 +147,8 @@ def name_pub_counts(person: DataFrame, author: DataFrame) -> DataFrame:
 
 def fractional_productivity(person: DataFrame, author: DataFrame) -> DataFrame:
     """Sum of 1 / number of authors per name."""
-    rows = authorship(author)
-    shares = rows.join(publication_weight(rows), "publication_key").groupBy(
-        "person_id").agg(F.sum("publ_weight").alias("share"))
+    shares = with_publication_count(authorship(author)).groupBy("person_id").agg(
+        F.sum(F.lit(1.0) / F.col("n_authors")).alias("share"))
     return (
         shares.join(person, shares["person_id"] == person["id"])
         .groupBy(F.col("full_name").alias("name"))
@@ -159,6 +166,40 @@ def top_k_authors(counts: DataFrame, k: int = 100) -> DataFrame:
     return top(counts, k, F.col("count_publications").desc_nulls_first(), F.col("id").asc())
 
 
+def top_k_of(person: DataFrame, author: DataFrame, k: int = 100) -> DataFrame:
+    """Persons with most publications, with names. Authorships are ranked per person first, and
+    only the ``k`` that remain meet the persons. If fewer than ``k`` persons have publications,
+    the lowest ids of the others follow."""
+    counts = author.join(person.select(F.col("id").alias("person_id")), "person_id", "left_semi").groupBy(
+        F.col("person_id").alias("id")).agg(F.count("publication_key").alias("count_publications"))
+    scratch = Scratch(person.sparkSession, "top")
+    first = scratch.table(top_k_authors(counts, k), "first")
+    missing = k - scratch.rows["first"]
+    if missing > 0:
+        others = person.select("id").join(first, "id", "left_anti")
+        first = first.unionByName(top(others, missing, F.col("id").asc()).select(
+            "id", F.lit(0).cast("long").alias("count_publications")))
+    return _with_names(first, person, scratch.rows["first"] + max(missing, 0))
+
+
+def _with_names(few: DataFrame, person: DataFrame, rows: int) -> DataFrame:
+    named = prune_to(person.select("id", "full_name"), few, "id", "id", rows=rows)
+    return few.join(F.broadcast(named) if rows <= LISTED_KEYS else named, "id").select(
+        "id", "full_name", "count_publications")
+
+
+def random_of(person: DataFrame, author: DataFrame, n: int = 100, seed: str = "0") -> DataFrame:
+    """A random but repeatable sample of ``n`` persons with their numbers of publications; only
+    the authorships of the sample are counted."""
+    scratch = Scratch(person.sparkSession, "sample")
+    few = scratch.table(random_authors(person.select("id", "full_name"), n, seed), "persons")
+    own = prune_to(author.select("person_id", "publication_key"), few, "person_id", "id",
+                   rows=scratch.rows["persons"])
+    counts = own.groupBy(F.col("person_id").alias("id")).agg(F.count("publication_key").alias("n"))
+    return few.join(counts, "id", "left").select(
+        "id", "full_name", F.coalesce("n", F.lit(0)).alias("count_publications"))
+
+
 def random_authors(counts: DataFrame, n: int = 100, seed: str = "0") -> DataFrame:
     """A random but repeatable sample of ``n`` persons, whatever the partitioning."""
     draw = F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")))
@@ -169,11 +210,10 @@ def benchmark_authors(person: DataFrame, author: DataFrame, k: int = 100, n: int
                       seed: str = "0") -> DataFrame:
     """Names and counts of the most productive persons and of a random sample, without
     duplicates."""
-    counts = author_pub_counts(person, author)
     columns = ["full_name", "count_publications"]
     return (
-        top_k_authors(counts, k).select(*columns)
-        .union(random_authors(counts, n, seed).select(*columns))
+        top_k_of(person, author, k).select(*columns)
+        .union(random_of(person, author, n, seed).select(*columns))
         .distinct()
     )
 

@@ -17,15 +17,23 @@ def _union(parts: Iterable[DataFrame]) -> DataFrame:
 
 
 def domain_violations(tables: Tables, domains=schemas.DOMAINS) -> DataFrame:
-    """Values outside a closed domain, by table and column; nulls are allowed."""
-    def check(table, column, allowed):
-        counts = tables[table].groupBy(F.col(column).alias("value")).agg(
-            F.count(F.lit(1)).alias("rows"))
-        return counts.where(~F.col("value").isin(list(allowed))).select(
-            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-            F.col("value").cast("string").alias("value"), "rows")
+    """Values outside a closed domain, by table and column; nulls are allowed. One pass per
+    table for all its columns: only values outside are counted."""
+    by_table: dict[str, dict[str, Sequence]] = {}
+    for (table, column), allowed in domains.items():
+        if table in tables:
+            by_table.setdefault(table, {})[column] = allowed
+
+    def check(table, columns):
+        outside = F.array_compact(F.array(*[
+            F.when(~F.col(c).isin(list(allowed)), F.struct(
+                F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
+            for c, allowed in columns.items()]))
+        return tables[table].select(F.inline(outside)).groupBy("column_name", "value").agg(
+            F.count(F.lit(1)).alias("rows")).select(
+            F.lit(table).alias("table_name"), "column_name", "value", "rows")
 
-    return _union(check(t, c, allowed) for (t, c), allowed in domains.items() if t in tables)
+    return _union(check(t, c) for t, c in by_table.items())
 
 
 def null_violations(tables: Tables, not_null=schemas.NOT_NULL) -> DataFrame:
@@ -65,6 +73,27 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) ->
     return values.join(parent.select(F.col(key).alias("value")), "value", "left_anti")
 
 
+def all_orphans(tables: Tables, foreign_keys=schemas.FOREIGN_KEYS) -> DataFrame:
+    """``reference, value, rows`` of all foreign key values without a parent row. The values of
+    all children of a parent are stacked, so each parent is read once."""
+    by_parent: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for child, column, parent, key in foreign_keys:
+        if child in tables and parent in tables:
+            by_parent.setdefault((parent, key), []).append((child, column))
+
+    def check(parent, key, children):
+        values = _union(
+            tables[child].where(F.col(column).isNotNull())
+            .groupBy(F.col(column).cast("string").alias("value"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(f"{child}.{column} -> {parent}.{key}").alias("reference"), "value", "rows")
+            for child, column in children)
+        known = tables[parent].select(F.col(key).cast("string").alias("value"))
+        return values.join(known, "value", "left_anti").select("reference", "value", "rows")
+
+    return _union(check(*parent, children) for parent, children in by_parent.items())
+
+
 def width_violations(tables: Tables, widths=schemas.WIDTHS) -> DataFrame:
     """Columns with texts longer than allowed: number of such rows and the longest length. One
     pass per table for all its columns."""
@@ -104,9 +133,17 @@ def integrity_report(
     parts += [count("unique", f"{t}({', '.join(c)})" + (f" where {w}" if w else ""),
                     unique_violations(tables[t], c, w))
               for t, c, w in unique if t in tables]
-    parts += [count("foreign key", f"{c}.{fk} -> {p}.{k}",
-                    orphans(tables[c], fk, tables[p], k))
-              for c, fk, p, k in foreign_keys if c in tables and p in tables]
+    def by_rule(kind, rules, found: DataFrame):
+        """Violations counted by rule; rules without any have none."""
+        listed = F.explode(F.array(*[F.lit(r) for r in rules])).alias("rule")
+        every = found.sparkSession.range(1).select(listed, F.lit(0).cast("long").alias("n"))
+        return found.select("rule", F.lit(1).cast("long").alias("n")).unionAll(every).groupBy("rule").agg(
+            F.sum("n").alias("violations")).select(F.lit(kind).alias("kind"), "rule", "violations")
+
+    references = [f"{c}.{fk} -> {p}.{k}" for c, fk, p, k in foreign_keys if c in tables and p in tables]
+    if references:
+        parts.append(by_rule("foreign key", references, all_orphans(tables, foreign_keys).select(
+            F.col("reference").alias("rule"))))
     if not_null:
         parts.append(null_violations(tables, not_null).select(
             F.lit("not null").alias("kind"),
@@ -117,7 +154,8 @@ def integrity_report(
             F.lit("width").alias("kind"),
             F.concat_ws(".", "table_name", "column_name").alias("rule"),
             F.col("too_long").alias("violations")))
-    if domains:
-        parts += [count("domain", f"{t}.{c}", domain_violations(tables, {(t, c): d}))
-                  for (t, c), d in domains.items() if t in tables]
+    limited = [f"{t}.{c}" for t, c in domains if t in tables]
+    if limited:
+        parts.append(by_rule("domain", limited, domain_violations(tables, domains).select(
+            F.concat_ws(".", "table_name", "column_name").alias("rule"))))
     return _union(parts)

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colophon.operators.authors import authors_per_publication, authorship, top
+from colophon.operators.authors import authorship, top, with_publication_count
+from colophon.operators.skew import checked_broadcast, prune_to
 from colophon.session import Scratch
 
 # Author lists longer than this are paired in blocks of this size.
@@ -23,10 +24,9 @@ def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         (F.lit(1.0) / F.col("n_authors")).alias("publ_weight"))
 
 
-def _paired(sized: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs of each publication: a self-join that reuses the partitioning by publication that
-    ``sized`` comes with."""
-    return _meet(sized, rows, ["publication_key"])
+def _paired(sized: DataFrame) -> DataFrame:
+    """Pairs of each publication with a short list of authors. Long lists are on neither side."""
+    return _meet(sized, sized, ["publication_key"])
 
 
 def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame:
@@ -42,7 +42,7 @@ def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame
 
 def _sized(rows: DataFrame) -> DataFrame:
     """Authorships of publications with more than one author, with the number of authors."""
-    return rows.join(authors_per_publication(rows).where("n_authors > 1"), "publication_key")
+    return with_publication_count(rows).where("n_authors > 1")
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def coauthor_pairs(author: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     rows = authorship(author)
     sized = _sized(rows)
-    return _paired(sized.where(F.col("n_authors") <= block), rows).unionByName(
+    return _paired(sized.where(F.col("n_authors") <= block)).unionByName(
         _paired_in_blocks(sized.where(F.col("n_authors") > block), "n_authors", block))
 
 
@@ -86,9 +86,10 @@ def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> Data
     # The slack covers rounding: sums of the same weights in another order.
     able = total.where(F.col("total") > F.lit(threshold) - 1e-6).select("person_id")
     kept = long.join(able, "person_id", "left_semi")
-    remaining = kept.groupBy("publication_key").agg(F.count(F.lit(1)).alias("remaining"))
-    kept = kept.join(remaining.where("remaining > 1"), "publication_key")
-    pairs = _paired(short, rows).unionByName(_paired_in_blocks(kept, "remaining", block))
+    # How many of a list remain; the weight goes on counting the whole list.
+    kept = with_publication_count(kept.withColumnRenamed("n_authors", "listed")).where(
+        "n_authors > 1").withColumnsRenamed({"n_authors": "remaining", "listed": "n_authors"})
+    pairs = _paired(short).unionByName(_paired_in_blocks(kept, "remaining", block))
     return _edges(pairs).where(above(threshold))
 
 
@@ -122,7 +123,10 @@ def top_authors(degrees: DataFrame, person: DataFrame, k: int | None = None) ->
     """Authors by weighted degree, then by count, both falling; the first ``k`` if given."""
     order = F.struct(F.round("author_weight", 9), F.col("author_count")).desc_nulls_first()
     if k is not None:
-        degrees = top(degrees, k, order, F.col("author_id"))
+        # Only the persons among the k rows are looked up, during their scan while k is small.
+        scratch = Scratch(degrees.sparkSession, "top")
+        degrees = scratch.table(top(degrees, k, order, F.col("author_id")), "first")
+        person = prune_to(person, degrees, "id", "author_id", rows=scratch.rows["first"])
     return (
         degrees.join(person, degrees["author_id"] == person["id"], "left")
         .orderBy(order, F.col("author_id"))
@@ -138,9 +142,10 @@ def ranking_name_join(ranking: DataFrame, person: DataFrame, k: int = 10) -> Dat
     """
     order = [F.col("author_count").asc_nulls_last(), F.col("author_weight").asc_nulls_last(),
              F.col("full_name").asc_nulls_last()]
-    lowest = Scratch(ranking.sparkSession, "lowest").table(top(ranking, k, *order), "rows")
+    scratch = Scratch(ranking.sparkSession, "lowest")
+    lowest = scratch.table(top(ranking, k, *order), "rows")
     named = person.select(F.col("id").alias("person_id"), "full_name").join(
-        F.broadcast(lowest), "full_name")
+        checked_broadcast(lowest, scratch.rows["rows"]), "full_name")
     unnamed = lowest.join(named.select("full_name"), "full_name", "left_anti")
     columns = [*lowest.columns, "person_id"]
     return top(
@@ -151,14 +156,16 @@ def ranking_name_join(ranking: DataFrame, person: DataFrame, k: int = 10) -> Dat
 
 def top_pairs(graph: DataFrame, person: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` heaviest edges with names, which are joined after the limit."""
-    heaviest = top(
+    scratch = Scratch(graph.sparkSession, "pairs")
+    heaviest = scratch.table(top(
         graph.withColumn("coauthor_weight", F.round("pair_weight", 9)), k,
         F.col("coauthor_weight").desc_nulls_first(), F.col("author1_id"), F.col("author2_id"),
-    ).select("author1_id", "author2_id", "coauthor_weight")
+    ).select("author1_id", "author2_id", "coauthor_weight"), "heaviest")
     for side in ("1", "2"):
         names = person.select(F.col("id").alias(f"author{side}_id"),
                               F.col("full_name").alias(f"name{side}"))
-        heaviest = names.join(F.broadcast(heaviest), f"author{side}_id")
+        heaviest = prune_to(names, heaviest, f"author{side}_id", f"author{side}_id", rows=scratch.rows["heaviest"]).join(
+            heaviest, f"author{side}_id")
     return heaviest.select("author1_id", "author2_id", "name1", "name2", "coauthor_weight")
 
 
@@ -172,9 +179,13 @@ def edge_other_end(graph: DataFrame, person_id: int) -> DataFrame:
 
 
 def merge_edges(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """All existing edges and those new ones that are not there in exactly this form: the same
-    ends, weight and count."""
+    """All existing edges and those new ones that are not there in this form: the same ends and
+    count, and the same weight at 9 decimals, as the order of a distributed sum is not fixed."""
     columns = ["author1_id", "author2_id", "pair_count", "pair_weight"]
-    missing = new.select(*columns).join(existing.select(*columns), columns, "left_anti")
-    return existing.select(*columns).unionByName(missing)
+
+    def keyed(edges):
+        return edges.select(*columns).withColumn("_weight", F.round("pair_weight", 9))
+
+    missing = keyed(new).join(keyed(existing), ["author1_id", "author2_id", "pair_count", "_weight"], "left_anti")
+    return existing.select(*columns).unionByName(missing.select(*columns))
 

@@ -138,13 +138,17 @@ def with_isolated(labels: DataFrame, vertices: DataFrame, id_col: str) -> DataFr
         "id", F.coalesce("component", "id").alias("component"))
 
 
-def _stars(relation: DataFrame, person: str, publication: str) -> tuple[DataFrame, DataFrame]:
-    """Per publication its first person, and one edge from there to each of its persons.
+def _stars(relation: DataFrame, person: str, publication: str,
+           scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Per publication its first person, as a written table, and one edge from there to each of
+    its persons.
 
-    The stars connect the same persons as all pairs would, with as many edges as rows.
+    The stars connect the same persons as all pairs would, with as many edges as rows. A
+    publication that holds a large share of the rows is no single task's work.
     """
-    first = relation.groupBy(publication).agg(F.min(person).alias("first"))
-    edges = relation.join(first, publication).select(
+    relation = relation.where(F.col(publication).isNotNull())
+    first = scratch.table(relation.groupBy(publication).agg(F.min(person).alias("first")), "first")
+    edges = lookup_join(relation, first, publication, lookup_rows=scratch.rows["first"]).select(
         F.col("first").alias("src"), F.col(person).alias("dst"))
     return first, edges
 
@@ -156,7 +160,7 @@ def author_components(author: DataFrame, include_isolated: bool = True) -> DataF
     left out.
     """
     rows = author.select("person_id", "publication_key")
-    _, edges = _stars(rows, "person_id", "publication_key")
+    _, edges = _stars(rows, "person_id", "publication_key", Scratch(author.sparkSession, "stars"))
     labels = connected_components(edges)
     return with_isolated(labels, rows, "person_id") if include_isolated else labels
 
@@ -172,19 +176,21 @@ def bipartite_components(
     """
     scratch = Scratch(relation.sparkSession, "bipartite")
     rows = relation.select(person, publication)
-    first, edges = _stars(rows, person, publication)
+    first, edges = _stars(rows, person, publication, scratch)
     persons = scratch.table(with_isolated(connected_components(edges), rows, person), "persons")
-    first = scratch.table(first, "first")
-    labels = persons.select(
-        F.concat(F.lit("p:"), F.col("id").cast("string")).alias("id"),
-        F.col("component").alias("_label"),
-    ).unionAll(
-        lookup_join(first, persons.withColumnRenamed("id", "first"), "first",
-                    lookup_rows=scratch.rows["persons"])
-        .select(F.concat(F.lit("k:"), F.col(publication).cast("string")), "component"))
-    labels = scratch.table(labels, "labels")
+    works = lookup_join(first, persons.withColumnRenamed("id", "first"), "first",
+                        lookup_rows=scratch.rows["persons"])
+    # Labels stay numbers until the end; the smallest tagged id of a component is a publication's,
+    # the first in the order of its digits, or a person's if it has no publication.
+    def tagged(tag, column):
+        return F.concat(F.lit(tag), F.col(column).cast("string"))
+
     smallest = scratch.table(
-        labels.groupBy("_label").agg(F.min("id").alias("component")), "smallest")
+        persons.select(F.col("component").alias("_label"), tagged("p:", "id").alias("id")).unionAll(
+            works.select("component", tagged("k:", publication)))
+        .groupBy("_label").agg(F.min("id").alias("component")), "smallest")
+    labels = persons.select(tagged("p:", "id").alias("id"), F.col("component").alias("_label")).unionAll(
+        works.select(tagged("k:", publication), "component"))
     found = lookup_join(
         labels, smallest, "_label", lookup_rows=scratch.rows["smallest"]
     ).select("id", "component")
@@ -235,39 +241,40 @@ def components_above(
 
 def component_of(
     edges: DataFrame, start, src: str = "author1_id", dst: str = "author2_id",
-    max_rounds: int = 30,
 ) -> DataFrame:
     """``id`` of every vertex in the component of ``start``; nothing if it has no edge.
 
-    ``edges`` should be a written table. A frontier walks outwards along both directions, and
-    each step only takes the edges at the frontier out of the scan. A new vertex can only have
-    been seen in the frontier before or the one before that. If the component is deeper than
-    ``max_rounds``, the labels of the whole graph answer instead.
+    The edges are written once in both directions, sorted by the end that steps start from. A
+    frontier walks outwards, and each step takes only the edges at the frontier out of one scan. A
+    new vertex can only have been seen in the frontier before or the one before that. For many
+    vertices, or a graph whose components are deep, label all of it with
+    ``connected_components`` instead.
     """
     scratch = Scratch(edges.sparkSession, "reach")
-    links = edges.select(src, dst).where(F.col(src) != F.col(dst))
-    at_start = (F.col(src) == F.lit(start)) | (F.col(dst) == F.lit(start))
+    links = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
+    links = scratch.table(
+        mirrored(links).repartitionByRange("u").sortWithinPartitions("u"), "links")
     frontier = scratch.table(
-        links.where(at_start).limit(1).select(
-            F.lit(start).cast(edges.schema[src].dataType).alias("id")), "step0")
+        links.where(F.col("u") == F.lit(start)).limit(1).select(F.col("u").alias("id")), "step0")
     before = frontier.limit(0)
-    reached = [frontier]
-    for step in range(1, max_rounds + 1):
-        rows = scratch.rows[f"step{step - 1}"]
-        if rows == 0:
-            return reduce(DataFrame.unionByName, reached)
-        there = prune_to(links, frontier, src, "id", rows).select(F.col(dst).alias("id"))
-        back = prune_to(links, frontier, dst, "id", rows).select(F.col(src).alias("id"))
+    reached, step = [frontier], 0
+    while scratch.rows[f"step{step}"]:
         found = (
-            there.union(back).distinct()
+            prune_to(links, frontier, "u", "id", scratch.rows[f"step{step}"])
+            .select(F.col("v").alias("id")).distinct()
             .join(frontier, "id", "left_anti")
             .join(before, "id", "left_anti")
         )
+        step += 1
         before, frontier = frontier, scratch.table(found, f"step{step}")
         reached.append(frontier)
-    labels = connected_components(links, src, dst)
+    return reduce(DataFrame.unionByName, reached)
+
+
+def labelled_component(labels: DataFrame, start) -> DataFrame:
+    """``id`` of every vertex in the component of ``start``, from the written labels of a graph."""
     own = labels.where(F.col("id") == F.lit(start)).select("component")
-    return labels.join(F.broadcast(own), "component", "left_semi").select("id")
+    return labels.join(F.broadcast(own.limit(1)), "component", "left_semi").select("id")
 
 
 def component_sizes(labels: DataFrame, label: str = "component") -> DataFrame:

@@ -38,17 +38,24 @@ def unexpected_elements(
 ) -> DataFrame:
     """Top-level elements that are no record elements, with their number.
 
-    They stand before a file's first record or between a record's end and the next record. The
-    root is none of them, as its end is in another chunk than its start.
+    They stand before a file's first record or between a record's end and the next record. An
+    element that holds records begins in one such gap and ends in another; it counts where it
+    begins. The root is none of them: it is the first start tag after a file's XML or document type
+    declaration, or without these the one that begins, but does not end, before the first record.
     With ``strict`` the job fails if there is one.
     """
     names = "|".join(tags)
-    gap = F.regexp_replace("body", rf"(?s)^<({names})\b(?:[^>]*/>|.*?</\1\s*>)", "")
-    elements = F.regexp_extract_all(
-        gap,
-        F.lit(r"(?s)<([A-Za-z][\w-]*)\b(?:[^>]*/>|[^>]*>.*?</\1\s*>)"),
-        F.lit(1),
-    )
+    element = r"(?s)<([A-Za-z][\w-]*)\b(?:[^>]*/>|[^>]*>.*?</\1\s*>)"
+    starts = F.col("body").rlike(rf"^<(?:{names})\b")
+    declared = F.col("body").rlike(r"^\s*<[?!]")
+    prolog = r"(?s)^(?:\s*<\?.*?\?>|\s*<!DOCTYPE[^>\[]*(?:\[.*?\])?[^>]*>)+\s*<[A-Za-z][\w-]*\b[^>]*>"
+    gap = F.when(starts, F.regexp_replace("body", rf"(?s)^<({names})\b(?:[^>]*/>|.*?</\1\s*>)", "")).otherwise(
+        F.regexp_replace("body", prolog, ""))
+    whole = F.regexp_extract_all(gap, F.lit(element), F.lit(1))
+    begun = F.regexp_extract_all(
+        F.regexp_replace(gap, element, ""), F.lit(r"<([A-Za-z][\w-]*)\b[^>]*>"), F.lit(1))
+    root = F.when(starts | declared, 0).otherwise(1)
+    elements = F.concat(whole, F.slice(begun, root + 1, F.size(begun) + 1))
     found = (
         chunks.select(F.explode(elements).alias("tag"))
         .groupBy("tag")

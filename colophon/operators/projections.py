@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from colophon.operators.authors import authorship, publication_weight
+from colophon.operators.authors import authorship, with_publication_count
 
 
 def relationships_within(relation: DataFrame, vertices: DataFrame, src: str, dst: str,
@@ -26,8 +26,8 @@ def minimal_vertices(edges: DataFrame, src: str = "src", dst: str = "dst") -> Da
 
 def weighted_relation(author: DataFrame) -> DataFrame:
     """Authorships with the publication's weight per author."""
-    rows = authorship(author)
-    return rows.join(publication_weight(rows), "publication_key").select("person_id", "publication_key", F.col("publ_weight").alias("weight"))
+    return with_publication_count(authorship(author)).select(
+        "person_id", "publication_key", (F.lit(1.0) / F.col("n_authors")).alias("weight"))
 
 
 def projection_sizes(projections: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:

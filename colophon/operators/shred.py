@@ -6,8 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colophon.functions.markup import attribute, strip_element
-from colophon.functions.values import has_flag, last_value, month_number, safe_int
+from colophon.functions.markup import (
+    attribute, decode_entities, predefined_entities, strip_element,
+)
+from colophon.functions.values import blank_to_null, has_flag, last_value, month_number, safe_int
 from colophon.operators.ordering import dense_ids
 from colophon.operators.skew import lookup_join
 from colophon.session import Scratch
@@ -45,7 +47,7 @@ def person_mentions(records: DataFrame) -> DataFrame:
             F.lit(role).alias("role"),
             "publication_key",
             _text(F.col("_VALUE"), role).alias("full_name"),
-            F.col("_orcid").alias("orcid"),
+            blank_to_null(F.col("_orcid")).alias("orcid"),
             bibtex.alias("bibtex"),
             F.col("_aux").alias("aux"),
         )
@@ -153,7 +155,8 @@ def publication_rows(records: DataFrame) -> DataFrame:
         "cdate": F.try_to_date("_cdate"),
         "mdate": F.try_to_date("_mdate"),
         "type": F.col("_publtype"),
-        "title_bibtex": attribute(F.col("xml"), "title", "bibtex"),
+        "title_bibtex": predefined_entities(
+            attribute(decode_entities(F.col("xml")), "title", "bibtex")),
         "reviewid": F.col("_reviewid"),
         "rating": F.col("_rating"),
         "school": last_value(F.col("school")),
@@ -163,6 +166,21 @@ def publication_rows(records: DataFrame) -> DataFrame:
     return records.select(*[c.alias(n) for n, c in columns.items()])
 
 
+INTEGERS = ("year", "volume", "chapter", "publnr")
+
+
+def integer_rejects(records: DataFrame) -> DataFrame:
+    """``key, element, value`` of child elements that should be whole numbers and are not, or do
+    not fit. Of a repeated element the last one counts."""
+    def reject(element: str) -> Column:
+        value = strip_element(last_value(F.col(element)), [element])
+        wrong = blank_to_null(value).isNotNull() & safe_int(value).isNull()
+        return F.when(wrong, F.struct(F.lit(element).alias("element"), value.alias("value")))
+
+    found = F.array_compact(F.array(*[reject(e) for e in INTEGERS]))
+    return records.select(F.col("_key").alias("key"), F.inline(found))
+
+
 def _dictionary_name(element: str) -> Column:
     last = last_value(F.col(element))
     return F.when(last.isNotNull(), _text(last["_VALUE"], element))
@@ -186,9 +204,10 @@ def publication_table(records: DataFrame, dictionaries: Mapping[str, DataFrame])
 def attach_by_position(left: DataFrame, right: DataFrame, order_left, order_right) -> DataFrame:
     """Put two files without a common key side by side, row by row.
 
-    For files that already carry the same row order in the given columns.
+    For files that already carry the same row order in the given columns. Rows of the longer
+    file stay, with nulls beside them.
     """
     left_rows = dense_ids(left, order_left, "_row")
     right_rows = dense_ids(right, order_right, "_row")
-    return left_rows.join(right_rows, "_row").drop("_row")
+    return left_rows.join(right_rows, "_row", "full").drop("_row")
 

@@ -69,6 +69,8 @@ NOT_NULL = {
 }
 
 # (table, columns, rows the rule covers); rows with a null in the columns never collide.
+# Values of columns that a file leaves blank.
+DEFAULTS = {"electronic_edition": {"is_archive": False, "is_oa": False}}
 UNIQUE = [
     ("person", ["full_name", "orcid"], None),
     ("person", ["full_name"], "orcid is null"),
