@@ -6,7 +6,7 @@ import argparse
 
 from colophon.operators import authors, components
 from colophon.plans import graph, ingest
-from colophon.session import get_session
+from colophon.session import close_scratch, get_session
 from colophon.sources import tables as table_io
 
 
@@ -20,12 +20,15 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(argument, **options)
 
     folder = ("folder", {"help": "folder of the tables"})
-    out = ("--out", {"help": "write CSV here instead of printing"})
-    command("profile", "count elements of an XML dump", ("xml", {"nargs": "+"}))
+    out = ("--out", {"help": "write the result as CSV here instead of printing all of it"})
+    command("profile", "count elements of an XML dump", ("xml", {"nargs": "+"}), out)
     command("ingest", "shred an XML dump into tables", folder, ("xml", {"nargs": "+"}),
             ("--strict", {"action": "store_true"}))
     command("load-csv", "load CSV tables", folder, ("csv", {"help": "folder of <table>.csv"}))
-    command("check", "check keys, references and domains", folder)
+    command("check", "check keys, references and domains", folder, out)
+    command("publish", "check tables and put them in place of the published ones", folder,
+            ("target", {"help": "folder of the published tables"}),
+            ("--database", {"help": "catalogue database that gets the tables as well"}))
     command("author", "publications of an author name", folder, ("name", {}), out)
     command("authors", "publications of all names in a CSV list", folder, ("names", {}), out)
     command("sample", "most productive and random authors", folder,
@@ -34,9 +37,9 @@ def _parser() -> argparse.ArgumentParser:
             ("--seed", {"default": "0"}), out)
     command("graph", "build co-author graph, ranking and components", folder,
             ("--threshold", {"type": float, "action": "append", "default": []}),
-            ("--buckets", {"type": int}))
+            ("--buckets", {"type": int}), ("--table", {"help": "catalogue name of a bucketed graph"}))
     command("component", "component of one author id", folder, ("id", {"type": int}), out)
-    command("export", "write property-graph files", folder, ("target", {}))
+    command("export", "write property-graph files", folder, ("target", {}), out)
     return parser
 
 
@@ -44,16 +47,28 @@ def main(argv=None) -> None:
     args = _parser().parse_args(argv)
     spark = get_session(f"colophon {args.command}")
 
-    def show(df):
-        if getattr(args, "out", None):
-            table_io.write_csv(df, args.out)
-        else:
-            df.show(100, truncate=False)
+    def show(df, name=None):
+        """The whole result: as files, or printed row by row."""
+        if args.out:
+            target = f"{args.out}/{name}" if name else args.out
+            table_io.write_csv(df, target)
+            print(f"written to {target}")
+            return
+        print(*df.columns, sep="\t")
+        for row in df.toLocalIterator():
+            print(*("" if value is None else value for value in row), sep="\t")
+
+    try:
+        _run(args, spark, show)
+    finally:
+        close_scratch(spark)
+
 
+def _run(args, spark, show) -> None:
     if args.command == "profile":
         for name, df in ingest.profile_dump(spark, args.xml).items():
             print(name)
-            show(df)
+            show(df, name)
     elif args.command == "ingest":
         print(ingest.ingest(spark, args.xml, args.folder, args.strict))
     elif args.command == "load-csv":
@@ -71,10 +86,12 @@ def main(argv=None) -> None:
             show(authors.benchmark_authors(
                 tables["person"], tables["author"], args.top, args.random, args.seed))
     elif args.command == "graph":
-        graph.build_graph(spark, args.folder, args.threshold, args.buckets)
+        graph.build_graph(spark, args.folder, args.threshold, args.buckets, args.table)
     elif args.command == "component":
-        edges = spark.read.parquet(f"{args.folder}/coauthor_graph")
-        show(components.component_of(edges, args.id))
+        labels = spark.read.parquet(f"{args.folder}/components")
+        show(components.labelled_component(labels, args.id))
+    elif args.command == "publish":
+        print(ingest.publish(spark, args.folder, args.target, args.database))
     elif args.command == "export":
         show(graph.export(spark, args.folder, args.target))
 

@@ -20,9 +20,15 @@ def save_coauthor_graph(graph: DataFrame, table: str, path: str, buckets: int) -
 
 
 def build_graph(spark: SparkSession, folder: str, thresholds: Sequence[float] = (),
-                buckets: int | None = None) -> None:
+                buckets: int | None = None, table: str | None = None) -> None:
     """Write ``coauthor_graph``, ``top_authors``, ``components``, ``component_sizes``,
-    ``component_distribution`` and, for thresholds, ``components_above``."""
+    ``component_distribution`` and, for thresholds, ``components_above``.
+
+    With ``buckets`` the graph is bucketed and the catalogue knows it as ``table``, a name that
+    the caller chooses, so that the graphs of several folders do not replace each other.
+    """
+    if buckets and not table:
+        raise ValueError("a bucketed graph needs a table name")
     author = table_io.read_table(spark, folder, "author").select("person_id", "publication_key")
     author = Scratch(spark, "graph").table(author.distinct(), "author")
     person = table_io.read_table(spark, folder, "person")
@@ -32,9 +38,9 @@ def build_graph(spark: SparkSession, folder: str, thresholds: Sequence[float] =
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     if buckets:
-        save_coauthor_graph(coauthor.coauthor_graph(author), "coauthor_graph",
+        save_coauthor_graph(coauthor.coauthor_graph(author), table,
                             f"{folder}/coauthor_graph", buckets)
-        graph = spark.table("coauthor_graph")
+        graph = spark.table(table)
     else:
         graph = write(coauthor.coauthor_graph(author), "coauthor_graph")
     write(coauthor.top_authors(coauthor.weighted_degree_of_authors(author), person),
@@ -49,6 +55,4 @@ def build_graph(spark: SparkSession, folder: str, thresholds: Sequence[float] =
 def export(spark: SparkSession, folder: str, target: str) -> DataFrame:
     """Write the tables as property-graph files and return how many nodes and relationships
     an import of them must report."""
-    tables = table_io.read_tables(spark, folder)
-    graphfiles.export_graph(spark, tables, target)
-    return graphfiles.graph_counts(tables)
+    return graphfiles.export_graph(spark, table_io.read_tables(spark, folder), target)

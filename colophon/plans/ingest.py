@@ -15,7 +15,7 @@ from colophon.sources import tables as table_io, xml
 def profile_dump(spark: SparkSession, path: str | Sequence[str]) -> dict[str, DataFrame]:
     """What is in a dump: records, their child elements, unexpected elements, and the types of
     notes, links and numbers. The dump is scanned once."""
-    chunks = xml.scan_chunks(spark, path)
+    chunks = Scratch(spark, "profile").table(xml.scan_chunks(spark, path), "chunks")
     records = xml.records_of(chunks)
     return {
         "records": profile.record_tag_counts(records),
@@ -32,12 +32,15 @@ def ingest(
     """Shred a dump into the tables below ``folder`` and return their numbers of rows.
 
     The dump is read and parsed once into a staging table, which all tables are made from.
-    Records that cannot be used go to ``folder/rejects``; with ``strict`` they fail the job.
+    Records that cannot be used go to ``folder/rejects``; with ``strict`` they fail the job. Texts
+    where a whole number should be are null in the tables and listed in ``folder/rejects_integer``.
+    The folder is for loading: ``publish`` puts its tables in place of the live ones.
     """
     scratch = Scratch(spark, "ingest")
     parsed = scratch.table(xml.parse_records(xml.scan_records(spark, path)), "records")
     xml.rejected_records(parsed).write.mode("overwrite").parquet(f"{folder}/rejects")
     records = xml.good_records(parsed, strict)
+    shred.integer_rejects(records).write.mode("overwrite").parquet(f"{folder}/rejects_integer")
 
     mentions = scratch.table(shred.person_mentions(records), "mentions")
     counts = table_io.write_tables({"person": shred.person_dictionary(mentions)}, folder)
@@ -67,11 +70,13 @@ def check(spark: SparkSession, folder: str) -> DataFrame:
 PUBLISH_KINDS = ("primary key", "foreign key", "not null")
 
 
-def publish(spark: SparkSession, folder: str,
-            kinds: Sequence[str] = PUBLISH_KINDS) -> list[str]:
-    """Make loaded tables visible to SQL once they hold their constraints.
+def publish(spark: SparkSession, folder: str, target: str | None = None,
+            database: str | None = None, kinds: Sequence[str] = PUBLISH_KINDS) -> list[str]:
+    """Make loaded tables visible once they hold their constraints.
 
-    Raises with the broken rules if there are any of the given kinds.
+    ``folder`` is where ``ingest`` or a CSV load put them. Raises with the broken rules if there are
+    any of the given kinds, and changes nothing then. The tables replace those below ``target``, if
+    it is given, and are known to SQL: in ``database`` for every session, else in this one.
     """
     broken = (
         check(spark, folder)
@@ -80,6 +85,13 @@ def publish(spark: SparkSession, folder: str,
     )
     if broken:
         raise ValueError("; ".join(f"{r.kind} {r.rule}: {r.violations}" for r in broken))
+    if target and target != folder:
+        table_io.write_tables(table_io.read_tables(spark, folder), target)
+    home = target or folder
     for table in TABLES:
-        table_io.read_table(spark, folder, table).createOrReplaceTempView(table)
+        if database:
+            spark.sql(f"drop table if exists `{database}`.`{table}`")
+            spark.catalog.createTable(f"{database}.{table}", path=f"{home}/{table}", source="parquet")
+        else:
+            table_io.read_table(spark, home, table).createOrReplaceTempView(table)
     return list(TABLES)

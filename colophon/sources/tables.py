@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql import types as T
 
 from colophon.functions.values import blank_to_null, integral
-from colophon.schemas import TABLES
+from colophon.schemas import DEFAULTS, TABLES
 from colophon.session import path_exists
 
 
@@ -33,22 +33,65 @@ def clean_value(col: Column, kind: T.DataType) -> Column:
     return F.trim(col).try_cast(kind)
 
 
-def clean_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of a table by name, cleaned and typed; a missing column is null."""
-    present = set(df.columns)
-    return df.select(*[
-        (clean_value(F.col(f"`{f.name}`"), f.dataType) if f.name in present
-         else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ])
+def clean_columns(df: DataFrame, schema: T.StructType,
+                  defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """Columns of a table by name, cleaned and typed; a missing column is null. Blanks of a column
+    with a default become that."""
+    present, defaults = set(df.columns), defaults or {}
 
+    def cleaned(field):
+        value = (clean_value(F.col(f"`{field.name}`"), field.dataType) if field.name in present
+                 else F.lit(None).cast(field.dataType))
+        if field.name in defaults:
+            blank = blank_to_null(F.col(f"`{field.name}`")).isNull() if field.name in present else F.lit(True)
+            value = F.when(blank, F.lit(defaults[field.name]).cast(field.dataType)).otherwise(value)
+        return value.alias(field.name)
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             multi_line: bool = False) -> DataFrame:
-    """CSV with header, columns matched by name in any order. ``multi_line`` is for values with
-    line breaks and makes every file one task."""
-    text = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
-    return clean_columns(text, schema)
+    return df.select(*[cleaned(f) for f in schema.fields])
+
+
+_RAW, _REASON = "_corrupt_record", "_reason"
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True,
+             defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """CSV with header, columns matched by name in any order, all rows. ``_reason`` says why a row
+    cannot be used: it has more or fewer values than the header, or one that does not fit its
+    column's type; ``_corrupt_record`` is then its text, or the values as JSON.
+
+    Values may hold line breaks, which makes every file one task; without ``multi_line`` files
+    are split at line ends.
+    """
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    names = spark.read.csv(path, **options).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+    rows = spark.read.schema(text).option("columnPruning", False).option(
+        "columnNameOfCorruptRecord", _RAW).csv(path, mode="PERMISSIVE", enforceSchema=False, **options)
+    fields = [f for f in schema.fields if f.name in names]
+    misfit = F.array_compact(F.array(*[
+        F.when(blank_to_null(F.col(f"`{f.name}`")).isNotNull()
+               & clean_value(F.col(f"`{f.name}`"), f.dataType).isNull(), F.lit(f.name)) for f in fields]))
+    reason = F.when(F.col(_RAW).isNotNull(), "wrong number of values").when(
+        F.size(misfit) > 0, F.concat(F.lit("no such value: "), F.array_join(misfit, ", ")))
+    raw = F.coalesce(_RAW, F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])))
+    marked = rows.withColumn("_why", reason).withColumn("_raw", raw)
+    cleaned = clean_columns(marked, T.StructType([
+        *schema.fields, T.StructField("_why", T.StringType()), T.StructField("_raw", T.StringType())]), defaults)
+    return cleaned.withColumnsRenamed({"_why": _REASON, "_raw": _RAW})
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True,
+             defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """The usable rows of ``scan_csv``."""
+    return scan_csv(spark, path, schema, multi_line, defaults).where(
+        F.col(_REASON).isNull()).drop(_REASON, _RAW)
+
+
+def csv_rejects(spark: SparkSession, path: str, schema: T.StructType,
+                multi_line: bool = True) -> DataFrame:
+    """``reason, row`` of the rows that ``read_csv`` leaves out."""
+    return scan_csv(spark, path, schema, multi_line).where(F.col(_REASON).isNotNull()).select(
+        F.col(_REASON).alias("reason"), F.col(_RAW).alias("row"))
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -90,13 +133,26 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]
 
 
 def load_csv_tables(spark: SparkSession, csv_folder: str, folder: str,
-                    tables: Iterable[str] = tuple(TABLES)) -> dict[str, int]:
+                    tables: Iterable[str] = tuple(TABLES), strict: bool = False,
+                    multi_line: bool = True) -> dict[str, int]:
     """Load the CSV files there are for known tables into Parquet tables; other files are not
-    touched."""
+    touched. Rows that cannot be used go to ``rejects_<table>``, and their number is returned
+    under that name if there are any; with ``strict`` they fail the job before its table is
+    replaced."""
     paths = {t: f"{csv_folder}/{t}.csv" for t in tables}
-    return write_tables(
-        {t: read_csv(spark, path, table_schema(t)) for t, path in paths.items()
-         if path_exists(spark, path)}, folder)
+    counts = {}
+    for table, path in paths.items():
+        if not path_exists(spark, path):
+            continue
+        schema = table_schema(table)
+        rejects = write_tables(
+            {f"rejects_{table}": csv_rejects(spark, path, schema, multi_line)}, folder)
+        found = {name: n for name, n in rejects.items() if n}
+        if strict and found:
+            raise ValueError(f"{table}: {sum(found.values())} unusable rows, see {folder}/rejects_{table}")
+        counts |= found | write_tables(
+            {table: read_csv(spark, path, schema, multi_line, DEFAULTS.get(table))}, folder)
+    return counts
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:

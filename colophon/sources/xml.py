@@ -13,6 +13,8 @@ from colophon.session import Scratch
 _SCAN_SCHEMA = "file long, split_start long, part int, body string"
 # part of a scanned row
 _HEAD, _RECORD, _TAIL = 0, 1, 2
+# Records and gaps of more characters than this are not put together from several splits.
+LONGEST_CHUNK = 64 << 20
 
 
 def _cut_at_records(tags: Sequence[str]):
@@ -20,6 +22,8 @@ def _cut_at_records(tags: Sequence[str]):
 
     Of every split, what precedes its first record start is its head, what follows its last
     record start its tail; all pieces between are whole records with the text up to the next.
+    Comments are dropped first, and character data sections become ordinary text, so that tags in
+    them start nothing; those that cross the end of a split are not seen as such.
     """
     pattern = r"<(?:" + "|".join(tags) + r")(?=[\s/>]|$)"
     names = ["file", "split_start", "part", "body"]
@@ -30,6 +34,17 @@ def _cut_at_records(tags: Sequence[str]):
         import pyarrow as pa
 
         starts_at = re.compile(pattern)
+        hidden = re.compile(r"<!--.*?-->|<!\[CDATA\[(.*?)\]\]>", re.S)
+
+        def shown(match):
+            return (match.group(1) or "").replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+
+        def settled(text):
+            """The text up to a comment or section that is still open, and the rest."""
+            text = hidden.sub(shown, text)
+            opened = min((i for i in (text.find("<!--"), text.find("<![CDATA[")) if i >= 0), default=len(text))
+            return text[:opened], text[opened:]
+
         types = [pa.int64(), pa.int64(), pa.int32(), pa.string()]
 
         def rows(out):
@@ -38,7 +53,7 @@ def _cut_at_records(tags: Sequence[str]):
                 [pa.array(c, t) for c, t in zip(columns, types)], names
             )
 
-        current, open_text, started = None, [], False
+        current, open_text, started, waiting = None, [], False, ""
         for batch in batches:
             out = []
             files = batch.column(0).to_numpy(zero_copy_only=False)
@@ -53,9 +68,9 @@ def _cut_at_records(tags: Sequence[str]):
                 split = (int(files[begin]), int(splits[begin]))
                 if split != current:
                     if current is not None:
-                        out.append((*current, _TAIL if started else _HEAD, "".join(open_text)))
-                    current, open_text, started = split, [], False
-                text = "\n".join(lines[begin:end]) + "\n"
+                        out.append((*current, _TAIL if started else _HEAD, "".join(open_text) + waiting))
+                    current, open_text, started, waiting = split, [], False, ""
+                text, waiting = settled(waiting + "\n".join(lines[begin:end]) + "\n")
                 done = 0
                 for match in starts_at.finditer(text):
                     open_text.append(text[done:match.start()])
@@ -64,7 +79,7 @@ def _cut_at_records(tags: Sequence[str]):
                 open_text.append(text[done:])
             yield rows(out)
         if current is not None:
-            yield rows([(*current, _TAIL if started else _HEAD, "".join(open_text))])
+            yield rows([(*current, _TAIL if started else _HEAD, "".join(open_text) + waiting)])
 
     return cut
 
@@ -72,18 +87,25 @@ def _cut_at_records(tags: Sequence[str]):
 def _joined_at_splits(pieces: DataFrame) -> DataFrame:
     """Put records that cross split boundaries together.
 
-    A record starts as one split's tail and goes on in the heads of the next ones. There are
-    at most two pieces per split, so the window over a file's pieces is small.
+    A record starts as one split's tail and goes on in the heads of the next ones. Which pieces
+    belong together is found on their positions and lengths alone, at most two narrow rows per
+    split. Pieces that would make more than ``LONGEST_CHUNK`` characters, such as a file without
+    any record, stay apart; a record among them is not well-formed then and ends in the rejects.
     """
+    place = ["file", "split_start", "part"]
     in_file = Window.partitionBy("file").orderBy("split_start", "part")
     record = F.sum((F.col("part") == _TAIL).cast("long")).over(in_file)
+    placed = pieces.select(*place, F.length("body").alias("_n")).withColumn("_record", record)
+    long = placed.groupBy("file", "_record").agg(F.sum("_n").alias("_all")).where(
+        F.col("_all") > LONGEST_CHUNK).select("file", "_record", F.lit(True).alias("_long"))
+    marked = pieces.join(placed.drop("_n").join(long, ["file", "_record"], "left"), place)
     ordered = F.array_sort(F.collect_list(F.struct("split_start", "part", "body")))
-    return (
-        pieces.withColumn("_record", record)
-        .groupBy("file", "_record")
+    whole = (
+        marked.where("_long is null").groupBy("file", "_record")
         .agg(F.array_join(F.transform(ordered, lambda p: p["body"]), "").alias("body"))
         .select("body")
     )
+    return whole.unionByName(marked.where("_long").select("body"))
 
 
 def scan_chunks(
@@ -91,20 +113,20 @@ def scan_chunks(
 ) -> DataFrame:
     """One row per record: its text followed by whatever stands before the next record.
 
-    The text in front of a file's first record is a row as well. The file is read once, in
-    splits, and the pieces are written to the shared folder, as the few that cross split
-    boundaries still have to be joined.
+    The text in front of a file's first record is a row as well. Files are read in splits. Only the
+    pieces at the ends of splits, which still have to be joined, are written to the shared
+    folder; all others go straight on to what reads them, so write the result if more than one
+    step does.
     """
     lines = spark.read.text(path).select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),
         "value",
     )
-    pieces = Scratch(spark, "xml").table(
-        lines.mapInArrow(_cut_at_records(tags), _SCAN_SCHEMA), "pieces"
-    )
+    pieces = lines.mapInArrow(_cut_at_records(tags), _SCAN_SCHEMA)
+    ends = Scratch(spark, "xml").table(pieces.where(F.col("part") != _RECORD), "ends")
     inner = pieces.where(F.col("part") == _RECORD).select("body")
-    return inner.unionByName(_joined_at_splits(pieces.where(F.col("part") != _RECORD)))
+    return inner.unionByName(_joined_at_splits(ends))
 
 
 def _record_of(body: Column, tags: Sequence[str]) -> Column:
