@@ -118,7 +118,8 @@ _ORDER_XML = r"""
   concat('<', tag, ' mdate="', date_format(mdate, 'yyyy-MM-dd'), '" key="', key, '"',
     if(status = 'P', ' publtype="informal"', ''), '>\n',
     if(tag <> 'proceedings', concat(
-      '<author', coalesce(concat(' orcid="', orcid, '"'), ''), '>', c_name, '</author>\n',
+      '<author', coalesce(concat(' orcid="', orcid, '"'), if(status = 'O', ' orcid=""', '')), '>',
+      c_name, '</author>\n',
       if(status in ('O', 'P'), concat('<author>', nation, '</author>\n'), ''),
       if(status = 'P', concat('<author bibtex="B', segment, '" aux="x">', segment,
                               '</author>\n'), ''),
@@ -128,7 +129,7 @@ _ORDER_XML = r"""
       '<editor', coalesce(concat(' orcid="', orcid, '"'), ''), '>', c_name, '</editor>',
       '<editor>', nation, '</editor>\n'), ''),
     if(price > 300000, '<title>Draft</title>\n', ''),
-    '<title', if(tag = 'article', concat(' bibtex="T', k, '"'), ''), '>Order <i>', k,
+    '<title', if(tag = 'article', concat(' bibtex="T', k, ' M&uuml;ller &amp; Co&#46;"'), ''), '>Order <i>', k,
     '</i> &amp; <sub>', status, '</sub> M&uuml;ller.</title>\n',
     '<pages>', pages, '</pages>\n',
     '<year>', if(price < 20000, 'xx', cast(y as string)), '</year>\n',
@@ -197,7 +198,8 @@ def xml_dump(spark, sf_dir) -> str:
 
 def xml_chunks(spark, sf_dir) -> DataFrame:
     return _once(spark, sf_dir, "chunks",
-                 lambda: scan_chunks(spark, xml_dump(spark, sf_dir)))
+                 lambda: Scratch(spark, "chunks").table(
+                     scan_chunks(spark, xml_dump(spark, sf_dir)), "chunks"))
 
 
 def xml_records(spark, sf_dir) -> DataFrame:

@@ -130,27 +130,28 @@ def _(spark, sf):
 
 @entry("merge_edges", f"""
 with {PART_AUTHOR}, {_GRAPH}, early as (
-  select author1_id, author2_id, pair_count, round(pair_weight, 6) as pair_weight
+  select author1_id, author2_id, pair_count, round(pair_weight, 9) as pair_weight
   from graph where pair_count > 1),
 fresh as (
-  select author1_id, author2_id, case when pair_weight > 0.5 then pair_count + 1
-         else pair_count end as pair_count, round(pair_weight, 6) as pair_weight from graph)
-select * from early union all
+  select author1_id, author2_id, case when round(pair_weight, 9) > 0.5 then pair_count + 1
+         else pair_count end as pair_count, round(pair_weight, 9) as pair_weight from graph),
+merged as (select * from early union all
 select * from fresh where not exists (
   select 1 from early where early.author1_id = fresh.author1_id
     and early.author2_id = fresh.author2_id and early.pair_count = fresh.pair_count
-    and early.pair_weight = fresh.pair_weight)""")
+    and early.pair_weight = fresh.pair_weight))
+select author1_id, author2_id, pair_count, round(pair_weight, 6) as pair_weight from merged""")
 def _(spark, sf):
-    graph = _rounded(coauthor.coauthor_graph(part_author(spark, sf)), "pair_weight")
+    graph = coauthor.coauthor_graph(part_author(spark, sf))
     fresh = graph.withColumn("pair_count", F.when(
-        F.col("pair_weight") > 0.5, F.col("pair_count") + 1).otherwise(F.col("pair_count")))
-    return coauthor.merge_edges(graph.where("pair_count > 1"), fresh)
+        coauthor.above(0.5), F.col("pair_count") + 1).otherwise(F.col("pair_count")))
+    return _rounded(coauthor.merge_edges(graph.where("pair_count > 1"), fresh), "pair_weight")
 
 
 @entry("khop_paths", f"""
 with {PART_AUTHOR}, {_GRAPH}, e as (
-  select author1_id as s, author2_id as d from graph where round(pair_weight, 9) > 0.3
-  union all select author2_id, author1_id from graph where round(pair_weight, 9) > 0.3)
+  select author1_id as s, author2_id as d from graph
+  union all select author2_id, author1_id from graph)
 select a.d as id, 1 as depth, '1-' || a.d as path from e a where a.s = 1
 union all
 select b.d, 2, '1-' || a.d || '-' || b.d from e a join e b on b.s = a.d
@@ -161,7 +162,7 @@ from e a join e b on b.s = a.d join e c on c.s = b.d
 where a.s = 1 and b.d <> 1 and c.d <> 1 and c.d <> a.d""")
 def _(spark, sf):
     edges = Scratch(spark, "graph").table(
-        coauthor.edges_above(part_author(spark, sf), 0.3), "edges")
+        coauthor.coauthor_graph(part_author(spark, sf)), "edges")
     return paths.khop_paths(edges, 1, 3).withColumn(
         "path", F.concat_ws("-", F.transform("path", lambda v: v.cast("string"))))
 
@@ -314,19 +315,52 @@ _HALF = f"""with recursive {PART_AUTHOR}, {_GRAPH}, {_above_sql(0.5)},
   from part left join label on label.id = p_partkey)"""
 
 
-@entry("component_sizes", f"{_HALF} select component, count(*) as size from half group by 1")
+_SIZES = "sizes as (select component, count(*) as size from half group by component)"
+_DISTRIBUTION = "select count(*) as set_count, " + ", ".join(
+    f"quantile_disc(size, {p / 100}) as p{p}" for p in stats.PERCENTILES) + " from sizes"
+
+
+@entry("component_sizes_above", f"{_HALF}, {_SIZES} select * from sizes")
 def _(spark, sf):
     return comp.component_sizes(_half(spark, sf))
 
 
-@entry("component_distribution", f"""{_HALF},
-sizes as (select count(*) as size from half group by component)
-select count(*) as set_count, """ + ", ".join(
-    f"quantile_disc(size, {p / 100}) as p{p}" for p in stats.PERCENTILES) + " from sizes")
+@entry("component_distribution_above", f"{_HALF}, {_SIZES} {_DISTRIBUTION}")
 def _(spark, sf):
     return stats.size_distribution(comp.component_sizes(_half(spark, sf)))
 
 
+# The same over the whole graph, with persons who only wrote alone.
+_WHOLE = f"""with recursive {PART_AUTHOR}, {_BIPARTITE.format('author')}, {_labels_sql('e', 'label')},
+persons as (select cast(substr(id, 3) as bigint) as person_id, component from label
+            where id like 'p:%'),
+smallest as (select component, min(person_id) as first from persons group by 1),
+half as (select p_partkey as id, p_name as full_name, coalesce(first, p_partkey) as component
+         from part left join (persons join smallest using (component)) on person_id = p_partkey)"""
+
+
+def _whole(spark, sf):
+    labels = comp.author_components(part_author(spark, sf), include_isolated=False)
+    return comp.with_isolated(labels, part_person(spark, sf), "id")
+
+
+@entry("component_sizes", f"{_WHOLE}, {_SIZES} select * from sizes")
+def _(spark, sf):
+    return comp.component_sizes(_whole(spark, sf))
+
+
+@entry("component_distribution", f"{_WHOLE}, {_SIZES} {_DISTRIBUTION}")
+def _(spark, sf):
+    return stats.size_distribution(comp.component_sizes(_whole(spark, sf)))
+
+
+@entry("person_partition", f"""{_WHOLE}
+select id, full_name, component as author_partition from half""")
+def _(spark, sf):
+    return comp.write_back(part_person(spark, sf), _whole(spark, sf), "id",
+                           {"component": "author_partition"})
+
+
 @entry("edited_distribution", """
 with sizes as (select count(o_orderkey) + 1 as size from customer left join orders
                on o_custkey = c_custkey group by c_custkey)
@@ -339,7 +373,7 @@ def _(spark, sf):
     return stats.size_distribution(comp.component_sizes(labels))
 
 
-@entry("person_partition", f"""
+@entry("person_partition_above", f"""
 with recursive {PART_AUTHOR}, {_GRAPH}, {_above_sql(0.5)}, {_labels_sql('e', 'label')}
 select p_partkey as id, p_name as full_name, component as author_partition
 from part left join label on label.id = p_partkey""")
@@ -368,7 +402,7 @@ with {PART_AUTHOR}
 select 'node' as kind, 'Person' as entity, 'id:ID(person-ID), full_name' as header,
   count(*) as rows from part
 union all select 'node', 'Publication',
-  'key:ID(publication-ID), title, booktitle, journal, pages:string, year:short', count(*)
+  'key:ID(publication-ID), title, booktitle, journal, pages, year:int', count(*)
   from orders
 union all select 'node', 'School', 'id:ID(school-ID), name', count(*) from nation
 union all select 'relationship', 'authored',

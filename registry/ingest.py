@@ -229,7 +229,7 @@ def _(spark, sf):
 @entry("positional_attach", """
 select o_orderkey, c_name from
   (select o_orderkey, row_number() over (order by o_totalprice, o_orderkey) as r from orders) a
-  join (select c_name, row_number() over (order by c_acctbal, c_custkey) as r from customer) b
+  full join (select c_name, row_number() over (order by c_acctbal, c_custkey) as r from customer) b
   on a.r = b.r""")
 def _(spark, sf):
     left = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
@@ -345,7 +345,7 @@ select rec.key, tag as category,
   cast(null as varchar) as cdrom, cast(null as smallint) as chapter,
   cast(null as smallint) as publnr, cast(null as date) as cdate, mdate,
   case when status = 'P' then 'informal' end as type,
-  case when tag = 'article' then 'T' || k end as title_bibtex,
+  case when tag = 'article' then 'T' || k || ' Müller & Co.' end as title_bibtex,
   cast(null as varchar) as reviewid, cast(null as varchar) as rating,
   p.id as publisher_id, s.id as series_id, c.id as school_id
 from rec {_FK}""")
@@ -392,15 +392,37 @@ def _(spark, sf):
 
 
 # --- tables as files -----------------------------------------------------------------------------
-@entry("csv_roundtrip", """
-select s_suppkey as id, s_name || ' "x", y' as full_name,
-  case when s_acctbal > 0 then '0000-' || s_suppkey end as orcid from supplier""")
-def _(spark, sf):
+def _person_csv(spark, sf):
+    """Suppliers as a CSV file: names with quotes, commas and line breaks, some ids no numbers."""
+    key = F.col("s_suppkey").cast("string")
     people = load(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("id"),
-        F.concat("s_name", F.lit(' "x", y')).alias("full_name"),
-        F.when(F.col("s_acctbal") > 0,
-               F.concat(F.lit("0000-"), F.col("s_suppkey").cast("string"))).alias("orcid"))
+        F.when(F.col("s_acctbal") < -500, F.concat(F.lit("no. "), key)).otherwise(key).alias("id"),
+        F.concat("s_name", F.lit(' "x",\ny')).alias("full_name"),
+        F.when(F.col("s_acctbal") > 0, F.concat(F.lit("0000-"), key)).alias("orcid"))
     folder = Scratch(spark, "csv").path + "/person.csv"
     table_io.write_csv(people, folder)
-    return table_io.read_csv(spark, folder, table_io.table_schema("person"))
+    return folder
+
+
+@entry("csv_roundtrip", """
+select s_suppkey as id, s_name || ' "x",' || chr(10) || 'y' as full_name,
+  case when s_acctbal > 0 then '0000-' || s_suppkey end as orcid
+from supplier where s_acctbal >= -500""")
+def _(spark, sf):
+    return table_io.read_csv(spark, _person_csv(spark, sf), table_io.table_schema("person"))
+
+
+@entry("csv_rejects", """
+select 'no such value: id' as reason, count(*) as rows from supplier where s_acctbal < -500
+group by 1""")
+def _(spark, sf):
+    rejects = table_io.csv_rejects(spark, _person_csv(spark, sf), table_io.table_schema("person"))
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@entry("integer_rejects", f"""
+with {REC}
+select key, 'year' as element, 'xx' as value from rec where price < 20000
+union all select key, 'volume', cast(vol as varchar) from rec where vol > 32767""")
+def _(spark, sf):
+    return shred.integer_rejects(xml_good(spark, sf))

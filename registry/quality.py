@@ -183,7 +183,7 @@ def _(spark, sf):
 
 
 @entry("distinct_rows", """
-select distinct l_orderkey, l_linenumber, l_returnflag, l_linestatus from lineitem""")
+select distinct * from (select * from lineitem union all select * from lineitem)""")
 def _(spark, sf):
-    return load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").dropDuplicates()
+    lines = load(spark, sf, "lineitem")
+    return lines.unionAll(lines).dropDuplicates()

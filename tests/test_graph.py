@@ -80,9 +80,11 @@ def test_component_from_the_larger_end_of_an_edge(spark):
 
 
 def test_component_deeper_than_the_walk(spark):
-    edges = frame(spark, GRAPHS["chain"] + [(500, 501)])
-    found = comp.component_of(edges, 4, "src", "dst", max_rounds=3)
-    assert sorted(r.id for r in found.collect()) == list(range(301))
+    edges = frame(spark, [(i, i + 1) for i in range(36)] + [(500, 501)])
+    found = comp.component_of(edges, 0, "src", "dst")
+    assert sorted(r.id for r in found.collect()) == list(range(37))
+    labels = comp.connected_components(edges)
+    assert sorted(r.id for r in comp.labelled_component(labels, 4).collect()) == list(range(37))
 
 
 # publication -> authors; 9 wrote alone, 10 never

@@ -18,6 +18,8 @@ def con():
 
 @pytest.mark.parametrize("name", entry.queries())
 def test_query(spark, con, name):
+    if name not in entry.oracle_sql():
+        pytest.skip("beyond SQL: tested against brute force")
     assert difference(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) is None
 
 
