@@ -37,15 +37,21 @@ def publications_of(
     Each step reduces the next big table to the keys that matter: by a broadcast filter during
     its scan while the keys are few, else by a shuffle join.
     """
-    scratch = Scratch(names.sparkSession, "publications")
+    spark = names.sparkSession
+    scratch = Scratch(spark, "publications")
     rows = author.select("person_id", "publication_key")
-    wanted = scratch.table(
-        person.select("id", "full_name").join(
-            checked_broadcast(names), F.col("full_name") == F.col("requested_name")
-        ).select("requested_name", "id"),
-        "wanted",
-    )
-    own = prune_to(rows, wanted, "person_id", "id", rows=scratch.rows["wanted"])
+    wanted = person.select("id", "full_name").join(
+        checked_broadcast(names), F.col("full_name") == F.col("requested_name")
+    ).select("requested_name", "id")
+    # A short list goes through the driver, which saves a written table; its length is checked.
+    few = wanted.limit(LISTED_KEYS + 1).collect()
+    n_wanted = len(few)
+    if n_wanted <= LISTED_KEYS:
+        wanted = spark.createDataFrame(few, wanted.schema)
+    else:
+        wanted = scratch.table(wanted, "wanted")
+        n_wanted = scratch.rows["wanted"]
+    own = prune_to(rows, wanted, "person_id", "id", rows=n_wanted)
     keys = scratch.table(
         wanted.join(own, wanted["id"] == own["person_id"], "left").select(
             "requested_name", "publication_key"),
@@ -54,25 +60,22 @@ def publications_of(
     n_keys = scratch.rows["keys"]
     found = prune_to(
         publication.select(*PUBLICATION_COLUMNS), keys, "key", "publication_key", rows=n_keys)
-    listed = scratch.table(
-        keys.join(found, keys["publication_key"] == found["key"], "left").drop(
-            "publication_key"),
-        "listed",
-    )
     ids = scratch.table(
         prune_to(rows, keys, "publication_key", "publication_key", rows=n_keys),
         "authorship")
     people = prune_to(person.select("id", "full_name"), ids, "id", "person_id",
                       rows=scratch.rows["authorship"])
     named = ids.join(people, ids["person_id"] == people["id"], "left").select(
-        F.col("publication_key").alias("key"), "full_name")
+        F.col("publication_key").alias("named_key"), "full_name")
     columns = ["requested_name", "full_name", *PUBLICATION_COLUMNS]
     # A listed publication has an author, the requested one; the other rows stay nulls. The
-    # authorships stream past the list, so a long author list is no single task's work.
-    known = listed.where(F.col("key").isNotNull())
-    complete = named.join(checked_broadcast(known, n_keys), "key").select(*columns)
-    without = listed.where(F.col("key").isNull()).withColumn(
-        "full_name", F.lit(None).cast("string"))
+    # authorships stream past the list of keys, so a long author list is no single task's work.
+    listed = checked_broadcast(keys, n_keys)
+    complete = named.join(listed, F.col("named_key") == F.col("publication_key")).join(
+        found, F.col("publication_key") == F.col("key")).select(*columns)
+    without = keys.join(found.select("key"), F.col("publication_key") == F.col("key"), "left_anti").select(
+        "requested_name", *[F.lit(None).cast(kind).alias(name) for name, kind in [
+            ("full_name", "string"), *[(c, publication.schema[c].dataType) for c in PUBLICATION_COLUMNS]]])
     return complete.unionByName(without.select(*columns))
 
 
