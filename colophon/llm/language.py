@@ -4,7 +4,7 @@ A text becomes a vector of hashed byte pairs and triples: case-folded ASCII, eve
 no letter read as a space; 1 + ln(count), times the inverse document frequency, of length 1.
 Spherical k-means splits each language's training vectors into a few centroids. The language of the
 nearest centroid by cosine wins; a text that is much further from it than nearly all training
-texts of that language are is rejected.
+texts of that language are is rejected, unless it is only a few words long.
 
 Training uses a bounded sample: of each of the ``MAX_LANGUAGES`` commonest labels about ``PER_LANGUAGE``
 documents, chosen by a hash.
@@ -27,7 +27,8 @@ BITS = 12
 SIZE = 1 << BITS
 MAX_LANGUAGES, PER_LANGUAGE, CENTROIDS = 256, 600, 4
 # A text is rejected below this share of the similarity that 99 % of its language's samples reach.
-REJECT = 0.4
+# Texts with fewer different features than this are too short for a distance to say anything.
+REJECT, FEW = 0.4, 32
 UNKNOWN = "und"
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x61:0x7B] = _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -77,9 +78,8 @@ def _counted(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    weights = np.log1p(counts.astype(np.float32))
-    weights[counts > 0] += np.float32(1 - np.log(2))
-    weights *= idf
+    weights = np.log(np.maximum(counts, 1).astype(np.float32)) + 1
+    weights *= (counts > 0) * idf
     return weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-9)
 
 
@@ -181,7 +181,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
                     best = near.argmax(axis=1)
                     label[row:end] = names_of[best]
                     score[row:end] = np.clip(near[np.arange(end - row), best], 0, 1)
-                    rejected[row:end] = score[row:end] < known.least[best]
+                    rejected[row:end] = (score[row:end] < known.least[best]) & ((counts > 0).sum(axis=1) >= FEW)
                 label[~letters], score[~letters], rejected[~letters] = UNKNOWN, 0.0, True
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(label, pa.string()), pa.array(score), pa.array(rejected)],

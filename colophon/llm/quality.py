@@ -144,16 +144,16 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.02, delta: f
     return proven.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
-def judge(measured: DataFrame, chosen: DataFrame) -> DataFrame:
+def judge(measured: DataFrame, chosen: dict[tuple[int, str], float]) -> DataFrame:
     """Adds ``base_failed``, ``rejected_by`` (the rule names in order) and ``kept``."""
-    # One row whose map has at most an entry per stratum and rule, so it may be broadcast.
-    table = chosen.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.concat_ws(":", "stratum", "rule"), F.col("cutoff")))).alias("chosen"))
-    over = F.array_compact(F.array(*(F.when(_rate(rule) > F.try_element_at(
-        "chosen", F.concat_ws(":", stratum(), F.lit(rule))), F.lit(rule)) for rule in RULES)))
-    return (measured.join(F.broadcast(table))
-            .select(*measured.columns, base_failed().alias("base_failed"), over.alias("rejected_by"))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)))
+    def rejected(rule):
+        own = [F.when((stratum() == s) & (_rate(rule) > cutoff), F.lit(rule))
+               for (s, r), cutoff in sorted(chosen.items()) if r == rule]
+        return F.coalesce(*own, F.lit(None).cast("string"))
+
+    over = F.array_compact(F.array(*(rejected(rule) for rule in RULES)))
+    return measured.withColumns({"base_failed": base_failed(), "rejected_by": over}).withColumn(
+        "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
@@ -163,4 +163,6 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, delta:
     Empty tables give empty results; extra columns are ignored.
     """
     measured = Scratch(docs.sparkSession, "quality").table(measures(docs), "measures")
-    return judge(measured, cutoffs(measured, labels, risk, delta))
+    # At most a cutoff per stratum and rule.
+    chosen = {(r["stratum"], r["rule"]): r["cutoff"] for r in cutoffs(measured, labels, risk, delta).collect()}
+    return judge(measured, chosen)

@@ -42,6 +42,12 @@ def test_foreign_strings_are_rejected(spark):
     assert all(r["rejected"] for r in language.classify(df, model).collect())
 
 
+def test_short_texts_are_not_rejected(spark):
+    model = language.train(documents(spark))
+    df = spark.createDataFrame([(1, "This."), (2, "A.\nAll rights reserved."), (3, "De.")], "doc_id long, text string")
+    assert not any(r["rejected"] for r in language.classify(df, model).collect())
+
+
 def test_several_centroids_per_language():
     rng = np.random.default_rng(0)
     points = np.abs(np.vstack([rng.normal(0, 0.05, (40, 8)) + np.eye(8)[i] for i in range(3)]))
