@@ -28,7 +28,7 @@ SIZE = 1 << BITS
 MAX_LANGUAGES, PER_LANGUAGE, CENTROIDS = 256, 600, 4
 # A text is rejected below this share of the similarity that 99 % of its language's samples reach.
 # Texts with fewer different features than this are too short for a distance to say anything.
-REJECT, FEW = 0.4, 32
+REJECT, FEW = 0.4, 48
 UNKNOWN = "und"
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x61:0x7B] = _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
