@@ -38,7 +38,7 @@ def test_nothing_but_text_counts(spark):
 
 def test_foreign_strings_are_rejected(spark):
     model = language.train(documents(spark))
-    df = spark.createDataFrame([(1, "zqxjk vvkq xqzw jjqx wkzx qqvj kxkz vwqk zzjw qkqx jvxz " * 20), (2, "ゐゑヰヱ ヷヸ " * 30)], "doc_id long, text string")
+    df = spark.createDataFrame([(1, "zqxjk vvkq xqzw jjqx wkzx qqvj kxkz vwqk zzjw qkqx jvxz " * 20), (2, "ゐゑヰヱ ヷヸ ぬねのはひふへほ まみむめも アイウエオ カキクケコ " * 30)], "doc_id long, text string")
     assert all(r["rejected"] for r in language.classify(df, model).collect())
 
 
