@@ -297,7 +297,8 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     blocks = sized.groupBy("cluster").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / CLUSTER_BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
     members = sized.join(blocks, "cluster").select("cluster", "node", "copies", "blocks", F.col("first.doc_id").alias("doc_id"))
-    texts = _tiled(members.join(with_id.select("doc_id", "text"), "doc_id").drop("doc_id"), ["cluster"])
+    # The members grow with the corpus, so they are never sent whole to every task.
+    texts = _tiled(members.hint("merge").join(with_id.select("doc_id", "text"), "doc_id").drop("doc_id"), ["cluster"])
     linked = scratch.table(texts.mapInArrow(
         _verified, "node long, label long, texts long, documents long"), "links")
     counts = linked.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
