@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# --- fixed values: the record elements and the closed value domains of the data format -------
+# --- fixed values: record elements, value domains, tables and constraints of the data format --
 PUBLICATION_TAGS = ["article", "inproceedings", "proceedings", "book", "incollection",
                     "phdthesis", "mastersthesis", "www"]
 OTHER_TAGS = ["person", "data"]
@@ -17,7 +17,6 @@ ISBN_TYPES = ["usb", "print", "online", "electronic"]
 URL_TYPES = ["archive", "deprecated"]
 NOTE_TYPES = ["source", "rating", "uname", "reviewid", "disstype", "affiliation", "doi",
               "isnot", "isbn", "award"]
-# ---------------------------------------------------------------------------------------------
 
 # Parquet and CSV layout of each table.
 TABLES = {
@@ -68,9 +67,10 @@ NOT_NULL = {
     "school": ["id", "name"],
 }
 
-# (table, columns, rows the rule covers); rows with a null in the columns never collide.
 # Values of columns that a file leaves blank.
 DEFAULTS = {"electronic_edition": {"is_archive": False, "is_oa": False}}
+
+# (table, columns, rows the rule covers); rows with a null in the columns never collide.
 UNIQUE = [
     ("person", ["full_name", "orcid"], None),
     ("person", ["full_name"], "orcid is null"),
@@ -104,6 +104,7 @@ WIDTHS = {
     ("person", "orcid"): 19,
     ("isbn", "isbn"): 18,
 }
+# ---------------------------------------------------------------------------------------------
 
 
 def _element(*attributes: str) -> str:

@@ -9,22 +9,14 @@ from colophon.session import Scratch
 from colophon.sources import tables as table_io
 from registry.common import (
     AUTHOR, PART_AUTHOR, PART_PERSON, PERSON, PUBLICATION, author, load, part_author,
+    entries,
     part_person, person, publication,
 )
 
-ENTRIES = {}
+ENTRIES, entry = entries()
 NAME = "Supplier#000000003"
 
 
-def entry(name, sql=None):
-    def add(query):
-        ENTRIES[name] = (query, sql)
-        return query
-    return add
-
-
-
-
 @entry("author_keys", f"""
 with {PERSON}, {AUTHOR}
 select id as person_id, publication_key from person left join author on person_id = id

@@ -8,6 +8,19 @@ from colophon.session import Scratch
 from colophon.sources.xml import good_records, parse_records, scan_chunks, records_of
 
 
+def entries():
+    """A registry of queries with their SQL, and the decorator that adds to it."""
+    found = {}
+
+    def entry(name, sql=None):
+        def add(query):
+            found[name] = (query, sql)
+            return query
+        return add
+
+    return found, entry
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -10,17 +10,11 @@ from colophon.session import Scratch
 from colophon.sources import graphfiles
 from registry.common import (
     AUTHOR, EDITOR, PART_AUTHOR, PART_PERSON, PERSON, author, editor, load, part_author,
+    entries,
     part_person, person, publication,
 )
 
-ENTRIES = {}
-
-
-def entry(name, sql=None):
-    def add(query):
-        ENTRIES[name] = (query, sql)
-        return query
-    return add
+ENTRIES, entry = entries()
 
 
 _WEIGHT = "w as (select publication_key, 1.0 / count(*) as w from author group by 1)"

@@ -13,16 +13,10 @@ from colophon.sources import tables as table_io
 from colophon.sources.xml import parse_stats, rejected_records
 from registry.common import (
     MENTIONS, PERSONS, REC, load, xml_chunks, xml_good, xml_parsed, xml_records,
+    entries,
 )
 
-ENTRIES = {}
-
-
-def entry(name, sql=None):
-    def add(query):
-        ENTRIES[name] = (query, sql)
-        return query
-    return add
+ENTRIES, entry = entries()
 
 
 # --- scan ----------------------------------------------------------------------------------------

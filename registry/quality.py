@@ -9,19 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 from colophon.operators import checks, profile
 from colophon.session import Scratch
 from colophon.sources import tables as table_io
-from registry.common import load
+from registry.common import entries, load
 
-ENTRIES = {}
+ENTRIES, entry = entries()
 NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
-def entry(name, sql=None):
-    def add(query):
-        ENTRIES[name] = (query, sql)
-        return query
-    return add
-
-
 def _tables(spark, sf):
     return {t: load(spark, sf, t) for t in NAMES}
 
