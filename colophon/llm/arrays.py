@@ -122,6 +122,15 @@ def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         return mix((sums[n:] - sums[:-n]) * down[:len(hashes) - n + 1] + _U(n))
 
 
+def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task. Memory of those that are done goes back to the system, as worker
+    processes outlive their tasks and share a machine with the executor."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def rows_of(offsets: np.ndarray) -> np.ndarray:
     """The row of every item."""
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
@@ -134,10 +143,3 @@ def window_places(offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray,
     fits = items + n <= offsets[1:][rows] if len(rows) else np.zeros(0, bool)
     items, rows = items[fits], rows[fits]
     return items, rows, items - offsets[rows]
-
-
-def take_lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """An Arrow list array of ``counts`` consecutive values each."""
-    at = np.zeros(len(counts) + 1, np.int32)
-    np.cumsum(counts, out=at[1:])
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(values, type=kind))

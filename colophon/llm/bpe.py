@@ -5,7 +5,7 @@ words, one after the other. The words that are frequent in the corpus are encode
 into a minimal acyclic automaton: equal suffixes are shared, and every transition carries how many
 words come before it, so the path of a word adds up to its number, which leads to its ids. Tasks
 memory-map the compiled file and send whole blocks of words through it in lockstep. Words that it
-lacks are merged exactly, and remembered by the task up to a bound.
+lacks are merged exactly, and remembered by their task up to a bound.
 """
 
 from __future__ import annotations
@@ -314,6 +314,11 @@ class Encoder:
         self.filled = need
         self.extra.update(zip(words, range(first, first + len(words))))
 
+    def forget(self) -> None:
+        """Keep the lexicon only."""
+        self.extra = {}
+        self.starts, self.counts, self.pool, self.filled = self.lexicon
+
     def _block(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = arrays.word_bounds(data, at)
         numbers = self.numbers(data, starts, ends)
@@ -322,8 +327,7 @@ class Encoder:
             raw = data.tobytes()
             words = [raw[a:b] for a, b in zip(starts[lacking].tolist(), ends[lacking].tolist())]
             if len(self.extra) > REMEMBERED:
-                self.extra = {}
-                self.starts, self.counts, self.pool, self.filled = self.lexicon
+                self.forget()
             new = [w for w in dict.fromkeys(words) if w not in self.extra]
             if new:
                 self._remember(new)
@@ -350,7 +354,7 @@ class Encoder:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in arrays.batches_of(batches):
         data, offsets = arrays.text_buffers(batch.column("text"))
         hashes, starts, ends = [], [], []
         for row, end in arrays.blocks(offsets):
@@ -409,7 +413,7 @@ def encode(docs: DataFrame, path: str, words: int = WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path, file)
-        for batch in batches:
+        for batch in arrays.batches_of(batches):
             doc_ids = batch.column("doc_id")
             for row, end, ids, at in encoder.encode(batch.column("text")):
                 rows = range(end - row)
@@ -418,5 +422,6 @@ def encode(docs: DataFrame, path: str, words: int = WORDS) -> DataFrame:
                     pa.array([ids[at[r]:at[r + 1]].astype("<u4").tobytes() for r in rows], pa.binary()),
                     pa.array([encoder.merges.decode(ids[at[r]:at[r + 1]]) for r in rows], pa.string()),
                 ], names=["doc_id", "ids", "decoded"])
+        encoder.forget()
 
     return docs.mapInArrow(run, "doc_id long, ids binary, decoded string")

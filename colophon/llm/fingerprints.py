@@ -108,7 +108,7 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The last row of a batch waits for the next batch.
     """
     held: list[tuple] = []
-    for batch in batches:
+    for batch in arrays.batches_of(batches):
         rows = held + list(zip(*(batch.column(c).to_pylist() for c in ("part", "copied", "doc_id", "text"))))
         held = rows[-1:]
         texts = [text or "" for *_, text in rows]

@@ -76,7 +76,7 @@ def _shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in arrays.batches_of(batches):
         if not batch.num_rows:
             continue
         signed, keys, sizes = [], [], []
@@ -130,7 +130,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
         return np.flatnonzero(new)
 
     held = None
-    for batch in batches:
+    for batch in arrays.batches_of(batches):
         table = pa.Table.from_batches([batch])
         held = pa.concat_tables([held, table]) if held is not None else table
         if held.num_rows:

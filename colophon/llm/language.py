@@ -117,7 +117,7 @@ def train(docs: DataFrame) -> Model:
               .dropDuplicates(["lang", "draw"]).select("text", "lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.batches_of(batches):
             langs = batch.column("lang")
             for row, end, counts in _counted(batch.column("text")):
                 yield pa.RecordBatch.from_arrays(
@@ -128,7 +128,7 @@ def train(docs: DataFrame) -> Model:
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.zeros(SIZE, np.int64), 0
-        for batch in batches:
+        for batch in arrays.batches_of(batches):
             for counts in batch.column("counts").to_pylist():
                 held += np.frombuffer(counts, "<u4") > 0
                 n += 1
@@ -169,7 +169,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in arrays.batches_of(batches):
             letters = batch.column("__letters").to_numpy(zero_copy_only=False)
             n = batch.num_rows
             label, score = np.full(n, UNKNOWN, object), np.zeros(n)

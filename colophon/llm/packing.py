@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from colophon.llm import bpe
+from colophon.llm import arrays, bpe
 from colophon.llm.columns import narrow
 from colophon.session import Scratch
 
@@ -49,7 +49,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.Encoder.of(path, file)
         tail = np.array([END], "<u4").tobytes()
-        for batch in batches:
+        for batch in arrays.batches_of(batches):
             doc_ids = batch.column("doc_id").to_pylist()
             for row, end, ids, at in encoder.encode(batch.column("text")):
                 raw = ids.astype("<u4").tobytes()
@@ -63,6 +63,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:None if with_ids else 5]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(kinds)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        encoder.forget()
 
     return docs.mapInArrow(run, PIECES + ", ids binary" * with_ids)
 

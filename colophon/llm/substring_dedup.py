@@ -81,7 +81,7 @@ def _flagged(hashes: np.ndarray, rows: np.ndarray, lists: pa.ListArray, row: int
 
 
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in arrays.batches_of(batches):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         found = []
         for row, _, hashes, at in arrays.hashed_words(*arrays.text_buffers(batch.column("text"))):
@@ -93,7 +93,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows around anchors that other documents share."""
-    for batch in batches:
+    for batch in arrays.batches_of(batches):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         lists = batch.column("hashes")
         found = []
@@ -115,7 +115,7 @@ def _find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _remover(names: list[str], joined: bool) -> Callable:
     """Cuts the removed windows out of the texts."""
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.batches_of(batches):
             data, offsets = arrays.text_buffers(batch.column("text"))
             raw, lists = data.tobytes(), batch.column("hashes")
             texts, n_words, n_removed = [], [], []
