@@ -27,8 +27,9 @@ from colophon.llm.columns import narrow
 from colophon.session import _file_system, shared_folder
 
 WORDS = 150_000
-# A word counts towards the lexicon with the batches in which it comes this often.
-FREQUENT = 3
+# Words are counted in pieces of so many bytes of text; a word counts towards the lexicon with the
+# pieces in which it comes at least this often.
+COUNTED, FREQUENT = 8 << 20, 2
 REMEMBERED = 1 << 20
 LONGEST = 32
 # Characters whose normal form and class need no Unicode tables: printable ASCII and Latin-1 letters.
@@ -353,32 +354,37 @@ class Encoder:
                 yield row, end, *self._block(part, offsets[row:end + 1] - offsets[row])
 
 
+def _often(data: np.ndarray, parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The words that come ``FREQUENT`` times or more in some blocks, with their numbers."""
+    hashes, starts, ends = map(np.concatenate, zip(*parts))
+    _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
+    often = (counts >= FREQUENT) & (ends[first] - starts[first] <= 2 * LONGEST)
+    first, counts = first[often], counts[often]
+    words = [data[i:j].tobytes() for i, j in zip(starts[first].tolist(), ends[first].tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counts)], names=["word", "n"])
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in arrays.batches_of(batches):
         data, offsets = arrays.text_buffers(batch.column("text"))
-        hashes, starts, ends = [], [], []
+        parts, size = [], 0
         for row, end in arrays.blocks(offsets):
             part, base = data[offsets[row]:offsets[end]], offsets[row]
-            a, b = arrays.word_bounds(part, offsets[row:end + 1] - base)
-            hashes.append(arrays.word_hashes(part, a, b))
-            starts.append(a + base)
-            ends.append(b + base)
-        if not hashes:
-            continue
-        hashes, starts, ends = map(np.concatenate, (hashes, starts, ends))
-        _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-        often = (counts >= FREQUENT) & (ends[first] - starts[first] <= 2 * LONGEST)
-        raw = data.tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([raw[starts[i]:ends[i]] for i in first[often]], pa.binary()), pa.array(counts[often])],
-            names=["word", "n"])
+            starts, ends = arrays.word_bounds(part, offsets[row:end + 1] - base)
+            parts.append((arrays.word_hashes(part, starts, ends), starts + base, ends + base))
+            size += len(part)
+            if size >= COUNTED:
+                yield _often(data, parts)
+                parts, size = [], 0
+        if parts:
+            yield _often(data, parts)
 
 
 def frequent_words(docs: DataFrame, words: int = WORDS) -> list[bytes]:
     """The most frequent words of all texts; at most ``words`` of them reach the driver.
 
-    Batches leave out the words they have fewer than ``FREQUENT`` times. That only decides which
-    words are compiled: ids do not depend on it.
+    Pieces of text leave out the words they have fewer than ``FREQUENT`` times. That only decides
+    which words are compiled: ids do not depend on it.
     """
     counted = docs.select("text").mapInArrow(_count_words, "word binary, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
