@@ -4,10 +4,15 @@ A candidate is a run of 20 or more characters that keys are written in. A window
 it; counts per character and the sum of ``c * log2(c)`` are updated by the character that enters and
 the one that leaves, which gives the window's Shannon entropy. How much is suspicious depends on
 the character class of the candidate. Strings of the allow-list are left alone.
+
+``by_window`` also judges every window by its own class, kept by counts per group of characters, so
+that a name in front of a secret does not move the secret into a stricter class.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from colophon.llm.columns import narrow, whole
@@ -31,6 +36,8 @@ CLASSES = [
     ("^[a-z0-9_=-]+$|^[A-Z0-9_=-]+$", 3.5),
     ("", 3.7),
 ]
+# Groups of characters that tell the class of a window.
+GROUPS = ["[0-9]", "[a-f]", "[A-F]", "[g-z]", "[G-Z]", "[+/]"]
 ALLOWED = [
     "(?i)example|sample|dummy|placeholder|changeme|your[_-]",
     "(.)\\1{7,}",
@@ -62,18 +69,43 @@ def located(text: Column, pattern: str, present: str, group: int = 0) -> Column:
     return F.when(text.rlike(present), F.aggregate(rows, zero, step, lambda a: a["spans"])).otherwise(none)
 
 
-def suspicious(candidate: Column, allowed: list[str]) -> Column:
-    """``(first, last)``: the first and last suspicious window of a candidate, or null."""
+def window_limit(groups: Column, first_upper: Column) -> Column:
+    """The limit of ``CLASSES`` for a window with so many characters of each of ``GROUPS``."""
+    digits, low_hex, up_hex, low, up, signs = (F.get(groups, F.lit(k)) for k in range(len(GROUPS)))
+    lower, upper = low_hex + low, up_hex + up
+    joined = F.lit(WINDOW) - digits - lower - upper - signs
+    one_case = (lower == 0) | (upper == 0)
+    limits = [limit for _, limit in CLASSES]
+    tests = [digits == WINDOW, (digits + low_hex + up_hex == WINDOW) & one_case,
+             (digits + signs == 0) & (one_case | (first_upper & (upper == 1))),
+             lower + upper + joined == WINDOW, (signs == 0) & one_case]
+    out = F
+    for test, limit in zip(tests, limits):
+        out = out.when(test, F.lit(limit).cast("double"))
+    return out.otherwise(F.lit(limits[-1]))
+
+
+def suspicious(candidate: Column, allowed: list[str], by_window: bool = False) -> Column:
+    """``(first, last)``: the first and last suspicious window of a candidate, or null.
+
+    A window is suspicious by the class of the candidate, and with ``by_window`` also by its own.
+    """
     bits = None
     for pattern, limit in CLASSES:
         value = F.lit(limit).cast("double")
         bits = F.when(candidate.rlike(pattern), value) if bits is None else bits.when(
             candidate.rlike(pattern), value) if pattern else bits.otherwise(value)
+    judged = F.lit(True)
     for pattern in allowed:
-        bits = F.when(~candidate.rlike(pattern), bits)
+        judged = judged & ~candidate.rlike(pattern)
+    bits = F.when(judged, bits)
+    group_of = [next((k for k, g in enumerate(GROUPS) if re.match(g, c)), -1) for c in ALPHABET]
+    groups_of = F.array(*map(F.lit, group_of))
+    upper = [k for k, g in enumerate(GROUPS) if g in ("[A-F]", "[G-Z]")]
     places = F.transform(F.array_remove(F.split(candidate, ""), ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     zero = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"),
+        F.array_repeat(F.lit(0), len(GROUPS)).alias("groups"),
         F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), F.lit(0).alias("i"))
 
     def weight(c):
@@ -89,10 +121,15 @@ def suspicious(candidate: Column, allowed: list[str]) -> Column:
                 weight(shrunk - 1) - weight(shrunk), F.lit(0.0))).otherwise(0.0)
             counts = F.transform(a["counts"], lambda c, j: c + (j == enters).cast("int") - (j == leaves).cast("int"))
             entropy = F.log2(F.lit(float(WINDOW))) - total / WINDOW
-            hit = (i >= WINDOW - 1) & (F.round(entropy, 6) >= limit)
             here = i - (WINDOW - 1)
+            groups, least = a["groups"], limit
+            if by_window:
+                came, went = F.get(groups_of, enters), F.coalesce(F.get(groups_of, leaves), F.lit(-1))
+                groups = F.transform(groups, lambda c, j: c + (j == came).cast("int") - (j == went).cast("int"))
+                least = F.least(limit, window_limit(groups, F.get(groups_of, F.get(all_places, here)).isin(upper)))
+            hit = (i >= WINDOW - 1) & F.coalesce(F.round(entropy, 6) >= least, F.lit(False))
             return F.struct(
-                counts.alias("counts"), total.alias("sum"),
+                counts.alias("counts"), total.alias("sum"), groups.alias("groups"),
                 F.when(hit & a["first"].isNull(), here).otherwise(a["first"]).alias("first"),
                 F.when(hit, here).otherwise(a["last"]).alias("last"), (i + 1).alias("i"))
 
@@ -100,11 +137,12 @@ def suspicious(candidate: Column, allowed: list[str]) -> Column:
             a["first"].alias("first"), a["last"].alias("last"))))
 
     # The places are bound to a lambda variable, so that they are made once per candidate.
-    return F.when(bits.isNotNull(), F.get(F.transform(F.array(F.struct(
+    wanted = judged if by_window else bits.isNotNull()
+    return F.when(wanted, F.get(F.transform(F.array(F.struct(
         places.alias("places"), bits.alias("bits"))), lambda x: slide(x["places"], x["bits"])), 0))
 
 
-def secret_spans(text: Column, allowed: list[str] = ALLOWED) -> Column:
+def secret_spans(text: Column, allowed: list[str] = ALLOWED, by_window: bool = False) -> Column:
     """All spans of a text as ``(start, kind, end)``, ordered; ``kind`` counts in ``KINDS``.
 
     Spans may overlap. A null text must be made empty by the caller.
@@ -117,7 +155,7 @@ def secret_spans(text: Column, allowed: list[str] = ALLOWED) -> Column:
     access = F.filter(located(text, ACCESS, "AKIA[A-Z0-9]{16}"), lambda x: x["end"] - x["start"] >= 20)
     hexes = F.filter(located(text, f"{HEX[:-1]}{{24,}}", f"{HEX[:-1]}{{24}}"), lambda x: x["end"] - x["start"] >= 24)
     judged = F.filter(F.transform(located(text, CANDIDATE, CANDIDATE), lambda x: F.struct(
-        x["start"].alias("start"), suspicious(x["part"], allowed).alias("window"))), lambda x: x["window"].isNotNull())
+        x["start"].alias("start"), suspicious(x["part"], allowed, by_window).alias("window"))), lambda x: x["window"].isNotNull())
     return F.sort_array(F.concat(
         kind(0, assign), kind(1, access), kind(2, hexes),
         kind(3, judged, lambda x: x["start"] + x["window"]["first"],
@@ -140,7 +178,8 @@ def listed(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", allowed: list[str] = ALLOWED) -> DataFrame:
-    """``docs`` with ``mark`` in place of every maximal stretch that spans cover.
+    """``docs`` with ``mark`` in place of every maximal stretch that spans cover, windows judged by
+    their own class included.
 
     All rows and columns are kept; a null text stays null, and ``n_chars``, if it is there, is
     counted anew for the texts that change.
@@ -156,7 +195,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", allowed: list[str] = ALLOWED
     spans = F.col("__spans")
     clean = F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, lambda a: F.concat(
         a["out"], F.substring(text, a["at"] + 1, F.length(text))))).otherwise(text)
-    out = docs.withColumn("__spans", secret_spans(whole())).withColumn("text", clean)
+    out = docs.withColumn("__spans", secret_spans(whole(), allowed, by_window=True)).withColumn("text", clean)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
             F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
