@@ -85,6 +85,14 @@ def window_limit(groups: Column, first_upper: Column) -> Column:
     return out.otherwise(F.lit(limits[-1]))
 
 
+def without(text: Column, pattern: str) -> Column:
+    """The text with a point in place of every character of a match."""
+    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
+                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("all"))
+    return F.when(text.rlike(pattern), F.array_join(F.transform(pieces, lambda x: F.concat(
+        x["gap"], F.coalesce(F.regexp_replace(x["all"], ".", "."), F.lit("")))), "")).otherwise(text)
+
+
 def suspicious(candidate: Column, allowed: list[str], by_window: bool = False) -> Column:
     """``(first, last)``: the first and last suspicious window of a candidate, or null.
 
@@ -102,10 +110,17 @@ def suspicious(candidate: Column, allowed: list[str], by_window: bool = False) -
     group_of = [next((k for k, g in enumerate(GROUPS) if re.match(g, c)), -1) for c in ALPHABET]
     groups_of = F.array(*map(F.lit, group_of))
     upper = [k for k, g in enumerate(GROUPS) if g in ("[A-F]", "[G-Z]")]
-    places = F.transform(F.array_remove(F.split(candidate, ""), ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+
+    def places_of(part):
+        return F.transform(F.array_remove(F.split(part, ""), ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+
+    # Characters of the allow-list have the place -1 and no class.
+    places = places_of(candidate)
+    for pattern in allowed if by_window else []:
+        places = F.zip_with(places, places_of(without(candidate, pattern)), lambda x, y: F.least(x, y))
     zero = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"),
-        F.array_repeat(F.lit(0), len(GROUPS)).alias("groups"),
+        F.array_repeat(F.lit(0), len(GROUPS)).alias("groups"), F.lit(0).alias("spared"),
         F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), F.lit(0).alias("i"))
 
     def weight(c):
@@ -122,14 +137,15 @@ def suspicious(candidate: Column, allowed: list[str], by_window: bool = False) -
             counts = F.transform(a["counts"], lambda c, j: c + (j == enters).cast("int") - (j == leaves).cast("int"))
             entropy = F.log2(F.lit(float(WINDOW))) - total / WINDOW
             here = i - (WINDOW - 1)
-            groups, least = a["groups"], limit
+            groups, spared, least = a["groups"], a["spared"], limit
             if by_window:
-                came, went = F.get(groups_of, enters), F.coalesce(F.get(groups_of, leaves), F.lit(-1))
+                spared = spared + (enters < 0).cast("int") - ((i >= WINDOW) & (leaves < 0)).cast("int")
+                came, went = (F.coalesce(F.get(groups_of, x), F.lit(-1)) for x in (enters, leaves))
                 groups = F.transform(groups, lambda c, j: c + (j == came).cast("int") - (j == went).cast("int"))
                 least = F.least(limit, window_limit(groups, F.get(groups_of, F.get(all_places, here)).isin(upper)))
-            hit = (i >= WINDOW - 1) & F.coalesce(F.round(entropy, 6) >= least, F.lit(False))
+            hit = (i >= WINDOW - 1) & (spared == 0) & F.coalesce(F.round(entropy, 6) >= least, F.lit(False))
             return F.struct(
-                counts.alias("counts"), total.alias("sum"), groups.alias("groups"),
+                counts.alias("counts"), total.alias("sum"), groups.alias("groups"), spared.alias("spared"),
                 F.when(hit & a["first"].isNull(), here).otherwise(a["first"]).alias("first"),
                 F.when(hit, here).otherwise(a["last"]).alias("last"), (i + 1).alias("i"))
 
@@ -137,8 +153,7 @@ def suspicious(candidate: Column, allowed: list[str], by_window: bool = False) -
             a["first"].alias("first"), a["last"].alias("last"))))
 
     # The places are bound to a lambda variable, so that they are made once per candidate.
-    wanted = judged if by_window else bits.isNotNull()
-    return F.when(wanted, F.get(F.transform(F.array(F.struct(
+    return F.when(F.lit(True) if by_window else bits.isNotNull(), F.get(F.transform(F.array(F.struct(
         places.alias("places"), bits.alias("bits"))), lambda x: slide(x["places"], x["bits"])), 0))
 
 

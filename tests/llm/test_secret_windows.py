@@ -45,3 +45,21 @@ def test_limits_of_windows_are_those_of_classes(spark):
         want = F.when(test, limit) if want is None else want.when(test, limit)
     got = df.select("text", secret_scan.window_limit(groups, F.col("text").rlike("^[A-Z]")).alias("got"), want.alias("want"))
     assert all(r["got"] == r["want"] for r in got.collect())
+
+
+def test_allowed_strings_spare_only_what_they_overlap(spark):
+    # The first line of an unencrypted OpenSSH key, whole and unwrapped, and keys beside allowed words.
+    first = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
+    keys = [drawn(BASE64, 40, seed) for seed in range(10)]
+    lines = ["".join(keys[:2])[:70], first + "".join(keys)]
+    for text in (first, *lines):
+        assert masked(spark, [text])[0].startswith("[SECRET]")
+    for key, after in zip(keys, masked(spark, ["SAMPLE_KEY=" + key for key in keys])):
+        assert after.startswith("SAMPLE") and "[SECRET]" in after and key[4:-4] not in after
+    assert not any(k in masked(spark, [first + "".join(keys)])[0] for k in keys)
+
+
+def test_allowed_strings_alone_are_left(spark):
+    texts = ["a" * 22 + "ZZZZZZZZ", "123e4567-e89b-12d3-a456-426614174000", "/usr/local/share/applications/x",
+             "xQ7-example-Zr9Lk2Wv", "=" * 60, "AbCd0123456789EfGh+/"]
+    assert masked(spark, texts) == texts
