@@ -6,8 +6,8 @@ Spherical k-means splits each language's training vectors into a few centroids.
 nearest centroid by cosine wins; a text that is much further from it than nearly all training
 texts of that language are is rejected, unless it is only a few words long.
 
-Training uses a bounded sample: of each of the ``MAX_LANGUAGES`` commonest labels about ``PER_LANGUAGE``
-documents, chosen by a hash.
+Training uses a bounded sample: of each label about ``PER_LANGUAGE`` documents, chosen by a hash. All
+labels are learned; their centroids are written and matched in blocks of ``BLOCK_LABELS`` labels.
 """
 
 from __future__ import annotations
@@ -18,14 +18,19 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from colophon.llm import arrays
 from colophon.llm.columns import narrow
+from colophon.operators.skew import lookup_join
+from colophon.session import Scratch
 
 BITS = 12
 SIZE = 1 << BITS
-MAX_LANGUAGES, PER_LANGUAGE, CENTROIDS = 256, 600, 4
+PER_LANGUAGE, CENTROIDS = 600, 4
+# The driver holds the centroids of so many labels (16 MB) at a time.
+BLOCK_LABELS = 256
 # A text is rejected below this share of the similarity that 99 % of its language's samples reach.
 # Texts with fewer different features than this are too short for a distance to say anything.
 REJECT, FEW = 0.4, 48
@@ -37,16 +42,23 @@ _ROWS = 256
 
 
 @dataclass
-class Model:
-    """Labels by centroid, centroids (one row each, length 1), weights of features, and the least
-    similarity per centroid that is not rejected."""
+class Block:
+    """Labels by centroid, centroids (one row each, length 1) and the least similarity per centroid
+    that is not rejected."""
 
-    labels: list[str]
+    labels: np.ndarray
     centroids: np.ndarray
-    idf: np.ndarray
     least: np.ndarray
 
 
+@dataclass
+class Model:
+    """Weights of features, and broadcast blocks in the order of their labels."""
+
+    idf: np.ndarray
+    blocks: list[Broadcast]
+
+
 def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Counts of the hashed pairs and triples per row."""
     rows = len(offsets) - 1
@@ -105,15 +117,14 @@ def train(docs: DataFrame) -> Model:
     Copies of a row count once. Without any such row the model knows no language.
     """
     labelled = narrow(docs, "doc_id", "text", "lang").filter("text is not null and lang is not null")
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return Model([], np.zeros((0, SIZE), np.float32), np.ones(SIZE, np.float32), np.zeros(0))
-    # A fraction of a hash's range per label; labels beyond the commonest have none.
-    share = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(PER_LANGUAGE / r["n"]))))
+    scratch = Scratch(docs.sparkSession, "language")
+    shares = scratch.table(labelled.groupBy("lang").agg((F.lit(float(PER_LANGUAGE)) / F.count(F.lit(1))).alias("share")), "shares")
+    if not scratch.rows["shares"]:
+        return Model(np.ones(SIZE, np.float32), [])
+    # A fraction of a hash's range per label.
     draw = F.xxhash64("doc_id", "text")
-    sample = (labelled.withColumn("draw", draw)
-              .filter(F.shiftrightunsigned("draw", 1) / F.lit(2.0**63) < F.try_element_at(share, F.col("lang")))
+    sample = (lookup_join(labelled.withColumn("draw", draw), shares, "lang", lookup_rows=scratch.rows["shares"])
+              .filter(F.shiftrightunsigned("draw", 1) / F.lit(2.0**63) < F.col("share"))
               .dropDuplicates(["lang", "draw"]).select("text", "lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,13 +158,20 @@ def train(docs: DataFrame) -> Model:
             return pd.DataFrame({"lang": rows["lang"].iloc[0], "near": near,
                                  "centroid": [c.astype("<f4").tobytes() for c in centroids]})
 
-        # At most CENTROIDS rows for each of MAX_LANGUAGES labels.
-        rows = counted.groupBy("lang").applyInPandas(
-            cluster, "lang string, near double, centroid binary").orderBy("lang", "centroid").collect()
+        learned = scratch.table(counted.groupBy("lang").applyInPandas(
+            cluster, "lang string, near double, centroid binary"), "centroids")
     finally:
         counted.unpersist()
-    return Model([r["lang"] for r in rows], np.vstack([np.frombuffer(bytes(r["centroid"]), "<f4") for r in rows]), idf,
-                 REJECT * np.array([r["near"] for r in rows]))
+    labels = [r["lang"] for r in learned.select("lang").distinct().orderBy("lang").collect()]
+    blocks = []
+    for k in range(0, len(labels), BLOCK_LABELS):
+        part = labels[k:k + BLOCK_LABELS]
+        rows = learned.filter(F.col("lang").between(part[0], part[-1])).orderBy("lang", "centroid").collect()
+        blocks.append(docs.sparkSession.sparkContext.broadcast(Block(
+            np.array([r["lang"] for r in rows], object),
+            np.vstack([np.frombuffer(bytes(r["centroid"]), "<f4") for r in rows]),
+            REJECT * np.array([r["near"] for r in rows]))))
+    return Model(idf, blocks)
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:
@@ -165,23 +183,28 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     added = ["lang_pred", "score", "rejected"]
     docs = docs.drop(*(c for c in docs.columns if c.lower() in [*added, "__letters"]))
     names = docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    idf, blocks = model.idf, model.blocks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in arrays.batches_of(batches):
             letters = batch.column("__letters").to_numpy(zero_copy_only=False)
             n = batch.num_rows
             label, score = np.full(n, UNKNOWN, object), np.zeros(n)
             rejected = np.ones(n, bool)
-            if known.labels:
-                names_of = np.array(known.labels, object)
+            if blocks:
                 for row, end, counts in _counted(batch.column("text")):
-                    near = vectors(counts, known.idf) @ known.centroids.T
-                    best = near.argmax(axis=1)
-                    label[row:end] = names_of[best]
-                    score[row:end] = np.clip(near[np.arange(end - row), best], 0, 1)
-                    rejected[row:end] = (score[row:end] < known.least[best]) & ((counts > 0).sum(axis=1) >= FEW)
+                    points = vectors(counts, idf)
+                    best, least = np.full(end - row, -1, np.float32), np.zeros(end - row)
+                    for known in (block.value for block in blocks):
+                        near = points @ known.centroids.T
+                        nearest = near.argmax(axis=1)
+                        near = near[np.arange(end - row), nearest]
+                        # Blocks are in the order of labels, so the first label keeps a tie.
+                        closer = np.flatnonzero(near > best)
+                        best[closer], least[closer] = near[closer], known.least[nearest[closer]]
+                        label[row + closer] = known.labels[nearest[closer]]
+                    score[row:end] = np.clip(best, 0, 1)
+                    rejected[row:end] = (score[row:end] < least) & ((counts > 0).sum(axis=1) >= FEW)
                 label[~letters], score[~letters], rejected[~letters] = UNKNOWN, 0.0, True
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(label, pa.string()), pa.array(score), pa.array(rejected)],
