@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from colophon.llm import licenses, quality, secret_scan
+from colophon.llm import licenses, mixing, quality, secret_scan
 
 WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -53,6 +53,27 @@ select doc_id, least(doc_id, coalesce(least, doc_id)) as class_id, coalesce(n, 0
 from w left join class on class.a = doc_id left join counts on counts.a = doc_id
 union all select null, null, 0, 0, true from documents where doc_id is null"""
 
+OP13 = f"""
+with w as (select row_number() over () as rid, doc_id, source, len({WORDS})::bigint as size from documents),
+src as (select source, sum(size)::bigint as n,
+               ((row_number() over (order by source nulls last) - 1) % {len(mixing.WEIGHTS)} + 1)::bigint as weight from w group by source),
+rising as (select *, sum(n) over () - {mixing.MOST} * coalesce(sum(n) over below, 0) as rest,
+                  sum(weight) over () - coalesce(sum(weight) over below, 0) as weights from src
+           window below as (order by n / weight, source rows between unbounded preceding and 1 preceding)),
+level as (select rest, weights from rising where weight * rest <= {mixing.MOST} * n * weights order by n / weight, source limit 1),
+goals as (select source, n as source_size, case when weight * rest > {mixing.MOST} * n * weights then ({mixing.MOST} * n)::double
+                 else (weight * rest)::double / weights::double end as target from src, level),
+sized as (select w.*, source_size, target, floor(target + 0.5)::bigint // nullif(source_size, 0) as passes,
+                 floor(target + 0.5)::bigint % nullif(source_size, 0) as rest
+          from w join goals on w.source is not distinct from goals.source),
+blocks as (select *, least({mixing.BLOCK}, size - k * {mixing.BLOCK}) as words,
+                  md5(concat_ws(':', coalesce(doc_id::varchar, ''), k::varchar, '{mixing.SEED}')) as hash
+           from (select *, unnest(range(0, (size + {mixing.BLOCK - 1}) // {mixing.BLOCK})) as k from sized)),
+fronts as (select *, coalesce(sum(words) over (partition by source order by hash, words, rid
+                  rows between unbounded preceding and 1 preceding), 0) as before from blocks),
+taken as (select rid, sum(passes * words + greatest(0, least(words, rest - before))) as taken from fronts group by rid)
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken from sized left join taken using (rid)"""
+
 
 def _op3() -> str:
     n_strata, n_rules = len(quality.STRATA) + 1, len(quality.RULES)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colophon.llm import (
-    bpe, fingerprints, jaccard_join, language, licenses, oracles, packing, quality, quotations, secret_scan,
+    bpe, fingerprints, jaccard_join, language, licenses, mixing, oracles, packing, quality, quotations, secret_scan,
     substring_dedup)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +80,10 @@ def op9_license_scan(spark, sf_dir):
         "score", F.round("score", 6))
 
 
+def op13_source_mixing(spark, sf_dir):
+    return mixing.words_taken(_read(spark, sf_dir, "documents"))
+
+
 ENTRIES = {
     "op1_secret_scan": (op1_secret_scan, oracles.OP1),
     "op2_jaccard_join": (op2_jaccard_join, oracles.OP2),
@@ -91,4 +95,5 @@ ENTRIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_license_scan": (op9_license_scan, oracles.OP9),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op13_source_mixing": (op13_source_mixing, oracles.OP13),
 }
