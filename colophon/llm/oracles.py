@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from colophon.llm import licenses, mixing, quality, secret_scan
+from colophon.llm import licenses, mixing, quality, search, secret_scan
 
 WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -74,6 +74,24 @@ fronts as (select *, coalesce(sum(words) over (partition by source order by hash
 taken as (select rid, sum(passes * words + greatest(0, least(words, rest - before))) as taken from fronts group by rid)
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken from sized left join taken using (rid)"""
 
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), '{0}', '{1}'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')").format(licenses.UPPER, licenses.LOWER)
+OP11 = f"""
+with d as (select row_number() over () as rid, doc_id, {_TERMS} as ws from documents),
+items as (select row_number() over () as iid, item_id, {_TERMS} as ws from benchmark),
+asked as (select iid, term, count(*) as k from (select iid, unnest(ws) as term from items) group by all),
+totals as (select count(*) as n_docs, sum(len(ws))::bigint as n_terms from d where len(ws) > 0),
+posting as (select rid, term, count(*) as tf from (select rid, unnest(ws) as term from d)
+            where term in (select term from asked) group by all),
+weights as (select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from posting, totals group by term),
+norm as (select rid, 75 + (25 * len(ws)::bigint * n_docs) // n_terms as m from d, totals),
+scores as (select iid, rid, sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+           from asked join posting using (term) join weights using (term) join norm using (rid) group by all having score > 0)
+select item_id, rank::int as rank, doc_id, score from (
+    select item_id, doc_id, score, row_number() over (partition by iid order by score desc, doc_id nulls last) as rank
+    from scores join d using (rid) join items using (iid)) where rank <= {search.KEPT}"""
+
 
 def _op3() -> str:
     n_strata, n_rules = len(quality.STRATA) + 1, len(quality.RULES)

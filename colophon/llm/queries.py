@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colophon.llm import (
-    bpe, fingerprints, jaccard_join, language, licenses, mixing, oracles, packing, quality, quotations, secret_scan,
-    substring_dedup)
+    bpe, fingerprints, jaccard_join, language, licenses, mixing, oracles, packing, quality, quotations, search,
+    secret_scan, substring_dedup)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -80,6 +80,10 @@ def op9_license_scan(spark, sf_dir):
         "score", F.round("score", 6))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return search.search_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op13_source_mixing(spark, sf_dir):
     return mixing.words_taken(_read(spark, sf_dir, "documents"))
 
@@ -95,5 +99,6 @@ ENTRIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_license_scan": (op9_license_scan, oracles.OP9),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_ranked_search": (op11_ranked_search, oracles.OP11),
     "op13_source_mixing": (op13_source_mixing, oracles.OP13),
 }
