@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from colophon.llm import licenses, mixing, quality, search, secret_scan
+from colophon.llm import licenses, mixing, quality, search, secret_scan, spelling
 
 WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -92,6 +92,34 @@ select item_id, rank::int as rank, doc_id, score from (
     select item_id, doc_id, score, row_number() over (partition by iid order by score desc, doc_id nulls last) as rank
     from scores join d using (rid) join items using (iid)) where rank <= {search.KEPT}"""
 
+# The checksum's table by its rule: eight shifts of every byte, with the reversed polynomial 0xEDB88320.
+OP12 = f"""
+with recursive steps as (
+    select list(list_reduce(list_prepend(i::bigint, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384)
+                else c >> 1 end) order by i) as t from range(256) r(i)),
+runs as (select coalesce(doc_id::varchar, '') || ':' as doc, translate(unnest(regexp_extract_all(coalesce(text, ''),
+                '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]{{{spelling.SHORTEST},}}')), '{licenses.UPPER}', '{licenses.LOWER}') as run from documents),
+each as (select doc, run, count(*) as k, hex(encode(doc || run)) as x from runs group by all),
+hashed as (select run, k, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(x)::bigint, 2),
+                  lambda i: ('0x' || substr(x, i, 2))::bigint)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+           from each, steps),
+words as (select word, sum(k)::bigint as n from (
+              select k, case when h % {spelling.SLIP} = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                             else run end as word from hashed)
+          where length(word) >= {spelling.SHORTEST} group by word having sum(k) >= {spelling.OFTEN}),
+cut as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest
+        from words, unnest(range(1, length(word) + 1)) u(i)),
+near as (select a.word, b.word as near, b.n as near_n from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+         union select cut.word, words.word, words.n from cut join words on rest = words.word
+         union select words.word, cut.word, cut.n from cut join words on rest = words.word),
+best as (select word, count(*) as n_near, min(struct_pack(less := -near_n, near := near)) as b from near group by word),
+told as (select word, n, coalesce(n_near, 0)::bigint as n_near, case when -b.less >= 2 * n then b.near end as form,
+                case when -b.less >= 2 * n then (-b.less)::bigint end as form_n from words left join best using (word)),
+way as (select word, word as root from told
+        union all select way.word, told.form from way join told on way.root = told.word where told.form is not null)
+select word, told.form, way.root, told.n, n_near, form_n from told join way using (word)
+where way.root in (select word from told where form is null)"""
+
 
 def _op3() -> str:
     n_strata, n_rules = len(quality.STRATA) + 1, len(quality.RULES)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colophon.llm import (
     bpe, fingerprints, jaccard_join, language, licenses, mixing, oracles, packing, quality, quotations, search,
-    secret_scan, substring_dedup)
+    secret_scan, spelling, substring_dedup)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -84,6 +84,10 @@ def op11_ranked_search(spark, sf_dir):
     return search.search_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
 def op13_source_mixing(spark, sf_dir):
     return mixing.words_taken(_read(spark, sf_dir, "documents"))
 
@@ -100,5 +104,6 @@ ENTRIES = {
     "op9_license_scan": (op9_license_scan, oracles.OP9),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
     "op11_ranked_search": (op11_ranked_search, oracles.OP11),
+    "op12_spelling_variants": (op12_spelling_variants, oracles.OP12),
     "op13_source_mixing": (op13_source_mixing, oracles.OP13),
 }
