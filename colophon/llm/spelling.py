@@ -1,6 +1,6 @@
 """Spelling variants: words one edit apart, found through an index of variable-length grams.
 
-1. How many words hold each gram of two to five characters is counted. The frequent grams are the
+1. How many words hold each gram of two to six characters is counted. The frequent grams are the
    dictionary's inner nodes: a gram that is frequent is extended by the next character, one that is not
    is never extended, so the dictionary has no gram below an infrequent one.
 2. A word between two marks is decomposed: every place has the shortest gram from there on that is no
@@ -21,10 +21,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colophon.llm.arrays import batches_of
+from colophon.llm.arrays import batches_of, text_buffers
 from colophon.llm.columns import narrow, whole
 from colophon.llm.licenses import LOWER, UPPER
 from colophon.session import Scratch
@@ -39,8 +41,8 @@ FREQUENT, DICTIONARY = 32, 1 << 16
 PLACES = 12
 # A list of a gram that more words than this hold is split by the second gram.
 COMMON = 2000
-# Longer words are not compared by the usual table of edits.
-PLAIN = 64
+# So many pairs of words are compared at a time.
+PAIRS = 1 << 18
 BEGIN, END = "\x02", "\x03"
 
 
@@ -63,7 +65,8 @@ def words_of(docs: DataFrame) -> DataFrame:
 
 
 def frequent_grams(words: DataFrame, frequent: int = FREQUENT, size: int = DICTIONARY) -> tuple[dict[str, int], int]:
-    """The grams that are extended and how many times words hold them; and what no other gram exceeds.
+    """The frequent grams and how many times words hold them; and what no other gram exceeds. Those shorter
+    than ``LONGEST`` are extended.
 
     Counted where grams are used, so of a long word only in its two ends. At most ``size`` grams reach
     the driver, those most often held.
@@ -72,7 +75,7 @@ def frequent_grams(words: DataFrame, frequent: int = FREQUENT, size: int = DICTI
     ends = F.when(F.length("word") <= 2 * end, F.array(F.concat(F.lit(BEGIN), "word", F.lit(END)))).otherwise(
         F.array(F.concat(F.lit(BEGIN), F.left("word", F.lit(end))), F.concat(F.right("word", F.lit(end)), F.lit(END))))
     marked = words.select(F.explode(ends).alias("w"))
-    grams = F.flatten(F.transform(F.sequence(F.lit(LEAST), F.lit(LONGEST - 1)), lambda q: F.transform(
+    grams = F.flatten(F.transform(F.sequence(F.lit(LEAST), F.lit(LONGEST)), lambda q: F.transform(
         F.sequence(F.lit(1), F.greatest(F.length("w") - q + 1, F.lit(1))), lambda i: F.substr("w", i, q))))
     counts = marked.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     top = counts.filter(F.col("n") > frequent).orderBy(F.desc("n"), "gram").limit(size).collect()
@@ -142,32 +145,103 @@ def _lists(words: DataFrame, frequent: dict[str, int], unseen: int, common: int)
     return words.select("word", "n").mapInArrow(run, "key string, longer boolean, word string, n long")
 
 
-def one_edit(a: Column, b: Column) -> Column:
-    """Whether ``b`` differs from ``a`` by exactly one replaced or one inserted character; ``b`` is as long as ``a``
-    or one longer. Long words are compared behind what both begin with, which is found by halving."""
-    def halved(x: Column, _: Column) -> Column:
-        middle = F.floor((x["low"] + x["high"] + 1) / 2).cast("int")
-        alike = F.left(a, middle) == F.left(b, middle)
-        return F.struct(F.when(alike, middle).otherwise(x["low"]).alias("low"),
-                        F.when(alike, x["high"]).otherwise(middle - 1).alias("high"))
-
-    begin = F.aggregate(F.sequence(F.lit(1), F.lit(32)), F.struct(F.lit(0).alias("low"), F.length(a).alias("high")),
-                        halved, lambda x: x["low"])
-    rest = F.length(b) - begin - 1
-    long = (a != b) & (F.right(a, rest) == F.right(b, rest))
-    return F.when(F.length(a) > PLAIN, long).otherwise(F.levenshtein(a, b, 1) == 1)
+def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The first 16 characters of every word as two 64-bit numbers, the first character lowest, and all
+    words' lengths. Characters of words are below 256."""
+    data, offsets = text_buffers(words)
+    after = np.r_[data[1:], np.zeros(min(1, len(data)), np.uint8)]
+    begins = (data & 0xC0) != 0x80
+    letters = np.where(data < 0x80, data, ((data & 3) << 6) | (after & 63)).astype(np.uint8)[begins]
+    before = np.r_[0, np.cumsum(begins)][offsets]
+    lengths = np.diff(before)
+    place = np.arange(len(letters)) - np.repeat(before[:-1], lengths)
+    held = place < 16
+    out = np.zeros((len(words), 16), np.uint8)
+    out[np.repeat(np.arange(len(words)), lengths)[held], place[held]] = letters[held]
+    return out.view("<u8"), lengths
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether ``b``, as long as ``a`` or one longer, differs by one replaced or one inserted character."""
+    low, high = 0, len(a)
+    while low < high:  # what both begin with, by halving
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return a != b and a[low + len(a) + 1 - len(b):] == b[low + 1:]
+
+
+def _differ_once(letters: np.ndarray, longer: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``one_edit`` of pairs of words of at most 16 characters; ``longer`` says if the second is."""
+    def bytes_set(x: np.ndarray) -> np.ndarray:
+        for shift in (4, 2, 1):
+            x = x | (x >> np.uint64(shift))
+        return x & np.uint64(0x0101010101010101)
+
+    one, all_bits = np.uint64(1), ~np.uint64(0)
+    a, b = letters[i], letters[j]
+    low, high = bytes_set(a[:, 0] ^ b[:, 0]), bytes_set(a[:, 1] ^ b[:, 1])
+    replaced = ((low == 0) | (high == 0)) & ((low & (low - one)) == 0) & ((high & (high - one)) == 0) & ((low | high) != 0)
+    # Where the first difference is, the longer word has one more; behind it, all moves up by one.
+    same_low = np.where(low != 0, (low & (~low + one)) - one, all_bits)
+    same_high = np.where(low != 0, np.uint64(0), (high & (~high + one)) - one)
+    moved_low = (b[:, 0] >> np.uint64(8)) | (b[:, 1] << np.uint64(56))
+    inserted = (((a[:, 0] ^ moved_low) & ~same_low) == 0) & (((a[:, 1] ^ (b[:, 1] >> np.uint64(8))) & ~same_high) == 0)
+    return np.where(longer, inserted, replaced)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare the words of every list. Rows are ordered by key, the class's shorter words first; the
+    last list of a batch may go on in the next."""
+    held: pa.Table | None = None
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, words = rows.column("key").combine_chunks(), rows.column("word").combine_chunks()
+        longer = rows.column("longer").combine_chunks().to_numpy(zero_copy_only=False)
+        n = rows.column("n").combine_chunks().to_numpy()
+        starts = np.r_[0, np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)) + 1]
+        ends = np.repeat(np.r_[starts[1:], len(keys)], np.diff(np.r_[starts, len(keys)]))
+        letters, lengths = _letters(words)
+        first = np.flatnonzero(~longer)
+        counts = ends[first] - first - 1
+        done = np.r_[0, np.cumsum(counts)]
+        at = 0
+        while at < len(first):
+            to = max(at + 1, int(np.searchsorted(done, done[at] + PAIRS, side="right")) - 1)
+            own = counts[at:to]
+            i = np.repeat(first[at:to], own)
+            j = i + 1 + np.arange(len(i)) - np.repeat(done[at:to] - done[at], own)
+            short = lengths[j] <= 16
+            near = np.zeros(len(i), bool)
+            near[short] = _differ_once(letters, longer[j[short]], i[short], j[short])
+            for k in np.flatnonzero(~short).tolist():
+                near[k] = one_edit(words[i[k]].as_py(), words[j[k]].as_py())
+            i, j, at = i[near], j[near], to
+            yield pa.RecordBatch.from_arrays(
+                [words.take(pa.array(i)), pa.array(n[i]), words.take(pa.array(j)), pa.array(n[j])],
+                names=["word", "n", "near", "near_n"])
+
+    for batch in batches_of(batches):
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if not rows.num_rows:
+            continue
+        whole_lists = int(pc.index(rows.column("key"), rows.column("key")[-1]).as_py())
+        held = rows.slice(whole_lists)
+        if whole_lists:
+            yield from pairs(rows.slice(0, whole_lists))
+    if held is not None:
+        yield from pairs(held)
 
 
 def near_words(words: DataFrame, frequent: int = FREQUENT, size: int = DICTIONARY, common: int = COMMON) -> DataFrame:
     """``word, near, near_n`` of all words one edit apart, both ways. ``words`` is a written table of ``word, n``
-    with distinct words of ``SHORTEST`` characters or more."""
+    with distinct words of ``SHORTEST`` characters or more, all of them below U+0100."""
     held, unseen = frequent_grams(words, frequent, size)
-    lists = Scratch(words.sparkSession, "spelling").table(_lists(words, held, unseen, common), "lists")
-    a = lists.filter(~F.col("longer")).select("key", "word", "n")
-    b = lists.select("key", "longer", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    met = a.join(b, "key").filter((F.col("longer") | (F.col("word") < F.col("near"))) & one_edit(
-        F.col("word"), F.col("near")))
-    pairs = met.select("word", "n", "near", "near_n").distinct()
+    lists = _lists(words, held, unseen, common).repartition("key").sortWithinPartitions("key", "longer")
+    pairs = lists.mapInArrow(_merged, "word string, n long, near string, near_n long").distinct()
     both = F.explode(F.array(
         F.struct(F.col("word"), F.col("near"), F.col("near_n")),
         F.struct(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n"))))
