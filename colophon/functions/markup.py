@@ -7,8 +7,6 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-from colophon.schemas import INLINE_TAGS
-
 
 def latin_entities() -> dict[str, str]:
     """Named entities of the format: the Latin-1 letters, times, micro and reg."""
@@ -53,12 +51,23 @@ def element_names(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit(r"<([A-Za-z][\w-]*)"), F.lit(1))
 
 
-def child_names(record: Column, inline: Iterable[str] = INLINE_TAGS) -> Column:
-    """Names of a record's direct children: the start tags after its own, without the inline
-    markup that only occurs inside titles."""
-    names = element_names(record)
-    inline = list(inline)
-    return F.filter(F.slice(names, F.lit(2), F.size(names)), lambda n: ~n.isin(inline))
+def child_counts(record: Column) -> Column:
+    """How often each element occurs as a direct child of a record, as a map. A child is a start tag of
+    depth 1, whatever it holds itself: start tags go one deeper, end tags come back, empty ones stay."""
+    tags = F.regexp_extract_all(record, F.lit(r"""</?[A-Za-z](?:[^>"']|"[^"]*"|'[^']*')*>"""), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.create_map().cast("map<string,int>").alias("seen"))
+
+    def step(state: Column, tag: Column) -> Column:
+        begins, empty = ~tag.startswith("</"), tag.endswith("/>")
+        name = F.regexp_extract(tag, r"^<([A-Za-z][\w-]*)", 1)
+        counted = F.map_concat(
+            F.map_filter(state["seen"], lambda k, _: k != name),
+            F.create_map(name, F.coalesce(F.try_element_at(state["seen"], name), F.lit(0)) + 1))
+        return F.struct(
+            (state["depth"] + F.when(empty, 0).when(begins, 1).otherwise(-1)).alias("depth"),
+            F.when(begins & (state["depth"] == 1), counted).otherwise(state["seen"]).alias("seen"))
+
+    return F.aggregate(tags, start, step, lambda state: state["seen"])
 
 
 def predefined_entities(col: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from colophon.functions.markup import child_names, element_names
+from colophon.functions.markup import child_counts, element_names
 from colophon.schemas import RECORD_TAGS
 
 
@@ -16,11 +16,12 @@ def record_tag_counts(records: DataFrame) -> DataFrame:
 
 
 def child_tag_counts(records: DataFrame) -> DataFrame:
-    """How often each direct child element occurs per record element."""
+    """How often each direct child element occurs per record element; what children hold is not
+    counted."""
     return (
-        records.select("tag", F.explode(child_names(F.col("xml"))).alias("child"))
+        records.select("tag", F.explode(child_counts(F.col("xml"))).alias("child", "n"))
         .groupBy("tag", "child")
-        .agg(F.count(F.lit(1)).alias("occurrences"))
+        .agg(F.sum("n").cast("long").alias("occurrences"))
     )
 
 

@@ -31,10 +31,12 @@ def _text(value: Column, element: str) -> Column:
 
 
 def children(records: DataFrame, element: str) -> DataFrame:
-    """One row per child element: publication key, position, text and attributes."""
+    """One row per child element: publication key, position, text and attributes, and the record's place
+    in the dump if it is known."""
+    place = [c for c in records.columns if c == "at"]
     return records.select(
-        F.col("_key").alias("publication_key"), F.posexplode(element).alias("pos", "child")
-    ).select("publication_key", "pos", "child.*")
+        F.col("_key").alias("publication_key"), *place, F.posexplode(element).alias("pos", "child")
+    ).select("publication_key", *place, "pos", "child.*")
 
 
 def person_mentions(records: DataFrame) -> DataFrame:
@@ -121,11 +123,11 @@ def dictionary_table(records: DataFrame, table: str) -> DataFrame:
     if table == "school":
         rows = records.select(F.explode("school").alias("name"))
         return name_dictionary(rows, attributes=())
+    # The first occurrence is that in the dump; records of unknown place stand in the order of their keys.
+    place = "at" if "at" in records.columns else "publication_key"
     rows = children(records, table).select(
-        "publication_key", "pos", _text(F.col("_VALUE"), table).alias("name"),
-        F.col("_href").alias("href"),
-    )
-    return name_dictionary(rows)
+        place, "pos", _text(F.col("_VALUE"), table).alias("name"), F.col("_href").alias("href"))
+    return name_dictionary(rows, order=(place, "pos"))
 
 
 def publication_rows(records: DataFrame) -> DataFrame:
@@ -155,8 +157,7 @@ def publication_rows(records: DataFrame) -> DataFrame:
         "cdate": F.try_to_date("_cdate"),
         "mdate": F.try_to_date("_mdate"),
         "type": F.col("_publtype"),
-        "title_bibtex": predefined_entities(
-            attribute(decode_entities(F.col("xml")), "title", "bibtex")),
+        "title_bibtex": F.when(F.contains("xml", F.lit("bibtex")), _title_bibtex()),
         "reviewid": F.col("_reviewid"),
         "rating": F.col("_rating"),
         "school": last_value(F.col("school")),
@@ -166,6 +167,13 @@ def publication_rows(records: DataFrame) -> DataFrame:
     return records.select(*[c.alias(n) for n, c in columns.items()])
 
 
+def _title_bibtex() -> Column:
+    """The attribute of the last title. Only the attribute is decoded, and that once."""
+    raw = F.array(attribute(F.col("xml"), "title", "bibtex"))
+    decoded = F.transform(raw, lambda v: decode_entities(v))
+    return F.transform(decoded, lambda v: predefined_entities(v))[0]
+
+
 INTEGERS = ("year", "volume", "chapter", "publnr")
 
 

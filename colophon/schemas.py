@@ -7,7 +7,6 @@ PUBLICATION_TAGS = ["article", "inproceedings", "proceedings", "book", "incollec
                     "phdthesis", "mastersthesis", "www"]
 OTHER_TAGS = ["person", "data"]
 RECORD_TAGS = PUBLICATION_TAGS + OTHER_TAGS
-INLINE_TAGS = ["sub", "sup", "i", "tt", "ref"]
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august",
           "september", "october", "november", "december"]
 PUBLICATION_TYPES = ["habil", "withdrawn", "survey", "informal withdrawn", "noshow",

@@ -2,131 +2,170 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from colophon.functions.markup import decode_entities
+from colophon.operators.ordering import dense_ids
+from colophon.operators.skew import checked_broadcast
 from colophon.schemas import PUBLICATION_TAGS, RECORD_SCHEMA, RECORD_TAGS
 from colophon.session import Scratch
+from colophon.sources.lexical import SplitStates, runs_of, split_states
 
-_SCAN_SCHEMA = "file long, split_start long, part int, body string"
+_SCAN_SCHEMA = "file long, split_start long, place long, part int, body string"
 # part of a scanned row
 _HEAD, _RECORD, _TAIL = 0, 1, 2
 # Records and gaps of more characters than this are not put together from several splits.
 LONGEST_CHUNK = 64 << 20
-
-
-def _cut_at_records(tags: Sequence[str]):
+# States of the text: markup, inside a comment, inside a character data section.
+_MARKUP, _COMMENT, _CDATA = 0, 1, 2
+_OPENS = re.compile(r"<!--|<!\[CDATA\[")
+_CLOSES = {_COMMENT: "-->", _CDATA: "]]>"}
+_STATE_MARKS = ("<!--", "-->", "<![CDATA[", "]]>")
+
+
+def _settled(text: str, state: int) -> tuple[list[str], int]:
+    """What a text shows: comments are left out, and character data is escaped, so that tags in it start
+    nothing. ``text`` begins in the given state; the one it ends in is returned too. Marks never
+    cross the end of a line, so neither of a text of whole lines."""
+    shown, at = [], 0
+    while at < len(text):
+        if state == _MARKUP:
+            mark = _OPENS.search(text, at)
+            shown.append(text[at:mark.start() if mark else len(text)])
+            if not mark:
+                break
+            state, at = (_COMMENT if mark.group() == "<!--" else _CDATA), mark.end()
+        else:
+            end = text.find(_CLOSES[state], at)
+            if state == _CDATA:
+                inside = text[at:] if end < 0 else text[at:end]
+                shown.append(inside.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;"))
+            if end < 0:
+                break
+            state, at = _MARKUP, end + len("-->")
+    return shown, state
+
+
+def _state_after(line: str, state: int) -> int:
+    return _settled(line, state)[1]
+
+
+def _cut_at_records(tags: Sequence[str], states: SplitStates):
     """Task function: lines of one or more splits in, text pieces that begin at records out.
 
     Of every split, what precedes its first record start is its head, what follows its last
     record start its tail; all pieces between are whole records with the text up to the next.
-    Comments are dropped first, and character data sections become ordinary text, so that tags in
-    them start nothing; those that cross the end of a split are not seen as such.
+    A split goes on in the state in which the one before it ended.
     """
-    pattern = r"<(?:" + "|".join(tags) + r")(?=[\s/>]|$)"
-    names = ["file", "split_start", "part", "body"]
+    starts_at = re.compile(r"<(?:" + "|".join(tags) + r")(?=[\s/>]|$)")
 
     def cut(batches):
-        import re
-
         import pyarrow as pa
 
-        starts_at = re.compile(pattern)
-        hidden = re.compile(r"<!--.*?-->|<!\[CDATA\[(.*?)\]\]>", re.S)
-
-        def shown(match):
-            return (match.group(1) or "").replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-
-        def settled(text):
-            """The text up to a comment or section that is still open, and the rest."""
-            text = hidden.sub(shown, text)
-            opened = min((i for i in (text.find("<!--"), text.find("<![CDATA[")) if i >= 0), default=len(text))
-            return text[:opened], text[opened:]
-
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.string()]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
+        names = ["file", "split_start", "place", "part", "body"]
 
         def rows(out):
-            columns = list(zip(*out)) or [[]] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names
-            )
+            columns = list(zip(*out)) or [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        current, open_text, started, waiting = None, [], False, ""
+        current, open_text, place, state = None, [], 0, _MARKUP
         for batch in batches:
             out = []
-            files = batch.column(0).to_numpy(zero_copy_only=False)
-            splits = batch.column(1).to_numpy(zero_copy_only=False)
+            files, splits = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             lines = batch.column(2).to_pylist()
-            changes = [0, *(
-                ((files[1:] != files[:-1]) | (splits[1:] != splits[:-1])).nonzero()[0] + 1
-            ), len(lines)]
-            for begin, end in zip(changes, changes[1:]):
-                if begin == end:
-                    continue
+            bounds = runs_of(files, splits)
+            for begin, end in zip(bounds, bounds[1:]):
                 split = (int(files[begin]), int(splits[begin]))
                 if split != current:
                     if current is not None:
-                        out.append((*current, _TAIL if started else _HEAD, "".join(open_text) + waiting))
-                    current, open_text, started, waiting = split, [], False, ""
-                text, waiting = settled(waiting + "\n".join(lines[begin:end]) + "\n")
-                done = 0
+                        out.append((*current, place, _TAIL if place else _HEAD, "".join(open_text)))
+                    current, open_text, place, state = split, [], 0, states.at(*split)
+                shown, state = _settled("\n".join(lines[begin:end]) + "\n", state)
+                text, done = "".join(shown), 0
                 for match in starts_at.finditer(text):
                     open_text.append(text[done:match.start()])
-                    out.append((*current, _RECORD if started else _HEAD, "".join(open_text)))
-                    open_text, started, done = [], True, match.start()
+                    out.append((*current, place, _RECORD if place else _HEAD, "".join(open_text)))
+                    open_text, place, done = [], place + 1, match.start()
                 open_text.append(text[done:])
             yield rows(out)
         if current is not None:
-            yield rows([(*current, _TAIL if started else _HEAD, "".join(open_text) + waiting)])
+            yield rows([(*current, place, _TAIL if place else _HEAD, "".join(open_text))])
 
     return cut
 
 
-def _joined_at_splits(pieces: DataFrame) -> DataFrame:
-    """Put records that cross split boundaries together.
+def joined_at_splits(pieces: DataFrame) -> DataFrame:
+    """Put texts that cross split boundaries together: ``file, split_start, place, body``, placed where
+    they begin.
 
-    A record starts as one split's tail and goes on in the heads of the next ones. Which pieces
+    A text starts as one split's tail and goes on in the heads of the next ones. Which pieces
     belong together is found on their positions and lengths alone, at most two narrow rows per
     split. Pieces that would make more than ``LONGEST_CHUNK`` characters, such as a file without
     any record, stay apart; a record among them is not well-formed then and ends in the rejects.
     """
-    place = ["file", "split_start", "part"]
+    at = ["file", "split_start", "part"]
     in_file = Window.partitionBy("file").orderBy("split_start", "part")
     record = F.sum((F.col("part") == _TAIL).cast("long")).over(in_file)
-    placed = pieces.select(*place, F.length("body").alias("_n")).withColumn("_record", record)
+    placed = pieces.select(*at, F.length("body").alias("_n")).withColumn("_record", record)
     long = placed.groupBy("file", "_record").agg(F.sum("_n").alias("_all")).where(
         F.col("_all") > LONGEST_CHUNK).select("file", "_record", F.lit(True).alias("_long"))
-    marked = pieces.join(placed.drop("_n").join(long, ["file", "_record"], "left"), place)
-    ordered = F.array_sort(F.collect_list(F.struct("split_start", "part", "body")))
+    marked = pieces.join(placed.drop("_n").join(long, ["file", "_record"], "left"), at)
+    ordered = F.array_sort(F.collect_list(F.struct("split_start", "part", "place", "body")))
+    columns = ["file", "split_start", "place", "body"]
     whole = (
-        marked.where("_long is null").groupBy("file", "_record")
-        .agg(F.array_join(F.transform(ordered, lambda p: p["body"]), "").alias("body"))
-        .select("body")
+        marked.where("_long is null").groupBy("file", "_record").agg(ordered.alias("_all"))
+        .select("file", F.col("_all")[0]["split_start"].alias("split_start"), F.col("_all")[0]["place"].alias("place"),
+                F.array_join(F.transform("_all", lambda p: p["body"]), "").alias("body"))
+    )
+    return whole.unionByName(marked.where("_long").select(*columns))
+
+
+def lines_of(spark: SparkSession, path: str | Sequence[str], **options: str) -> DataFrame:
+    """``file, split_start, value`` of all lines of text files, read by splits."""
+    return spark.read.options(**options).text(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        "value",
     )
-    return whole.unionByName(marked.where("_long").select("body"))
+
+
+def in_file_order(pieces: DataFrame, path: str | Sequence[str]) -> DataFrame:
+    """``pieces`` with ``at``, their place among all files in the order of their paths, for the columns
+    that tell it. ``at`` orders by file, split and place."""
+    spark = pieces.sparkSession
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_path"))
+    numbered = dense_ids(files.distinct(), ["_path"], "_number").select(
+        F.xxhash64("_path").alias("file"), "_number")
+    numbered = Scratch(spark, "files").table(numbered, "files")
+    at = F.struct(F.col("_number").alias("file"), "split_start", "place").alias("at")
+    return pieces.join(checked_broadcast(numbered), "file").select(
+        at, *(c for c in pieces.columns if c not in ("file", "split_start", "place")))
 
 
 def scan_chunks(
     spark: SparkSession, path: str | Sequence[str], tags: Sequence[str] = RECORD_TAGS
 ) -> DataFrame:
-    """One row per record: its text followed by whatever stands before the next record.
+    """``at, body``: one row per record, its text followed by whatever stands before the next record, and
+    its place in the dump.
 
-    The text in front of a file's first record is a row as well. Files are read in splits. Only the
-    pieces at the ends of splits, which still have to be joined, are written to the shared
+    The text in front of a file's first record is a row as well. Files are read in splits. Lines with
+    marks of comments or character data are read first, for the state in which each split begins.
+    Only the pieces at the ends of splits, which still have to be joined, are written to the shared
     folder; all others go straight on to what reads them, so write the result if more than one
     step does.
     """
-    lines = spark.read.text(path).select(
-        F.xxhash64("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        "value",
-    )
-    pieces = lines.mapInArrow(_cut_at_records(tags), _SCAN_SCHEMA)
+    lines = lines_of(spark, path)
+    marked = reduce(lambda a, b: a | b, (F.contains("value", F.lit(mark)) for mark in _STATE_MARKS))
+    states = split_states(lines.where(marked), _state_after, 3)
+    pieces = lines.mapInArrow(_cut_at_records(tags, states), _SCAN_SCHEMA)
     ends = Scratch(spark, "xml").table(pieces.where(F.col("part") != _RECORD), "ends")
-    inner = pieces.where(F.col("part") == _RECORD).select("body")
-    return inner.unionByName(_joined_at_splits(ends))
+    inner = pieces.where(F.col("part") == _RECORD).drop("part")
+    return in_file_order(inner.unionByName(joined_at_splits(ends)), path)
 
 
 def _record_of(body: Column, tags: Sequence[str]) -> Column:
@@ -138,19 +177,19 @@ def _record_of(body: Column, tags: Sequence[str]) -> Column:
 
 
 def records_of(chunks: DataFrame, tags: Sequence[str] = RECORD_TAGS) -> DataFrame:
-    """``tag, xml`` of each record chunk."""
+    """``tag, xml`` of each record chunk, and its place ``at`` if it is known."""
     tag = F.regexp_extract("body", rf"^<({'|'.join(tags)})(?=[\s/>])", 1)
     return (
         chunks.withColumn("tag", tag)
         .where("tag != ''")
-        .select("tag", _record_of(F.col("body"), tags).alias("xml"))
+        .select(*(c for c in chunks.columns if c == "at"), "tag", _record_of(F.col("body"), tags).alias("xml"))
     )
 
 
 def scan_records(
     spark: SparkSession, path: str | Sequence[str], tags: Sequence[str] = RECORD_TAGS
 ) -> DataFrame:
-    """``tag, xml`` of every record in the files, including those of no publication."""
+    """``at, tag, xml`` of every record in the files, including those of no publication."""
     return records_of(scan_chunks(spark, path, tags), tags)
 
 
@@ -167,8 +206,8 @@ def parse_records(records: DataFrame, schema: str = RECORD_SCHEMA) -> DataFrame:
     )
     return (
         records.where(F.col("tag").isin(PUBLICATION_TAGS))
-        .select(F.col("tag").alias("category"), "xml", parsed.alias("r"))
-        .select("category", "xml", "r.*")
+        .select(*(c for c in records.columns if c == "at"), F.col("tag").alias("category"), "xml", parsed.alias("r"))
+        .select("*", "r.*").drop("r")
     )
 
 

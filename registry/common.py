@@ -159,7 +159,8 @@ _ORDER_XML = r"""
                             '<cite>...</cite>\n',
                             '<series href="s/', segment, '">', segment, ' notes</series>\n'), ''),
     if(tag = 'www', concat('<note type="', if(status = 'P', 'mystery', 'affiliation'),
-                           '" label="', status, '">', nation, '</note>\n'), ''),
+                           '" label="', status, '">', nation, '</note>\n',
+                           '<sub>home <url>nested</url><br/></sub>\n'), ''),
     if(tag in ('article', 'www'), concat('<url', if(status = 'F', ' type="deprecated"', ''),
                                          '>db/', k, '</url>\n'), ''),
     if(tag in ('book', 'proceedings'), concat(
@@ -168,6 +169,10 @@ _ORDER_XML = r"""
     if(tag = 'www' and status = 'P', concat('<school>Old</school><school>', segment,
                                             '</school>\n'), ''),
     '</', tag, '>') as value"""
+# What no scan may take for records: in front of some orders, inside one comment of several lines.
+_HIDDEN_XML = r"""
+  if(price > 350000, concat('<!-- was\n<article key="was/', k, '"><author>', c_name, '</author>\n</article>',
+     '<![CDATA[ -->\n'), '')"""
 
 # Customers give what a loader has to leave out.
 _OTHER_XML = r"""
@@ -179,7 +184,8 @@ _OTHER_XML = r"""
        when c_acctbal < 2000
        then concat('<data key="d/', c_custkey, '"><title>', c_name, '</title></data>')
        when c_acctbal < 3000
-       then concat('<thing id="', c_custkey, '"><part>', c_name, '</part></thing>')
+       then concat('<thing id="', c_custkey, '"><part>', c_name, ' <![CDATA[<book key="in/', c_custkey,
+                   '"/>\n<!-- </thing>]]></part></thing>')
        else concat('<person key="homepages/', c_custkey, '"><author>', c_name,
                    '</author></person>') end as value"""
 
@@ -200,7 +206,9 @@ def xml_dump(spark, sf_dir) -> str:
         fields = spark.sql(
             FIELDS.replace("from orders join customer", "from {orders} join {customer}")
                   .replace("join nation", "join {nation}"), **tables)
-        orders = fields.repartition("k").selectExpr(_ORDER_XML)
+        # Dear orders come first, so the order of the dump is not that of keys.
+        orders = fields.orderBy(F.desc("price"), "k").select(F.concat(
+            F.expr(_HIDDEN_XML), F.expr(_ORDER_XML.replace("as value", ""))).alias("value"))
         others = tables["customer"].selectExpr(_OTHER_XML)
         folder = Scratch(spark, "dump").path + "/xml"
         orders.unionAll(others).write.text(folder)

@@ -115,7 +115,7 @@ with {REC}, {MENTIONS}, child as (
   union all select tag, unnest(['booktitle', 'crossref']) from rec where tag = 'inproceedings'
   union all select tag, 'journal' from rec where tag = 'article'
   union all select tag, unnest(['cite', 'cite', 'series']) from rec where tag = 'book'
-  union all select tag, 'note' from rec where tag = 'www'
+  union all select tag, unnest(['note', 'sub']) from rec where tag = 'www'
   union all select tag, 'url' from rec where tag in ('article', 'www')
   union all select tag, unnest(['isbn', 'publisher']) from rec
             where tag in ('book', 'proceedings')
@@ -276,7 +276,8 @@ def _(spark, sf):
 
 @entry("name_dictionary", f"""
 with {REC}, named as (
-  select 'publisher' as dictionary, nation as name, arg_min('h/' || key, key) as href from rec
+  select 'publisher' as dictionary, nation as name,
+         arg_min('h/' || key, row(-price, k)) as href from rec  -- the first one in the dump
   where tag in ('book', 'proceedings') group by nation
   union all
   select 'series', segment || ' notes', min('s/' || segment) from rec where tag = 'book'

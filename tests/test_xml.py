@@ -68,6 +68,61 @@ def test_records_across_splits_are_whole(spark, dump, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def in_splits_of(spark, size, read):
+    """What ``read`` gives with splits of a few bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        return read()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+RECORDS = "".join(f'<article key="k{i}"><title>t{i}</title>\n<year>19{i:02d}</year></article>\n' for i in range(11))
+HIDDEN = {
+    "records in a comment": RECORDS.replace("<article key=\"k4\"", '<!-- old\n<article key="c1">\n</article>\n'
+                                            + "filler\n" * 60 + '<article key="c2"/>\n--> <article key="k4"'),
+    "a comment mark in character data": RECORDS.replace(
+        "<title>t1</title>", "<title><![CDATA[" + "text\n" * 80 + "<!-- </title> <book key='b'/>\n]]></title>"),
+    "marks of the other kind": RECORDS.replace("<title>t2</title>", "<!-- <![CDATA[ \n -->\n<title><![CDATA[ <!-- \n]]>t2</title><!---->"),
+    "a dash before the end": RECORDS.replace("<title>t3</title>", "<!-->\n<book key='x'/>--->\n<title>t3</title>"),
+    "a section of many splits": RECORDS.replace("<title>t5</title>", "<title><![CDATA[" + "<book key='n'/> & ]] >\n" * 200 + "]]></title>"),
+}
+
+
+@pytest.mark.parametrize("case", HIDDEN)
+@pytest.mark.parametrize("size", [10_000_000, 500, 40])
+def test_comments_and_character_data_across_splits(spark, tmp_path, case, size):
+    (tmp_path / "d.xml").write_text(f'<?xml version="1.0"?>\n<bib>\n{HIDDEN[case]}</bib>\n')
+    parsed = in_splits_of(spark, size, lambda: xml.parse_records(xml.scan_records(spark, str(tmp_path))).collect())
+    assert sorted(r["_key"] for r in parsed) == sorted(f"k{i}" for i in range(11))
+    assert all(r["_corrupt_record"] is None for r in parsed)
+    titles = {r["_key"]: r["title"][-1] for r in parsed}
+    assert titles["k10"] == "t10" and titles["k0"] == "t0"
+    if case == "a section of many splits":
+        assert titles["k5"].count("key='n'") == 200
+    order = [r["_key"] for r in sorted(parsed, key=lambda r: tuple(r["at"]))]
+    assert order == [f"k{i}" for i in range(11)]
+
+
+def test_state_of_one_file_does_not_reach_the_next(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<bib><article key="a"/>\n<!-- never closed\n<article key="no"/>\n')
+    (tmp_path / "b.xml").write_text('<bib><article key="b"/>\n--> <article key="c"/></bib>')
+    for size in (10_000_000, 20):
+        found = in_splits_of(spark, size, lambda: xml.parse_records(xml.scan_records(spark, str(tmp_path))).collect())
+        assert [r["_key"] for r in sorted(found, key=lambda r: tuple(r["at"]))] == ["a", "b", "c"]
+
+
+def test_children_are_counted_by_depth(spark):
+    records = spark.createDataFrame([
+        ("article", '<article key="a>b"><cite><ref/><cite>x</cite></cite><i>x</i><title a="/>">H<sub>2<sub/></sub></title><ee/></article>'),
+        ("article", "<article><i/><author>A</author></article>"), ("book", "<book/>")], "tag string, xml string")
+    counts = {(t, c): n for t, c, n in rows(profile.child_tag_counts(records), "tag", "child", "occurrences")}
+    assert counts == {("article", "cite"): 1, ("article", "i"): 2, ("article", "title"): 1, ("article", "ee"): 1,
+                      ("article", "author"): 1}
+
+
 def test_many_files_in_one_task(spark, tmp_path):
     for i in range(20):
         (tmp_path / f"{i}.xml").write_text(
@@ -146,7 +201,7 @@ def test_tables(spark, loaded):
     assert (p["conf/b/1"].year, p["conf/b/1"].volume, p["conf/b/1"].month_num) == (None, None, 6)
     assert str(p["conf/b/1"].cdate) == "2017-01-02" and p["ms/1"].mdate is None
     names = {r.id: (r.name, r.href) for r in t["publisher"].collect()}
-    assert names == {0: ("Springer", "h2")}  # first occurrence in key order: books/ < conf/
+    assert names == {0: ("Springer", "h1")}  # the first occurrence in the dump, not by key
     schools = {r.name: r.id for r in t["school"].collect()}
     assert set(schools) == {"S1", "S2"} and p["books/c/1"].school_id == schools["S2"]
     assert p["books/c/1"].publisher_id == 0 and p["journals/a/1"].publisher_id is None
