@@ -5,13 +5,12 @@ words, one after the other. The words that are frequent in the corpus are encode
 into a minimal acyclic automaton: equal suffixes are shared, and every transition carries how many
 words come before it, so the path of a word adds up to its number, which leads to its ids. Tasks
 memory-map the compiled file and send whole blocks of words through it in lockstep. Words that it
-lacks are merged exactly, and remembered by their task up to a bound.
+lacks are cut and merged exactly, all those of a block in lockstep as well. The merges lie in the same file.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -30,22 +29,31 @@ WORDS = 150_000
 # Words are counted in pieces of so many bytes of text; a word counts towards the lexicon with the
 # pieces in which it comes at least this often.
 COUNTED, FREQUENT = 8 << 20, 2
-REMEMBERED = 1 << 20
 LONGEST = 32
-# Characters whose normal form and class need no Unicode tables: printable ASCII and Latin-1 letters.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 # Fixed value: how the supported tokenizer splits normalised text.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NONE = np.iinfo(np.int32).max
+# Kinds of bytes of lower-cased words of printable ASCII and Latin-1 letters, whose normal form and class
+# need no Unicode tables: space, letter, digit, other.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[0x20], _KINDS[0x30:0x3A], _KINDS[0x61:0x7B], _KINDS[0x80:] = _SPACE, _DIGIT, _LETTER, _LETTER
 
 
 class Merges:
     """The tokenizer's merges as a hash table over pairs of symbols."""
 
     BITS = 18
+    ARRAYS = {"inner": "<i4", "last": "<i4", "keys": "<i8", "ranks": "<i4", "made": "<i4", "surface_at": "<i4", "surfaces": "u1"}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, parts: dict[str, np.ndarray] | None = None):
+        """``parts`` are the arrays, if they are known; else they come from the tokenizer's file."""
+        self.path, self._tokenizer = path, None
+        self.parts = self._read(path) if parts is None else parts
+        self.inner, self.last, self.keys, self.ranks, self.made, self.surface_at, self.surfaces = (
+            self.parts[name] for name in self.ARRAYS)
+
+    def _read(self, path: str) -> dict[str, np.ndarray]:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, steps = spec["model"], spec["pre_tokenizer"].get("pretokenizers", [{}])
@@ -54,30 +62,36 @@ class Merges:
                 steps[0].get("pattern", {}).get("Regex"), spec["decoder"]) != (
                 "BPE", "</w>", None, ["NFC", "Replace", "Lowercase"], _SPLIT, None):
             raise ValueError(f"{path}: not a lower-casing BPE tokenizer with word ends")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
         vocab = model["vocab"]
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         odd = iter(range(256, 512))
         shown = [chr(b if b in plain else next(odd)) for b in range(256)]
-        self.inner = np.array([vocab[c] for c in shown], np.int32)
-        self.last = np.array([vocab[c + "</w>"] for c in shown], np.int32)
-        top = max(vocab.values()) + 1 + len(spec["added_tokens"])
-        self.surface = np.full(top, b"", object)
+        surface = [b""] * (max(vocab.values()) + 1 + len(spec["added_tokens"]))
         for token, i in [*vocab.items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]:
-            self.surface[i] = token.encode()
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        size = 1 << self.BITS
-        self.keys = np.full(size, -1, np.int64)
-        self.ranks = np.full(size, _NONE, np.int32)
-        self.made = np.zeros(size, np.int32)
-        for rank, (a, b) in enumerate(pairs):
+            surface[i] = token.encode()
+        self.keys = np.full(1 << self.BITS, -1, np.int64)
+        ranks, made = np.full(len(self.keys), _NONE, np.int32), np.zeros(len(self.keys), np.int32)
+        for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
             key = vocab[a] << 20 | vocab[b]
             slot = self._slot(np.array([key], np.int64))[0]
             while self.keys[slot] >= 0:
-                slot = (slot + 1) % size
-            self.keys[slot], self.ranks[slot], self.made[slot] = key, rank, vocab[a + b]
+                slot = (slot + 1) % len(self.keys)
+            self.keys[slot], ranks[slot], made[slot] = key, rank, vocab[a + b]
+        # Decoding puts a space between surfaces, so each is held with one behind it.
+        return {"inner": np.array([vocab[c] for c in shown], np.int32),
+                "last": np.array([vocab[c + "</w>"] for c in shown], np.int32),
+                "keys": self.keys, "ranks": ranks, "made": made,
+                "surface_at": np.r_[0, np.cumsum([len(x) + 1 for x in surface])].astype(np.int32),
+                "surfaces": np.frombuffer(b"".join(x + b" " for x in surface), np.uint8)}
+
+    @property
+    def tokenizer(self) -> Tokenizer:
+        """The library's tokenizer, opened for the first word that needs it."""
+        if self._tokenizer is None:
+            self._tokenizer = Tokenizer.from_file(self.path)
+            self._tokenizer.no_truncation()
+            self._tokenizer.no_padding()
+        return self._tokenizer
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -98,27 +112,35 @@ class Merges:
             slot[open_] = (slot[open_] + 1) % len(self.keys)
         return found
 
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces of at most ``LONGEST`` bytes: the lowest merge of each, leftmost first, until
-        none applies; all pieces of about a length take their steps together."""
-        out: list[np.ndarray] = [None] * len(pieces)
-        lengths = np.array([len(p) for p in pieces], np.int64)
-        for low, high in ((1, 4), (5, 8), (9, 12), (13, 16), (17, 24), (25, LONGEST)):
+    def merge(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of 1 to ``LONGEST`` bytes, one after the other, and how many each has: the lowest merge
+        of a piece, leftmost first, until none applies; all pieces of about a length take their steps together."""
+        lengths = ends - starts
+        counts = np.zeros(len(starts), np.int64)
+        merged = []
+        for low, high in ((1, 1), (2, 4), (5, 8), (9, 12), (13, 16), (17, 24), (25, LONGEST)):
             chosen = np.flatnonzero((lengths >= low) & (lengths <= high))
-            for part in np.array_split(chosen, len(chosen) // 50_000 + 1):
-                if len(part):
-                    self._merge_block([pieces[i] for i in part], part, lengths[part], high, out)
-        return out
-
-    def _merge_block(self, pieces, index, lengths, width, out):
-        data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
-        symbols = self.inner[data]
-        rows = np.arange(len(pieces))
-        symbols[rows, lengths - 1] = self.last[data[rows, lengths - 1]]
-        lengths = lengths.copy()
+            for at in range(0, len(chosen), 50_000):
+                part = chosen[at:at + 50_000]
+                symbols, counts[part] = self._merge_block(data, starts[part], lengths[part], high)
+                merged.append((part, symbols))
+        after = np.cumsum(counts)
+        ids = np.zeros(int(after[-1]) if len(after) else 0, np.int32)
+        for part, symbols in merged:
+            place = np.arange(symbols.shape[1])[None, :]
+            held = place < counts[part][:, None]
+            ids[((after - counts)[part][:, None] + place)[held]] = symbols[held]
+        return ids, counts
+
+    def _merge_block(self, data, starts, lengths, width) -> tuple[np.ndarray, np.ndarray]:
         columns = np.arange(width)
-        ranks = np.full((len(pieces), width), _NONE, np.int32)
-        made = np.zeros((len(pieces), width), np.int32)
+        raw = data[np.minimum(starts[:, None] + columns, len(data) - 1)]
+        symbols, rows = self.inner[raw], np.arange(len(starts))
+        symbols[rows, lengths - 1] = self.last[raw[rows, lengths - 1]]
+        out, out_lengths, index = symbols.copy(), lengths.copy(), rows
+        lengths = lengths.copy()
+        ranks = np.full(symbols.shape, _NONE, np.int32)
+        made = np.zeros(symbols.shape, np.int32)
 
         def fill(r, c):
             inside = (c >= 0) & (c + 1 < lengths[r])
@@ -128,48 +150,104 @@ class Merges:
             ranks[r, c] = np.where(slot >= 0, self.ranks[slot], _NONE)
             made[r, c] = self.made[slot]
 
-        r, c = np.nonzero(columns[None, :] + 1 < lengths[:, None])
-        fill(r, c)
-        while True:
+        fill(*np.nonzero(columns[None, :] + 1 < lengths[:, None]))
+        while len(index):
             best = ranks.argmin(axis=1)
             live = ranks[np.arange(len(best)), best] < _NONE
             if not live.all():
-                for i in np.flatnonzero(~live):
-                    out[index[i]] = symbols[i, :lengths[i]].copy()
+                done = index[~live]
+                out[done], out_lengths[done] = symbols[~live], lengths[~live]
                 symbols, ranks, made = symbols[live], ranks[live], made[live]
                 lengths, index, best = lengths[live], index[live], best[live]
-            if not len(best):
-                return
             rows = np.arange(len(best))
             symbols[rows, best] = made[rows, best]
             take = np.minimum(columns[None, :] + (columns[None, :] > best[:, None]), width - 1)
             symbols = np.take_along_axis(symbols, take, axis=1)
             ranks, made = (np.take_along_axis(x, take, axis=1) for x in (ranks, made))
-            lengths -= 1
+            lengths = lengths - 1
             fill(rows, best)
             fill(rows, best - 1)
+        return out, out_lengths
+
+    def encode_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words without white space, exactly as the tokenizer has them in any text: all ids, and
+        where each word's begin and how many they are."""
+        text, begins = _spaced(data, starts, ends)
+        word_ends = begins + ends - starts
+        first, word, odd = _pieces(text, begins)
+        last = np.minimum(np.r_[first[1:], len(text)], word_ends[word]) if len(word) else first
+        odd[word[last - first > LONGEST]] = True
+        kept = ~odd[word]
+        ids, counts = self.merge(text, first[kept], last[kept])
+        own = np.bincount(word[kept], weights=counts, minlength=len(starts)).astype(np.int64)
+        at = np.cumsum(own) - own
+        others = []
+        for i in np.flatnonzero(odd).tolist():
+            raw = data[starts[i]:ends[i]].tobytes().decode()
+            others.append(np.array(self.tokenizer.encode(raw, add_special_tokens=False).ids, np.int32))
+            own[i] = len(others[-1])
+        if others:
+            at[odd] = len(ids) + np.cumsum(own[odd]) - own[odd]
+            ids = np.concatenate([ids, *others])
+        return ids, at, own
 
     def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words without white space, exactly as the tokenizer has them in any text."""
-        out: list = [None] * len(words)
-        parts: dict[bytes, int] = {}
-        split: list[tuple[int, list[int]]] = []
-        for i, raw in enumerate(words):
-            word = raw.decode()
-            if _PLAIN.fullmatch(word) and "<|" not in word:
-                pieces = [p.encode() for p in _PIECES.findall(word.lower())]
-                if all(len(p) <= LONGEST for p in pieces):
-                    split.append((i, [parts.setdefault(p, len(parts)) for p in pieces]))
-                    continue
-            out[i] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.int32)
-        merged = self.merge(list(parts))
-        for i, own in split:
-            out[i] = merged[own[0]] if len(own) == 1 else np.concatenate([merged[p] for p in own])
-        return out
+        """The ids of every word."""
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        starts = ends - np.array([len(w) for w in words], np.int64)
+        ids, at, counts = self.encode_spans(data, starts, ends)
+        return [ids[a:a + n] for a, n in zip(at.tolist(), counts.tolist())]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The surfaces of the ids with spaces between, as the tokenizer has no decoder."""
-        return b" ".join(self.surface[ids].tolist())
+        begins = self.surface_at[ids].astype(np.int64)
+        sizes = self.surface_at[ids + 1] - begins
+        return self.surfaces[_positions(begins, sizes)].tobytes()[:-1]
+
+
+def _positions(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``begins[0], begins[0] + 1, ...`` of every range of a size, one range after the other."""
+    after = np.cumsum(sizes)
+    return np.repeat(begins - (after - sizes), sizes) + np.arange(int(after[-1]) if len(after) else 0)
+
+
+def _spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words with a space behind each, and where they begin then."""
+    sizes = ends - starts + 1
+    after = np.cumsum(sizes)
+    text = np.full(int(after[-1]) if len(after) else 0, 0x20, np.uint8)
+    inside = np.ones(len(text), bool)
+    inside[after - 1] = False
+    text[inside] = data[_positions(starts, ends - starts)]
+    return text, after - sizes
+
+
+def _pieces(text: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case spaced words in place and cut them as the tokenizer does: where each piece begins, its
+    word, and which words have characters that this does not know."""
+    odd = np.zeros(len(begins), bool)
+    if not len(text):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), odd
+    before, behind = np.r_[np.uint8(0x20), text[:-1]], np.r_[text[1:], np.uint8(0x20)]
+    # Of what is beyond ASCII the letters that begin with C3 are known, but not the signs among them.
+    strange = (text < 0x20) | (text == 0x7F) | ((text >= 0xC0) & (text != 0xC3)) | (
+        (before == 0xC3) & ((text == 0x97) | (text == 0xB7))) | ((text == 0x3C) & (behind == 0x7C))
+    odd[np.searchsorted(begins, np.flatnonzero(strange), side="right") - 1] = True
+    text[((text >= 0x41) & (text <= 0x5A)) | ((before == 0xC3) & (text >= 0x80) & (text <= 0x9E))] += 0x20
+    kind = _KINDS[text]
+    kind_before = np.r_[np.uint8(_SPACE), kind[:-1]]
+    start = (kind != _SPACE) & ((kind != kind_before) | (kind == _DIGIT))
+    # Short forms 's 't 'm 'd 're 've 'll, where no other sign stands before them.
+    mark = np.flatnonzero((text == 0x27) & (kind_before != _OTHER))
+    one, two = text[mark + 1], text[np.minimum(mark + 2, len(text) - 1)]
+    short = np.where(np.isin(one, np.frombuffer(b"stmd", np.uint8)), 2, np.where(
+        (np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == 0x65)) | ((one == 0x6C) & (two == 0x6C)), 3, 0))
+    mark, short = mark[short > 0], short[short > 0]
+    start[mark + 1] = False
+    start[mark + short] = kind[mark + short] != _SPACE
+    first = np.flatnonzero(start)
+    return first, np.searchsorted(begins, first, side="right") - 1, odd
 
 
 def minimal_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
@@ -239,18 +317,19 @@ def minimal_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
             "add": pad(add, 0)}
 
 
-_ARRAYS = ["base", "final", "check", "target", "add", "starts", "ids"]
+_ARRAYS = {**dict.fromkeys(["base", "final", "check", "target", "add", "starts", "ids"], "<i4"), **Merges.ARRAYS}
 
 
 def compiled(words: list[bytes], merges: Merges) -> bytes:
-    """The lexicon as one file: sizes, then the arrays of the automaton, then offsets and ids."""
+    """The lexicon as one file: sizes, then the arrays of the automaton, offsets and ids of the words, and the
+    merges, each from a multiple of eight bytes on."""
     words = sorted(set(words))
-    parts = minimal_automaton(words)
+    parts = minimal_automaton(words) | merges.parts
     ids = merges.encode_words(words)
     parts["starts"] = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
     parts["ids"] = np.concatenate([*ids, np.zeros(0, np.int32)])
-    return struct.pack(f"<{len(_ARRAYS)}q", *(len(parts[n]) for n in _ARRAYS)) + b"".join(
-        parts[n].astype("<i4").tobytes() for n in _ARRAYS)
+    content = [np.ascontiguousarray(parts[n], kind).tobytes() for n, kind in _ARRAYS.items()]
+    return struct.pack(f"<{len(_ARRAYS)}q", *map(len, content)) + b"".join(x + bytes(-len(x) % 8) for x in content)
 
 
 class Encoder:
@@ -259,18 +338,16 @@ class Encoder:
     _open: dict[tuple[str, str], Encoder] = {}
 
     def __init__(self, path: str, lexicon: str):
-        self.merges = Merges(path)
         mapped = np.memmap(lexicon, dtype=np.uint8, mode="r")
-        head = 8 * len(_ARRAYS)
-        sizes = struct.unpack(f"<{len(_ARRAYS)}q", bytes(mapped[:head]))
-        at = head + 4 * np.r_[0, np.cumsum(sizes)]
-        parts = {n: mapped[at[i]:at[i + 1]].view("<i4") for i, n in enumerate(_ARRAYS)}
-        self.base, self.final, self.check, self.target, self.add = (parts[n] for n in _ARRAYS[:5])
-        self.words = len(parts["starts"]) - 1
-        self.pool, self.filled = parts["ids"].copy(), len(parts["ids"])
-        self.starts, self.counts = parts["starts"][:-1].copy(), np.diff(parts["starts"])
-        self.lexicon = self.starts, self.counts, self.pool, self.filled
-        self.extra: dict[bytes, int] = {}
+        at = 8 * len(_ARRAYS)
+        parts = {}
+        for (name, kind), size in zip(_ARRAYS.items(), struct.unpack(f"<{len(_ARRAYS)}q", bytes(mapped[:at]))):
+            parts[name] = mapped[at:at + size].view(kind).view(np.ndarray)
+            at += size + -size % 8
+        self.merges = Merges(path, parts)
+        self.base, self.final, self.check, self.target, self.add, self.starts, self.ids = (
+            parts[n] for n in list(_ARRAYS)[:7])
+        self.words = len(self.starts) - 1
 
     @classmethod
     def of(cls, path: str, lexicon: str) -> Encoder:
@@ -302,43 +379,18 @@ class Encoder:
                 which, at, stop, state, total = which[more], at[more], stop[more], state[more], total[more]
         return out
 
-    def _remember(self, words: list[bytes]) -> None:
-        ids = self.merges.encode_words(words)
-        counts = np.array([len(x) for x in ids], np.int32)
-        first = len(self.starts)
-        self.starts = np.r_[self.starts, (self.filled + np.cumsum(counts) - counts).astype(np.int32)]
-        self.counts = np.r_[self.counts, counts]
-        need = self.filled + int(counts.sum())
-        if need > len(self.pool):
-            self.pool = np.r_[self.pool, np.zeros(need, np.int32)]
-        self.pool[self.filled:need] = np.concatenate(ids)
-        self.filled = need
-        self.extra.update(zip(words, range(first, first + len(words))))
-
-    def forget(self) -> None:
-        """Keep the lexicon only."""
-        self.extra = {}
-        self.starts, self.counts, self.pool, self.filled = self.lexicon
-
     def _block(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = arrays.word_bounds(data, at)
         numbers = self.numbers(data, starts, ends)
-        lacking = np.flatnonzero(numbers < 0)
-        if len(lacking):
-            raw = data.tobytes()
-            words = [raw[a:b] for a, b in zip(starts[lacking].tolist(), ends[lacking].tolist())]
-            if len(self.extra) > REMEMBERED:
-                self.forget()
-            new = [w for w in dict.fromkeys(words) if w not in self.extra]
-            if new:
-                self._remember(new)
-            numbers[lacking] = [self.extra[w] for w in words]
-        counts = self.counts[numbers].astype(np.int64)
-        ends_of = np.cumsum(counts)
-        total = int(ends_of[-1]) if len(ends_of) else 0
-        shift = np.repeat(self.starts[numbers] - (ends_of - counts), counts)
-        ids = self.pool[shift + np.arange(total)]
-        per_word = np.r_[0, ends_of]
+        known = numbers >= 0
+        counts = np.zeros(len(numbers), np.int64)
+        counts[known] = self.starts[numbers[known] + 1] - self.starts[numbers[known]]
+        merged, begins, counts[~known] = self.merges.encode_spans(data, starts[~known], ends[~known])
+        per_word = np.r_[0, np.cumsum(counts)]
+        ids = np.empty(per_word[-1], np.int32)
+        ids[_positions(per_word[:-1][known], counts[known])] = self.ids[_positions(
+            self.starts[numbers[known]].astype(np.int64), counts[known])]
+        ids[_positions(per_word[:-1][~known], counts[~known])] = merged[_positions(begins, counts[~known])]
         return ids, per_word[np.searchsorted(starts, at)]
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -428,6 +480,5 @@ def encode(docs: DataFrame, path: str, words: int = WORDS) -> DataFrame:
                     pa.array([ids[at[r]:at[r + 1]].astype("<u4").tobytes() for r in rows], pa.binary()),
                     pa.array([encoder.merges.decode(ids[at[r]:at[r + 1]]) for r in rows], pa.string()),
                 ], names=["doc_id", "ids", "decoded"])
-        encoder.forget()
 
     return docs.mapInArrow(run, "doc_id long, ids binary, decoded string")

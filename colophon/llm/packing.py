@@ -63,7 +63,6 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:None if with_ids else 5]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(kinds)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-        encoder.forget()
 
     return docs.mapInArrow(run, PIECES + ", ids binary" * with_ids)
 

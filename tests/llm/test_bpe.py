@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from helpers import documents, odd_documents
@@ -82,21 +83,25 @@ def test_query(spark, tokenizer):
         assert own["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
-def test_memory_of_new_words_is_bounded(spark, tokenizer, monkeypatch, merges, tmp_path):
-    monkeypatch.setattr(bpe, "REMEMBERED", 50)
-    file = tmp_path / "lexicon"
-    file.write_bytes(bpe.compiled([b"the", b"of"], merges))
-    monkeypatch.setattr(bpe.SparkFiles, "get", staticmethod(str))
-    encoder = bpe.Encoder(PATH, str(file))
-    import pyarrow as pa
-    monkeypatch.setattr(bpe.arrays, "BLOCK", 64)
-    texts = [" ".join(random_words(60)), "the of the", " ".join(random_words(200)[100:])]
-    for _ in range(3):
+def test_nothing_is_kept_between_blocks(spark, tokenizer, merges, tmp_path):
+    (tmp_path / "lexicon").write_bytes(bpe.compiled([b"the", b"words,"], merges))
+    encoder = bpe.Encoder(PATH, str(tmp_path / "lexicon"))
+    held = {name: id(value) for name, value in vars(encoder).items()}
+    for n in range(3):
+        texts = [f"the words, {' '.join(random_words(50 + n))}", None, "", "new" * 20, "the"]
         for row, end, ids, at in encoder.encode(pa.array(texts)):
-            for r in range(end - row):
-                want = tokenizer.encode(texts[row + r], add_special_tokens=False).ids
-                assert ids[at[r]:at[r + 1]].tolist() == want
-
+            for r in range(row, end):
+                want = tokenizer.encode(texts[r] or "", add_special_tokens=False).ids
+                assert ids[at[r - row]:at[r - row + 1]].tolist() == want
+    assert {name: id(value) for name, value in vars(encoder).items()} == held
+
+
+def test_the_tokenizer_is_opened_only_for_words_that_need_it(merges):
+    fresh = bpe.Merges(PATH, merges.parts)
+    fresh.encode_words([w.encode() for w in ("Don't", "l'été", "x1y2!?", "''s", "a" * 32)])
+    assert fresh._tokenizer is None
+    fresh.encode_words(["日本".encode()])
+    assert fresh._tokenizer is not None
 
 def test_empty(spark):
     assert bpe.encode(documents(spark).limit(0), PATH).count() == 0
