@@ -24,7 +24,8 @@ def _parser() -> argparse.ArgumentParser:
     command("profile", "count elements of an XML dump", ("xml", {"nargs": "+"}), out)
     command("ingest", "shred an XML dump into tables", folder, ("xml", {"nargs": "+"}),
             ("--strict", {"action": "store_true"}))
-    command("load-csv", "load CSV tables", folder, ("csv", {"help": "folder of <table>.csv"}))
+    command("load-csv", "load CSV tables", folder, ("csv", {"help": "folder of <table>.csv"}),
+            ("--single-line", {"action": "store_true", "help": "no value holds a line break"}))
     command("check", "check keys, references and domains", folder, out)
     command("publish", "check tables and put them in place of the published ones", folder,
             ("target", {"help": "folder of the published tables"}),
@@ -72,7 +73,8 @@ def _run(args, spark, show) -> None:
     elif args.command == "ingest":
         print(ingest.ingest(spark, args.xml, args.folder, args.strict))
     elif args.command == "load-csv":
-        print(table_io.load_csv_tables(spark, args.csv, args.folder))
+        print(table_io.load_csv_tables(
+            spark, args.csv, args.folder, multi_line=not args.single_line))
     elif args.command == "check":
         show(ingest.check(spark, args.folder))
     elif args.command in ("author", "authors", "sample"):

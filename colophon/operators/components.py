@@ -14,7 +14,7 @@ rows of the other side: see ``lookup_join``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,15 +40,11 @@ def mirrored(edges: DataFrame) -> DataFrame:
 
 def _with_degrees(edges: DataFrame, scratch: Scratch, round_no: int) -> DataFrame:
     """``u, v, du, dv``: edges with minus the number of edges at either end."""
-    degrees = mirrored(edges).groupBy("u").agg((-F.count(F.lit(1))).alias("d"))
-    if scratch.rows[f"edges{round_no}"] > skew.BROADCAST_ROWS:
-        name = f"degrees{round_no}"
-        degrees = scratch.table(degrees, name)
-        join = partial(lookup_join, lookup_rows=scratch.rows[name])
-    else:
-        join = DataFrame.join
-    with_u = join(edges, degrees.select("u", F.col("d").alias("du")), "u")
-    return join(with_u, degrees.select(F.col("u").alias("v"), F.col("d").alias("dv")), "v")
+    name = f"degrees{round_no}"
+    degrees = scratch.table(mirrored(edges).groupBy("u").agg((-F.count(F.lit(1))).alias("d")), name)
+    rows = scratch.rows[name]
+    with_u = lookup_join(edges, degrees.select("u", F.col("d").alias("du")), "u", lookup_rows=rows)
+    return lookup_join(with_u, degrees.select(F.col("u").alias("v"), F.col("d").alias("dv")), "v", lookup_rows=rows)
 
 
 def _choices(edges: DataFrame, scratch: Scratch, round_no: int) -> DataFrame:
@@ -114,16 +110,19 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     if not picked:
         return graph.select(F.col("u").alias("id"), F.col("v").alias("component"))
     # Follow the choices back from the last, smallest graph to the first. Small steps stay one
-    # plan of broadcast joins.
+    # plan of broadcast joins, until all that it would broadcast is as much as one lookup may be:
+    # a step's lookup, and its choices twice where they were followed.
     last = len(picked) - 1
     labels, rows = picked[last], scratch.rows[f"choice{last}"]
+    open_rows = 2 * rows
     for round_no in range(last - 1, -1, -1):
         onward = labels.select(F.col("id").alias("rep"), F.col("rep").alias("_onward"))
         labels = lookup_join(picked[round_no], onward, "rep", lookup_rows=rows).select(
             "id", F.coalesce("_onward", "rep").alias("rep"))
+        open_rows += rows + 2 * scratch.rows[f"choice{round_no}"]
         rows = scratch.rows[f"choice{round_no}"]
-        if round_no == 0 or rows > skew.BROADCAST_ROWS:
-            labels = scratch.table(labels, f"labels{round_no}")
+        if round_no == 0 or open_rows > skew.BROADCAST_ROWS:
+            labels, open_rows = scratch.table(labels, f"labels{round_no}"), 0
     smallest = labels.groupBy("rep").agg(F.min("id").alias("component"))
     if rows > skew.BROADCAST_ROWS:
         smallest = scratch.table(smallest, "smallest")

@@ -10,10 +10,13 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 # Called with a line, without its line break, and the state before it; returns the state behind it.
 Advance = Callable[[str, int], int]
+# What a piece of a split is: the end of what began before the split, all of something, or the begin of what
+# goes on behind the split.
+HEAD, RECORD, TAIL = 0, 1, 2
 
 
 class SplitStates:
@@ -79,3 +82,38 @@ def split_states(lines: DataFrame, advance: Advance, states: int) -> SplitStates
 
     found = lines.mapInArrow(scan, "file long, split_start long, ends array<int>")
     return SplitStates([(r["file"], r["split_start"], r["ends"]) for r in found.collect()])
+
+
+def lines_of(spark: SparkSession, path: str | Sequence[str], **options: str) -> DataFrame:
+    """``file, split_start, value`` of all lines of text files, read by splits."""
+    return spark.read.options(**options).text(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        "value",
+    )
+
+
+def joined_at_splits(pieces: DataFrame, longest: int) -> DataFrame:
+    """Put texts that cross split boundaries together: ``file, split_start, place, body``, placed where
+    they begin.
+
+    A text starts as one split's tail and goes on in the heads of the next ones. Which pieces
+    belong together is found on their positions and lengths alone, at most two narrow rows per
+    split. Pieces that would make more than ``longest`` characters, such as a file without
+    any record, stay apart; a record among them is not well-formed then and ends in the rejects.
+    """
+    at = ["file", "split_start", "part"]
+    in_file = Window.partitionBy("file").orderBy("split_start", "part")
+    record = F.sum((F.col("part") == TAIL).cast("long")).over(in_file)
+    placed = pieces.select(*at, F.length("body").alias("_n")).withColumn("_record", record)
+    long = placed.groupBy("file", "_record").agg(F.sum("_n").alias("_all")).where(
+        F.col("_all") > longest).select("file", "_record", F.lit(True).alias("_long"))
+    marked = pieces.join(placed.drop("_n").join(long, ["file", "_record"], "left"), at)
+    ordered = F.array_sort(F.collect_list(F.struct("split_start", "part", "place", "body")))
+    columns = ["file", "split_start", "place", "body"]
+    whole = (
+        marked.where("_long is null").groupBy("file", "_record").agg(ordered.alias("_all"))
+        .select("file", F.col("_all")[0]["split_start"].alias("split_start"), F.col("_all")[0]["place"].alias("place"),
+                F.array_join(F.transform("_all", lambda p: p["body"]), "").alias("body"))
+    )
+    return whole.unionByName(marked.where("_long").select(*columns))

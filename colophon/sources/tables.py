@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -9,7 +10,10 @@ from pyspark.sql import types as T
 
 from colophon.functions.values import blank_to_null, integral
 from colophon.schemas import DEFAULTS, TABLES
-from colophon.session import path_exists
+from colophon.session import Scratch, path_exists
+from colophon.sources.lexical import (
+    HEAD, RECORD, TAIL, SplitStates, joined_at_splits, lines_of, runs_of, split_states,
+)
 
 
 def table_schema(table: str) -> T.StructType:
@@ -51,6 +55,105 @@ def clean_columns(df: DataFrame, schema: T.StructType,
 
 
 _RAW, _REASON = "_corrupt_record", "_reason"
+# A row of more characters is not put together from several splits.
+LONGEST_ROW = 64 << 20
+_INSIDE = re.compile(r'[^"]*(?:""[^"]*)*')
+
+
+def _open_after(line: str, quoted: int) -> int:
+    """Whether a value is still open in quotes behind a line. A quote opens a value only at its begin;
+    what stands behind the closing one belongs to the value up to the next comma."""
+    at = 0
+    if quoted:
+        at = _INSIDE.match(line).end()
+        if at == len(line):
+            return 1
+        at = line.find(",", at) + 1
+        if not at:
+            return 0
+    while True:
+        if line.startswith('"', at):
+            at = _INSIDE.match(line, at + 1).end()
+            if at == len(line):
+                return 1
+        at = line.find(",", at) + 1
+        if not at:
+            return 0
+
+
+def _cut_at_rows(states: SplitStates):
+    """Task function: lines of one or more splits in, whole rows out, which may be several lines; and of every
+    split the end of a row that began before it, and the begin of one that goes on behind it."""
+    def cut(batches):
+        import pyarrow as pa
+
+        names = ["file", "split_start", "place", "part", "body"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
+        current, held, state, place, head = None, [], 0, 0, False
+
+        def rest():
+            return [(*current, place, HEAD if head else TAIL, "".join(f"{line}\n" for line in held))] if held else []
+
+        def rows(out):
+            columns = list(zip(*out)) or [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+        for batch in batches:
+            out = []
+            files, splits = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            lines = batch.column(2).to_pylist()
+            bounds = runs_of(files, splits)
+            for begin, end in zip(bounds, bounds[1:]):
+                split = (int(files[begin]), int(splits[begin]))
+                if split != current:
+                    out += rest() if current is not None else []
+                    current, held, place, state = split, [], 0, states.at(*split)
+                    head = bool(state)
+                for line in lines[begin:end]:
+                    state = _open_after(line, state)
+                    held.append(line)
+                    if not state:
+                        body = "\n".join(held).removesuffix("\r")
+                        if head or body.strip():
+                            place += not head
+                            out.append((*current, place, HEAD if head else RECORD, body))
+                        held, head = [], False
+            yield rows(out)
+        if current is not None:
+            yield rows(rest())
+
+    return cut
+
+
+def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``body, header`` of every row of CSV files whose values may hold line breaks, read by splits of any
+    size. ``header`` marks the first row of a file.
+
+    The quotes of all lines are read first, which tells the splits that begin inside a value. Only rows that
+    cross the end of a split are written and joined afterwards.
+    """
+    lines = lines_of(spark, path, lineSep="\n")
+    states = split_states(lines.where(F.contains("value", F.lit('"'))), _open_after, 2)
+    pieces = lines.mapInArrow(_cut_at_rows(states), "file long, split_start long, place long, part int, body string")
+    ends = Scratch(spark, "csv").table(pieces.where(F.col("part") != RECORD), "ends")
+    whole = pieces.where(F.col("part") == RECORD).drop("part").unionByName(joined_at_splits(
+        ends.withColumn("place", F.col("place") + 1), LONGEST_ROW))
+    first = (F.col("split_start") == 0) & (F.col("place") == 1)
+    return whole.select(F.when(first, F.ltrim(F.col("body"), F.lit("\ufeff"))).otherwise(F.col("body")).alias("body"),
+                        first.alias("header"))
+
+
+def _parsed_rows(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The values of all rows as text, and a row's text where their number is not that of the header. Every
+    file has to have the same header."""
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+    values = F.from_csv(F.col("body"), F.lit(", ".join(f"`{f.name}` string" for f in text)), {
+        "mode": "PERMISSIVE", "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": _RAW})
+    rows = csv_rows(spark, path).select("header", values.alias("v"))
+    same = F.lower(F.to_json(F.array(*[F.col("v")[n] for n in names]))) == F.lower(
+        F.to_json(F.array(*[F.lit(n) for n in names])))
+    other = F.raise_error(F.concat(F.lit(f"{path}: another header: "), F.to_json("v"))).cast("boolean")
+    return rows.where(F.when(~F.col("header"), True).when(same, False).otherwise(other)).select("v.*")
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True,
@@ -59,14 +162,17 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     cannot be used: it has more or fewer values than the header, or one that does not fit its
     column's type; ``_corrupt_record`` is then its text, or the values as JSON.
 
-    Values may hold line breaks, which makes every file one task; without ``multi_line`` files
-    are split at line ends.
+    Values may hold line breaks. Files are split in either case; without ``multi_line`` every line is a
+    row, which saves reading the quotes first.
     """
     options = {"header": True, "escape": '"', "multiLine": multi_line}
     names = spark.read.csv(path, **options).columns
-    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
-    rows = spark.read.schema(text).option("columnPruning", False).option(
-        "columnNameOfCorruptRecord", _RAW).csv(path, mode="PERMISSIVE", enforceSchema=False, **options)
+    if multi_line:
+        rows = _parsed_rows(spark, path, names)
+    else:
+        text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+        rows = spark.read.schema(text).option("columnPruning", False).option(
+            "columnNameOfCorruptRecord", _RAW).csv(path, mode="PERMISSIVE", enforceSchema=False, **options)
     fields = [f for f in schema.fields if f.name in names]
     misfit = F.array_compact(F.array(*[
         F.when(blank_to_null(F.col(f"`{f.name}`")).isNotNull()
@@ -80,18 +186,24 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return cleaned.withColumnsRenamed({"_why": _REASON, "_raw": _RAW})
 
 
+def _usable(scanned: DataFrame) -> DataFrame:
+    return scanned.where(F.col(_REASON).isNull()).drop(_REASON, _RAW)
+
+
+def _unusable(scanned: DataFrame) -> DataFrame:
+    return scanned.where(F.col(_REASON).isNotNull()).select(F.col(_REASON).alias("reason"), F.col(_RAW).alias("row"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True,
              defaults: Mapping[str, object] | None = None) -> DataFrame:
     """The usable rows of ``scan_csv``."""
-    return scan_csv(spark, path, schema, multi_line, defaults).where(
-        F.col(_REASON).isNull()).drop(_REASON, _RAW)
+    return _usable(scan_csv(spark, path, schema, multi_line, defaults))
 
 
 def csv_rejects(spark: SparkSession, path: str, schema: T.StructType,
                 multi_line: bool = True) -> DataFrame:
     """``reason, row`` of the rows that ``read_csv`` leaves out."""
-    return scan_csv(spark, path, schema, multi_line).where(F.col(_REASON).isNotNull()).select(
-        F.col(_REASON).alias("reason"), F.col(_RAW).alias("row"))
+    return _unusable(scan_csv(spark, path, schema, multi_line))
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -140,18 +252,18 @@ def load_csv_tables(spark: SparkSession, csv_folder: str, folder: str,
     under that name if there are any; with ``strict`` they fail the job before its table is
     replaced."""
     paths = {t: f"{csv_folder}/{t}.csv" for t in tables}
-    counts = {}
+    counts, scratch = {}, Scratch(spark, "load")
     for table, path in paths.items():
         if not path_exists(spark, path):
             continue
-        schema = table_schema(table)
-        rejects = write_tables(
-            {f"rejects_{table}": csv_rejects(spark, path, schema, multi_line)}, folder)
+        # Rows and rejects come from one scan.
+        scanned = scratch.table(scan_csv(spark, path, table_schema(table), multi_line, DEFAULTS.get(table)), table)
+        rejects = write_tables({f"rejects_{table}": _unusable(scanned)}, folder)
         found = {name: n for name, n in rejects.items() if n}
         if strict and found:
             raise ValueError(f"{table}: {sum(found.values())} unusable rows, see {folder}/rejects_{table}")
-        counts |= found | write_tables(
-            {table: read_csv(spark, path, schema, multi_line, DEFAULTS.get(table))}, folder)
+        counts |= found | write_tables({table: _usable(scanned)}, folder)
+        scratch.drop(table)
     return counts
 
 

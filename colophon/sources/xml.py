@@ -6,18 +6,18 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from colophon.functions.markup import decode_entities
 from colophon.operators.ordering import dense_ids
 from colophon.operators.skew import checked_broadcast
 from colophon.schemas import PUBLICATION_TAGS, RECORD_SCHEMA, RECORD_TAGS
 from colophon.session import Scratch
-from colophon.sources.lexical import SplitStates, runs_of, split_states
+from colophon.sources.lexical import (
+    HEAD as _HEAD, RECORD as _RECORD, TAIL as _TAIL, SplitStates, joined_at_splits, lines_of, runs_of, split_states,
+)
 
 _SCAN_SCHEMA = "file long, split_start long, place long, part int, body string"
-# part of a scanned row
-_HEAD, _RECORD, _TAIL = 0, 1, 2
 # Records and gaps of more characters than this are not put together from several splits.
 LONGEST_CHUNK = 64 << 20
 # States of the text: markup, inside a comment, inside a character data section.
@@ -99,41 +99,6 @@ def _cut_at_records(tags: Sequence[str], states: SplitStates):
     return cut
 
 
-def joined_at_splits(pieces: DataFrame) -> DataFrame:
-    """Put texts that cross split boundaries together: ``file, split_start, place, body``, placed where
-    they begin.
-
-    A text starts as one split's tail and goes on in the heads of the next ones. Which pieces
-    belong together is found on their positions and lengths alone, at most two narrow rows per
-    split. Pieces that would make more than ``LONGEST_CHUNK`` characters, such as a file without
-    any record, stay apart; a record among them is not well-formed then and ends in the rejects.
-    """
-    at = ["file", "split_start", "part"]
-    in_file = Window.partitionBy("file").orderBy("split_start", "part")
-    record = F.sum((F.col("part") == _TAIL).cast("long")).over(in_file)
-    placed = pieces.select(*at, F.length("body").alias("_n")).withColumn("_record", record)
-    long = placed.groupBy("file", "_record").agg(F.sum("_n").alias("_all")).where(
-        F.col("_all") > LONGEST_CHUNK).select("file", "_record", F.lit(True).alias("_long"))
-    marked = pieces.join(placed.drop("_n").join(long, ["file", "_record"], "left"), at)
-    ordered = F.array_sort(F.collect_list(F.struct("split_start", "part", "place", "body")))
-    columns = ["file", "split_start", "place", "body"]
-    whole = (
-        marked.where("_long is null").groupBy("file", "_record").agg(ordered.alias("_all"))
-        .select("file", F.col("_all")[0]["split_start"].alias("split_start"), F.col("_all")[0]["place"].alias("place"),
-                F.array_join(F.transform("_all", lambda p: p["body"]), "").alias("body"))
-    )
-    return whole.unionByName(marked.where("_long").select(*columns))
-
-
-def lines_of(spark: SparkSession, path: str | Sequence[str], **options: str) -> DataFrame:
-    """``file, split_start, value`` of all lines of text files, read by splits."""
-    return spark.read.options(**options).text(path).select(
-        F.xxhash64("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        "value",
-    )
-
-
 def in_file_order(pieces: DataFrame, path: str | Sequence[str]) -> DataFrame:
     """``pieces`` with ``at``, their place among all files in the order of their paths, for the columns
     that tell it. ``at`` orders by file, split and place."""
@@ -165,7 +130,7 @@ def scan_chunks(
     pieces = lines.mapInArrow(_cut_at_records(tags, states), _SCAN_SCHEMA)
     ends = Scratch(spark, "xml").table(pieces.where(F.col("part") != _RECORD), "ends")
     inner = pieces.where(F.col("part") == _RECORD).drop("part")
-    return in_file_order(inner.unionByName(joined_at_splits(ends)), path)
+    return in_file_order(inner.unionByName(joined_at_splits(ends, LONGEST_CHUNK)), path)
 
 
 def _record_of(body: Column, tags: Sequence[str]) -> Column:
