@@ -23,7 +23,8 @@ def _parser() -> argparse.ArgumentParser:
     out = ("--out", {"help": "write the result as CSV here instead of printing all of it"})
     command("profile", "count elements of an XML dump", ("xml", {"nargs": "+"}), out)
     command("ingest", "shred an XML dump into tables", folder, ("xml", {"nargs": "+"}),
-            ("--strict", {"action": "store_true"}))
+            ("--strict", {"action": "store_true"}),
+            ("--known", {"help": "folder of earlier tables whose ids stay"}))
     command("load-csv", "load CSV tables", folder, ("csv", {"help": "folder of <table>.csv"}),
             ("--single-line", {"action": "store_true", "help": "no value holds a line break"}))
     command("check", "check keys, references and domains", folder, out)
@@ -71,7 +72,7 @@ def _run(args, spark, show) -> None:
             print(name)
             show(df, name)
     elif args.command == "ingest":
-        print(ingest.ingest(spark, args.xml, args.folder, args.strict))
+        print(ingest.ingest(spark, args.xml, args.folder, args.strict, args.known))
     elif args.command == "load-csv":
         print(table_io.load_csv_tables(
             spark, args.csv, args.folder, multi_line=not args.single_line))

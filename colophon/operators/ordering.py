@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -42,3 +43,19 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], id_col: str = "id")
         .join(F.broadcast(offsets), "_part")
         .select((F.col("_offset") + row).alias(id_col), *df.columns)
     )
+
+
+def extended_ids(known: DataFrame | None, found: DataFrame, keys: Sequence[str],
+                 order: Sequence[str | Column], id_col: str = "id") -> DataFrame:
+    """``known`` rows with their ids, and the rows of ``found`` whose keys it lacks, numbered behind them.
+
+    Ids of known rows never change, so tables that hold them stay right when more is loaded. Null keys are
+    equal to each other. ``found`` has each combination of keys once; without ``known`` all are new.
+    """
+    if known is None:
+        return dense_ids(found, order, id_col)
+    same = reduce(lambda a, b: a & b, (F.col(f"n.{k}").eqNullSafe(F.col(f"k.{k}")) for k in keys))
+    new = dense_ids(found.alias("n").join(known.select(*keys).alias("k"), same, "left_anti"), order, id_col)
+    top = known.agg(F.max(id_col)).first()[0]
+    first = 0 if top is None else top + 1
+    return known.unionByName(new.withColumn(id_col, F.col(id_col) + first))

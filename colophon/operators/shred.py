@@ -10,7 +10,7 @@ from colophon.functions.markup import (
     attribute, decode_entities, predefined_entities, strip_element,
 )
 from colophon.functions.values import blank_to_null, has_flag, last_value, month_number, safe_int
-from colophon.operators.ordering import dense_ids
+from colophon.operators.ordering import dense_ids, extended_ids
 from colophon.operators.skew import lookup_join
 from colophon.session import Scratch
 
@@ -57,9 +57,11 @@ def person_mentions(records: DataFrame) -> DataFrame:
     return mentions
 
 
-def person_dictionary(mentions: DataFrame) -> DataFrame:
-    """``person``: each (name, ORCID) once; a name with and without ORCID is two persons."""
-    return dense_ids(mentions.select("full_name", "orcid").distinct(), ["full_name", "orcid"])
+def person_dictionary(mentions: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``person``: each (name, ORCID) once; a name with and without ORCID is two persons. ``known`` persons
+    keep their ids."""
+    found = mentions.select("full_name", "orcid").distinct()
+    return extended_ids(known, found, ["full_name", "orcid"], ["full_name", "orcid"])
 
 
 def _person_key() -> Column:
@@ -107,27 +109,28 @@ def child_table(records: DataFrame, table: str) -> DataFrame:
 
 def name_dictionary(
     rows: DataFrame, name: str = "name", attributes: tuple[str, ...] = ("href",),
-    order: tuple[str, ...] = ("publication_key", "pos"),
+    order: tuple[str, ...] = ("publication_key", "pos"), known: DataFrame | None = None,
 ) -> DataFrame:
-    """Each name once with a dense id; its attributes are those of the first occurrence."""
+    """Each name once with a dense id; its attributes are those of the first occurrence. ``known`` names
+    keep ids and attributes."""
     first = [F.min_by(a, F.struct(*order)).alias(a) for a in attributes]
     if first:
         named = rows.where(F.col(name).isNotNull()).groupBy(name).agg(*first)
     else:
         named = rows.where(F.col(name).isNotNull()).select(name).distinct()
-    return dense_ids(named, [name])
+    return extended_ids(known, named, [name], [name])
 
 
-def dictionary_table(records: DataFrame, table: str) -> DataFrame:
+def dictionary_table(records: DataFrame, table: str, known: DataFrame | None = None) -> DataFrame:
     """``publisher``, ``series`` (name and href) or ``school`` (name)."""
     if table == "school":
         rows = records.select(F.explode("school").alias("name"))
-        return name_dictionary(rows, attributes=())
+        return name_dictionary(rows, attributes=(), known=known)
     # The first occurrence is that in the dump; records of unknown place stand in the order of their keys.
     place = "at" if "at" in records.columns else "publication_key"
     rows = children(records, table).select(
         place, "pos", _text(F.col("_VALUE"), table).alias("name"), F.col("_href").alias("href"))
-    return name_dictionary(rows, order=(place, "pos"))
+    return name_dictionary(rows, order=(place, "pos"), known=known)
 
 
 def publication_rows(records: DataFrame) -> DataFrame:

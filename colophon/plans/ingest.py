@@ -27,7 +27,7 @@ def profile_dump(spark: SparkSession, path: str | Sequence[str]) -> dict[str, Da
 
 
 def ingest(
-    spark: SparkSession, path: str | Sequence[str], folder: str, strict: bool = False
+    spark: SparkSession, path: str | Sequence[str], folder: str, strict: bool = False, known: str | None = None
 ) -> dict[str, int]:
     """Shred a dump into the tables below ``folder`` and return their numbers of rows.
 
@@ -35,15 +35,22 @@ def ingest(
     Records that cannot be used go to ``folder/rejects``; with ``strict`` they fail the job. Texts
     where a whole number should be are null in the tables and listed in ``folder/rejects_integer``.
     The folder is for loading: ``publish`` puts its tables in place of the live ones.
+
+    ``known`` is a folder of earlier tables. Persons, publishers, series and schools that it has keep their
+    ids, and stay even if the dump has them no longer; only new ones are numbered, behind the others.
     """
+    table_io.check_unpublished(spark, folder)
     scratch = Scratch(spark, "ingest")
     parsed = scratch.table(xml.parse_records(xml.scan_records(spark, path)), "records")
     xml.rejected_records(parsed).write.mode("overwrite").parquet(f"{folder}/rejects")
     records = xml.good_records(parsed, strict)
     shred.integer_rejects(records).write.mode("overwrite").parquet(f"{folder}/rejects_integer")
 
+    # Copied, as the folder may be the one that is written.
+    earlier = {t: scratch.table(df, f"known_{t}") for t, df in table_io.read_tables(
+        spark, known, ("person", *shred.DICTIONARIES)).items()} if known else {}
     mentions = scratch.table(shred.person_mentions(records), "mentions")
-    counts = table_io.write_tables({"person": shred.person_dictionary(mentions)}, folder)
+    counts = table_io.write_tables({"person": shred.person_dictionary(mentions, earlier.get("person"))}, folder)
     person = table_io.read_table(spark, folder, "person")
     counts |= table_io.write_tables(
         {role: shred.contributions(mentions, person, role) for role in ("author", "editor")},
@@ -51,7 +58,7 @@ def ingest(
     scratch.drop("mentions")
 
     counts |= table_io.write_tables(
-        {t: shred.dictionary_table(records, t) for t in shred.DICTIONARIES}, folder)
+        {t: shred.dictionary_table(records, t, earlier.get(t)) for t in shred.DICTIONARIES}, folder)
     names = table_io.read_tables(spark, folder, shred.DICTIONARIES)
     counts |= table_io.write_tables(
         {"publication": shred.publication_table(records, names)}, folder)
@@ -76,7 +83,8 @@ def publish(spark: SparkSession, folder: str, target: str | None = None,
 
     ``folder`` is where ``ingest`` or a CSV load put them. Raises with the broken rules if there are
     any of the given kinds, and changes nothing then. The tables replace those below ``target``, if
-    it is given, and are known to SQL: in ``database`` for every session, else in this one.
+    it is given, all at once, and are known to SQL: in ``database`` for every session, else in this one.
+    A catalogue knows tables one by one, so there each table is complete, but only ``target`` changes as a whole.
     """
     broken = (
         check(spark, folder)
@@ -86,12 +94,15 @@ def publish(spark: SparkSession, folder: str, target: str | None = None,
     if broken:
         raise ValueError("; ".join(f"{r.kind} {r.rule}: {r.violations}" for r in broken))
     if target and target != folder:
-        table_io.write_tables(table_io.read_tables(spark, folder), target)
-    home = target or folder
+        home = table_io.publish_tables(spark, table_io.read_tables(spark, folder), target)
+    else:
+        home = table_io.current_folder(spark, folder)
+    known = set(t.name for t in spark.catalog.listTables(database)) if database else set()
     for table in TABLES:
-        if database:
-            spark.sql(f"drop table if exists `{database}`.`{table}`")
-            spark.catalog.createTable(f"{database}.{table}", path=f"{home}/{table}", source="parquet")
+        if not database:
+            spark.read.schema(table_io.table_schema(table)).parquet(f"{home}/{table}").createOrReplaceTempView(table)
+        elif table in known:
+            spark.sql(f"alter table `{database}`.`{table}` set location '{home}/{table}'")
         else:
-            table_io.read_table(spark, home, table).createOrReplaceTempView(table)
+            spark.catalog.createTable(f"{database}.{table}", path=f"{home}/{table}", source="parquet")
     return list(TABLES)

@@ -47,6 +47,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def read_line(spark: SparkSession, path: str) -> str:
+    """The only line of a small file."""
+    files, where = _file_system(spark, path)
+    stream = files.open(where)
+    try:
+        return stream.readLine()
+    finally:
+        stream.close()
+
+
+def replace_line(spark: SparkSession, path: str, line: str) -> None:
+    """Make a file hold one line, in one step: readers see the old line or the new one."""
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    files, where = _file_system(spark, fresh)
+    stream = files.create(where)
+    stream.writeBytes(f"{line}\n")
+    stream.close()
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(where), files.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), options)
+
+
+def remove_before(spark: SparkSession, folder: str, name: str, kept: set[str]) -> None:
+    """Delete the folders below a folder whose names come before ``name``, but for those that are kept."""
+    files, where = _file_system(spark, folder)
+    for entry in files.listStatus(where):
+        own = entry.getPath().getName()
+        if own < name and own not in kept:
+            files.delete(entry.getPath(), True)
+
+
 # The folders that are not removed yet, and their sessions.
 _paths: dict[str, SparkSession] = {}
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from colophon.functions.values import blank_to_null, integral
 from colophon.schemas import DEFAULTS, TABLES
-from colophon.session import Scratch, path_exists
+from colophon.session import Scratch, path_exists, read_line, remove_before, replace_line
 from colophon.sources.lexical import (
     HEAD, RECORD, TAIL, SplitStates, joined_at_splits, lines_of, runs_of, split_states,
 )
@@ -206,13 +208,54 @@ def csv_rejects(spark: SparkSession, path: str, schema: T.StructType,
     return _unusable(scan_csv(spark, path, schema, multi_line))
 
 
+# A published folder has all its versions below one folder, and a file that names the current one and, behind
+# it, the earlier ones that are kept.
+VERSIONS, CURRENT = "_versions", "_current"
+KEPT_VERSIONS = 2
+
+
+def current_folder(spark: SparkSession, folder: str) -> str:
+    """Where the tables of a folder are: in its current version if it was published, else in itself."""
+    if not path_exists(spark, f"{folder}/{CURRENT}"):
+        return folder
+    return f"{folder}/{VERSIONS}/{read_line(spark, f'{folder}/{CURRENT}').split()[0]}"
+
+
+def check_unpublished(spark: SparkSession, folder: str) -> None:
+    """Refuse to load into a published folder: readers would not see what is written there."""
+    if path_exists(spark, f"{folder}/{CURRENT}"):
+        raise ValueError(f"{folder} is published; load into another folder and publish that")
+
+
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.schema(table_schema(table)).parquet(f"{folder}/{table}")
+    return read_tables(spark, folder, [table])[table]
 
 
 def read_tables(spark: SparkSession, folder: str,
                 tables: Iterable[str] = tuple(TABLES)) -> dict[str, DataFrame]:
-    return {t: read_table(spark, folder, t) for t in tables}
+    """Tables of a folder, all of one version."""
+    home = current_folder(spark, folder)
+    return {t: spark.read.schema(table_schema(t)).parquet(f"{home}/{t}") for t in tables}
+
+
+def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str,
+                   kept: int = KEPT_VERSIONS) -> str:
+    """Replace all tables below ``folder`` at once, and return the folder that holds them.
+
+    They are written as a new version, which readers do not see until the last one is complete and the
+    name of the current version is replaced. A job that fails before leaves the old tables as they are.
+    Queries that have begun go on with the version they opened; the last ``kept`` versions stay.
+    """
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    home = f"{folder}/{VERSIONS}/{version}"
+    write_tables(tables, home)
+    current = f"{folder}/{CURRENT}"
+    earlier = read_line(spark, current).split() if path_exists(spark, current) else []
+    names = [version, *earlier][:kept]
+    replace_line(spark, current, " ".join(names))
+    # What jobs that failed have left goes as well.
+    remove_before(spark, f"{folder}/{VERSIONS}", version, set(names))
+    return home
 
 
 # Columns that single values are looked up by: their files get bloom filters.
@@ -251,6 +294,7 @@ def load_csv_tables(spark: SparkSession, csv_folder: str, folder: str,
     touched. Rows that cannot be used go to ``rejects_<table>``, and their number is returned
     under that name if there are any; with ``strict`` they fail the job before its table is
     replaced."""
+    check_unpublished(spark, folder)
     paths = {t: f"{csv_folder}/{t}.csv" for t in tables}
     counts, scratch = {}, Scratch(spark, "load")
     for table, path in paths.items():

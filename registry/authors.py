@@ -115,15 +115,13 @@ _RANDOM = """random as (
 @entry("top_k_authors", f"""
 with {PART_PERSON}, {PART_AUTHOR}, {_TOP.format(k=100)} select * from top""")
 def _(spark, sf):
-    counts = ops.author_pub_counts(part_person(spark, sf), part_author(spark, sf))
-    return ops.top_k_authors(counts, 100)
+    return ops.top_k_of(part_person(spark, sf), part_author(spark, sf), 100)
 
 
 @entry("random_sample", f"""
 with {PART_PERSON}, {PART_AUTHOR}, {_RANDOM.format(n=100)} select * from random""")
 def _(spark, sf):
-    counts = ops.author_pub_counts(part_person(spark, sf), part_author(spark, sf))
-    return ops.random_authors(counts, 100)
+    return ops.random_of(part_person(spark, sf), part_author(spark, sf), 100)
 
 
 @entry("benchmark_authors", f"""
