@@ -101,17 +101,12 @@ def votes(rare: list[tuple[str, int, int]]) -> Column:
 
 
 def agreed() -> Column:
-    """The ``(t, start)`` that at least two ``votes`` share."""
-    start = F.struct(F.lit(-1).alias("t"), F.lit(0).alias("start"), F.lit(0).alias("n"),
-                     F.array().cast("array<struct<t:int,start:int>>").alias("found"))
+    """The ``(t, start)`` that at least two ``votes`` share: in their order, those equal to the one before
+    and not to the one before that."""
+    def same(v, i):
+        return F.coalesce(v == F.get("votes", i), F.lit(False))
 
-    def step(a, v):
-        n = F.when((a["t"] == v["t"]) & (a["start"] == v["start"]), a["n"] + 1).otherwise(1)
-        return F.struct(v["t"].alias("t"), v["start"].alias("start"), n.alias("n"), F.when(
-            n == AGREE, F.array_append(a["found"], F.struct(
-                v["t"].alias("t"), v["start"].alias("start")))).otherwise(a["found"]).alias("found"))
-
-    return F.when(F.size("votes") >= AGREE, F.aggregate("votes", start, step, lambda a: a["found"]))
+    return F.filter("votes", lambda v, i: same(v, i - (AGREE - 1)) & ~same(v, i - AGREE))
 
 
 def verified(idf: dict[str, float]) -> Column:

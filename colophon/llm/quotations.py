@@ -16,14 +16,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colophon.llm.columns import narrow
+from colophon.llm.columns import bound, gathered, narrow
 from colophon.operators.ordering import dense_ids
 from colophon.session import Scratch
 
 MARKS = "^(?:[ \\t]*>)+"
 QUOTED = "(?m)^[ \\t]*>"
 INTRODUCTION = "(?i)^.{0,200}\\bwrote:[ \\t]*$"
-BLOCKS = "array<struct<level:int,text:string,lines:int>>"
 HASHES = "array<bigint>"
 
 
@@ -39,22 +38,23 @@ def lines_of(text: Column) -> Column:
 
 def passages(lines: Column) -> Column:
     """Runs of lines of one level, and how many lines they have; blank lines end a run."""
-    def close(a):
-        return F.when(a["text"] == "", a["done"]).otherwise(F.array_append(a["done"], F.struct(
-            a["level"].alias("level"), a["text"].alias("text"), a["lines"].alias("lines"))))
+    def runs(lines):
+        def other(x, i):
+            """Whether a run does not go on from line ``i`` to ``x`` or back."""
+            near = F.get(lines, i)
+            return near.isNull() | (near["level"] != x["level"]) | (near["text"] == "")
 
-    def step(a, x):
-        goes_on = (x["level"] == a["level"]) & (x["text"] != "")
-        return F.struct(
-            x["level"].alias("level"),
-            F.when(goes_on, F.concat_ws(" ", F.nullif(a["text"], F.lit("")), x["text"])).otherwise(
-                x["text"]).alias("text"),
-            F.when(goes_on & (a["text"] != ""), a["lines"] + 1).otherwise(1).alias("lines"),
-            F.when(goes_on, a["done"]).otherwise(close(a)).alias("done"))
+        marked = F.transform(lines, lambda x, i: F.struct(
+            i.alias("at"), ((x["text"] != "") & other(x, i - 1)).alias("first"),
+            ((x["text"] != "") & other(x, i + 1)).alias("last")))
+        ends = bound(marked, lambda all_lines: F.arrays_zip(
+            F.transform(F.filter(all_lines, lambda x: x["first"]), lambda x: x["at"]).alias("first"),
+            F.transform(F.filter(all_lines, lambda x: x["last"]), lambda x: x["at"]).alias("last")))
+        return F.transform(ends, lambda x: bound(F.slice(lines, x["first"] + 1, x["last"] - x["first"] + 1), lambda run: F.struct(
+            F.get(run, F.lit(0))["level"].alias("level"),
+            F.array_join(F.transform(run, lambda line: line["text"]), " ").alias("text"), F.size(run).alias("lines"))))
 
-    zero = F.struct(F.lit(-1).alias("level"), F.lit("").alias("text"), F.lit(1).alias("lines"),
-                    F.array().cast(BLOCKS).alias("done"))
-    return F.aggregate(lines, zero, step, close)
+    return bound(lines, runs)
 
 
 def normalised(text: Column) -> Column:
@@ -72,17 +72,17 @@ def without_quotes(lines: Column, blocks: Column, found: Column) -> Column:
     # Lines with text are, in order, those of the passages.
     of_passage = F.flatten(F.transform(blocks, lambda p: F.array_repeat(
         F.array_contains(found, _hash(p["text"])), p["lines"])))
-    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("stays"), F.array().cast(
-        "array<struct<level:int,text:string,stays:boolean>>").alias("out"))
-
-    def step(a, x):
-        blank = x["text"] == ""
-        known = F.get(of_passage, a["at"]) | F.array_contains(found, _hash(x["text"]))
-        stays = F.when(x["level"] == 0, F.lit(True)).when(blank, a["stays"]).otherwise(~known)
-        return F.struct(
-            (a["at"] + F.when(blank, 0).otherwise(1)).alias("at"), ((x["level"] > 0) & stays).alias("stays"),
-            F.array_append(a["out"], F.struct(
-                x["level"].alias("level"), x["text"].alias("text"), stays.alias("stays"))).alias("out"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("stays"))
+
+    def marked_by(of_passage):
+        def step(a, x):
+            blank = x["text"] == ""
+            known = F.get(of_passage, a["at"]) | F.array_contains(found, _hash(x["text"]))
+            stays = F.when(x["level"] == 0, F.lit(True)).when(blank, a["stays"]).otherwise(~known)
+            state = F.struct((a["at"] + F.when(blank, 0).otherwise(1)).alias("at"), ((x["level"] > 0) & stays).alias("stays"))
+            return state, F.array(F.struct(x["level"].alias("level"), x["text"].alias("text"), stays.alias("stays")))
+
+        return gathered(lines, zero, step, "array<struct<level:int,text:string,stays:boolean>>")
 
     def shown(marked):
         own = F.filter(F.transform(marked, lambda x, i: F.struct(
@@ -94,8 +94,7 @@ def without_quotes(lines: Column, blocks: Column, found: Column) -> Column:
 
     # Texts without a quoted line need no marks; the marked lines are bound, so that they are made once.
     quoted = F.exists(lines, lambda x: x["level"] > 0)
-    marked = F.aggregate(lines, zero, step, lambda a: a["out"])
-    return F.when(quoted, F.get(F.transform(F.array(marked), shown), 0)).otherwise(
+    return F.when(quoted, bound(bound(of_passage, marked_by), shown)).otherwise(
         F.trim(F.array_join(F.transform(lines, lambda x: x["text"]), "\n"), F.lit("\n ")))
 
 

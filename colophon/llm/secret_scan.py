@@ -15,7 +15,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from colophon.llm.columns import narrow, whole
+from colophon.llm.columns import gathered, narrow, whole
 
 # Kind -> its pattern, and a condition on the match (and on group 2).
 ASSIGN = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -23,6 +23,7 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 KINDS = ["assign", "access", "hex", "entropy"]
 
+SPANS = "array<struct<start:int,end:int,part:string>>"
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = f"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
@@ -53,20 +54,19 @@ def located(text: Column, pattern: str, present: str, group: int = 0) -> Column:
     Texts without ``present``, which every wanted match contains, get an empty array. The places are
     sums of the lengths between and of the matches.
     """
-    none = F.array().cast("array<struct<start:int,end:int,part:string>>")
+    none = F.array().cast(SPANS)
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     rows = F.arrays_zip(gaps.alias("gap"), found.alias("all"), part.alias("part"))
 
-    def step(a, x):
-        start = a["at"] + x["gap"]
+    def step(at, x):
+        start = at + x["gap"]
         end = start + F.length(x["all"])
-        return F.struct(end.alias("at"), F.when(x["all"].isNull(), a["spans"]).otherwise(F.array_append(
-            a["spans"], F.struct(start.alias("start"), end.alias("end"), x["part"].alias("part")))).alias("spans"))
+        span = F.struct(start.alias("start"), end.alias("end"), x["part"].alias("part"))
+        return end, F.when(x["all"].isNull(), none).otherwise(F.array(span))
 
-    zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.when(text.rlike(present), F.aggregate(rows, zero, step, lambda a: a["spans"])).otherwise(none)
+    return F.when(text.rlike(present), gathered(rows, F.lit(0), step, SPANS)).otherwise(none)
 
 
 def window_limit(groups: Column, first_upper: Column) -> Column:
