@@ -14,7 +14,6 @@ rows of the other side: see ``lookup_join``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,6 +22,8 @@ from colophon.operators.skew import lookup_join, prune_to
 from colophon.session import Scratch
 
 MAX_ROUNDS = 200
+# Folders of a graph's links that a walk chooses from.
+BUCKETS = 32
 
 
 def undirected(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -238,36 +239,65 @@ def components_above(
         "threshold", "id", F.coalesce("component", "id").alias("component"))
 
 
+def _bucket(col: str, buckets: int):
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
+def adjacency(edges: DataFrame, scratch: Scratch, src: str, dst: str, buckets: int) -> DataFrame:
+    """``u, v, bucket``: the edges in both directions, in one folder for every bucket of ``u``."""
+    links = mirrored(edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v"))
+    path = f"{scratch.path}/links"
+    links.withColumn("bucket", _bucket("u", buckets)).repartition(buckets, "bucket").sortWithinPartitions(
+        "bucket", "u").write.partitionBy("bucket").parquet(path)
+    kinds = {f.name: f.dataType.simpleString() for f in links.schema}
+    return edges.sparkSession.read.schema(f"u {kinds['u']}, v {kinds['v']}, bucket int").parquet(path)
+
+
+def links_at(links: DataFrame, frontier: DataFrame, rows: int, buckets: int) -> DataFrame:
+    """The links from a written frontier of so many rows. Folders of buckets without a frontier vertex
+    are not read; the frontier, unless it is a big one, is broadcast, so links are not moved."""
+    if rows <= min(skew.LISTED_KEYS, skew.BROADCAST_ROWS):
+        listed = frontier.select("id", _bucket("id", buckets).alias("bucket")).collect()
+        return links.where(F.col("bucket").isin(list({r["bucket"] for r in listed}))
+                           & F.col("u").isin([r["id"] for r in listed]))
+    held = frontier.select(_bucket("id", buckets)).distinct().collect()  # at most ``buckets``
+    return prune_to(links.where(F.col("bucket").isin([r[0] for r in held])), frontier, "u", "id", rows)
+
+
 def component_of(
-    edges: DataFrame, start, src: str = "author1_id", dst: str = "author2_id",
+    edges: DataFrame, start, src: str = "author1_id", dst: str = "author2_id", buckets: int = BUCKETS,
 ) -> DataFrame:
     """``id`` of every vertex in the component of ``start``; nothing if it has no edge.
 
-    The edges are written once in both directions, sorted by the end that steps start from. A
-    frontier walks outwards, and each step takes only the edges at the frontier out of one scan. A
-    new vertex can only have been seen in the frontier before or the one before that. For many
+    The edges are written once in both directions, in buckets by the end that steps start from. A
+    frontier walks outwards, and each step reads only the buckets that the frontier is in. A
+    new vertex can only have been seen in the frontier before or the one before that. The steps lie below
+    one folder, so the result is one scan however many there are. For many
     vertices, or a graph whose components are deep, label all of it with
     ``connected_components`` instead.
     """
-    scratch = Scratch(edges.sparkSession, "reach")
-    links = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    links = scratch.table(
-        mirrored(links).repartitionByRange("u").sortWithinPartitions("u"), "links")
-    frontier = scratch.table(
-        links.where(F.col("u") == F.lit(start)).limit(1).select(F.col("u").alias("id")), "step0")
-    before = frontier.limit(0)
-    reached, step = [frontier], 0
-    while scratch.rows[f"step{step}"]:
+    spark = edges.sparkSession
+    scratch = Scratch(spark, "reach")
+    links = adjacency(edges, scratch, src, dst, buckets)
+    first = links.where((F.col("bucket") == _bucket_of(spark, start, links, buckets)) & (F.col("u") == F.lit(start)))
+    frontier = scratch.table(first.limit(1).select(F.col("u").alias("id")), "reached/step=0")
+    before, step = frontier.limit(0), 0
+    while rows := scratch.rows[f"reached/step={step}"]:
         found = (
-            prune_to(links, frontier, "u", "id", scratch.rows[f"step{step}"])
+            links_at(links, frontier, rows, buckets)
             .select(F.col("v").alias("id")).distinct()
             .join(frontier, "id", "left_anti")
             .join(before, "id", "left_anti")
         )
         step += 1
-        before, frontier = frontier, scratch.table(found, f"step{step}")
-        reached.append(frontier)
-    return reduce(DataFrame.unionByName, reached)
+        before, frontier = frontier, scratch.table(found, f"reached/step={step}")
+    return spark.read.schema(frontier.schema).parquet(f"{scratch.path}/reached").select("id")
+
+
+def _bucket_of(spark, value, links: DataFrame, buckets: int) -> int:
+    """The bucket of one vertex, so that finding it reads one folder."""
+    one = spark.range(1).select(F.lit(value).cast(links.schema["u"].dataType).alias("u"))
+    return one.select(_bucket("u", buckets)).first()[0]
 
 
 def labelled_component(labels: DataFrame, start) -> DataFrame:

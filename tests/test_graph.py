@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from colophon.session import Scratch
 from colophon.operators import authors, coauthor, components as comp, paths, projections, stats
 from colophon.plans import graph as graph_plan
 from colophon.sources import tables as table_io
@@ -87,6 +88,48 @@ def test_component_deeper_than_the_walk(spark):
     assert sorted(r.id for r in comp.labelled_component(labels, 4).collect()) == list(range(37))
 
 
+def files_read(df):
+    """How many files the scans of a query read."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    todo, files = [plan], 0
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif node.metrics().contains("numFiles"):
+            files += node.metrics().apply("numFiles").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return files
+
+
+def test_a_step_reads_the_buckets_of_its_frontier(spark):
+    scratch = Scratch(spark, "test")
+    edges = frame(spark, [(i, i + 1) for i in range(2000)])
+    links = comp.adjacency(edges, scratch, "src", "dst", 16)
+    for n, most in ((1, 1), (2, 2), (2000, 16)):
+        frontier = scratch.table(spark.range(n).select("id"), f"frontier{n}")
+        found = comp.links_at(links, frontier, n, 16)
+        assert files_read(found.select("v")) <= most + (scratch_files(spark, scratch, n) if n > 200 else 0)
+        assert found.count() == 2 * n - 1
+
+
+def scratch_files(spark, scratch, n):
+    return len(spark.read.parquet(f"{scratch.path}/frontier{n}").inputFiles())
+
+
+def test_reach_of_many_steps_is_one_scan(spark):
+    edges = spark.createDataFrame([(f"v{i}", f"v{i + 1}") for i in range(30)] + [("x", "y"), ("v3", "v3"), ("w", "w")],
+                                  "src string, dst string")
+    found = comp.component_of(edges, "v7", "src", "dst", buckets=4)
+    assert sorted(r.id for r in found.collect()) == sorted(f"v{i}" for i in range(31))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert comp.component_of(edges, "w", "src", "dst").count() == 0
+    assert comp.component_of(edges.limit(0), "w", "src", "dst").count() == 0
+
+
 # publication -> authors; 9 wrote alone, 10 never
 PAPERS = {"a": [1, 2], "b": [1, 2, 3], "c": [4, 5, 6, 7, 8], "d": [9], "e": [5, 1]}
 
