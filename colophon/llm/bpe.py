@@ -32,7 +32,8 @@ COUNTED, FREQUENT = 8 << 20, 2
 LONGEST = 32
 # Fixed value: how the supported tokenizer splits normalised text.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_NONE = np.iinfo(np.int32).max
+# The symbol of a cell, and a rank above all ranks.
+_SYMBOL, _UNMERGED = np.int64((1 << 20) - 1), np.int64(1 << 51)
 # Kinds of bytes of lower-cased words of printable ASCII and Latin-1 letters, whose normal form and class
 # need no Unicode tables: space, letter, digit, other.
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
@@ -44,13 +45,13 @@ class Merges:
     """The tokenizer's merges as a hash table over pairs of symbols."""
 
     BITS = 18
-    ARRAYS = {"inner": "<i4", "last": "<i4", "keys": "<i8", "ranks": "<i4", "made": "<i4", "surface_at": "<i4", "surfaces": "u1"}
+    ARRAYS = {"inner": "<i4", "last": "<i4", "keys": "<i8", "ranks": "<i4", "by_rank": "<i4", "surface_at": "<i4", "surfaces": "u1"}
 
     def __init__(self, path: str, parts: dict[str, np.ndarray] | None = None):
         """``parts`` are the arrays, if they are known; else they come from the tokenizer's file."""
         self.path, self._tokenizer = path, None
         self.parts = self._read(path) if parts is None else parts
-        self.inner, self.last, self.keys, self.ranks, self.made, self.surface_at, self.surfaces = (
+        self.inner, self.last, self.keys, self.ranks, self.by_rank, self.surface_at, self.surfaces = (
             self.parts[name] for name in self.ARRAYS)
 
     def _read(self, path: str) -> dict[str, np.ndarray]:
@@ -70,17 +71,17 @@ class Merges:
         for token, i in [*vocab.items(), *((t["content"], t["id"]) for t in spec["added_tokens"])]:
             surface[i] = token.encode()
         self.keys = np.full(1 << self.BITS, -1, np.int64)
-        ranks, made = np.full(len(self.keys), _NONE, np.int32), np.zeros(len(self.keys), np.int32)
+        ranks, by_rank = np.full(len(self.keys), -1, np.int32), np.zeros(len(model["merges"]), np.int32)
         for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
             key = vocab[a] << 20 | vocab[b]
             slot = self._slot(np.array([key], np.int64))[0]
             while self.keys[slot] >= 0:
                 slot = (slot + 1) % len(self.keys)
-            self.keys[slot], ranks[slot], made[slot] = key, rank, vocab[a + b]
+            self.keys[slot], ranks[slot], by_rank[rank] = key, rank, vocab[a + b]
         # Decoding puts a space between surfaces, so each is held with one behind it.
         return {"inner": np.array([vocab[c] for c in shown], np.int32),
                 "last": np.array([vocab[c + "</w>"] for c in shown], np.int32),
-                "keys": self.keys, "ranks": ranks, "made": made,
+                "keys": self.keys, "ranks": ranks, "by_rank": by_rank,
                 "surface_at": np.r_[0, np.cumsum([len(x) + 1 for x in surface])].astype(np.int32),
                 "surfaces": np.frombuffer(b"".join(x + b" " for x in surface), np.uint8)}
 
@@ -133,41 +134,46 @@ class Merges:
         return ids, counts
 
     def _merge_block(self, data, starts, lengths, width) -> tuple[np.ndarray, np.ndarray]:
+        """A cell holds a symbol and, above it, the rank of its merge with the next one, so the smallest cell of
+        a piece is its next merge, the leftmost of equal ones."""
         columns = np.arange(width)
         raw = data[np.minimum(starts[:, None] + columns, len(data) - 1)]
         symbols, rows = self.inner[raw], np.arange(len(starts))
         symbols[rows, lengths - 1] = self.last[raw[rows, lengths - 1]]
-        out, out_lengths, index = symbols.copy(), lengths.copy(), rows
+        out, out_lengths, index = symbols, lengths.copy(), rows
+        cells = symbols | _UNMERGED
         lengths = lengths.copy()
-        ranks = np.full(symbols.shape, _NONE, np.int32)
-        made = np.zeros(symbols.shape, np.int32)
 
-        def fill(r, c):
+        def rank(r, c):
+            """Fill in the merges of these cells with the cells behind them."""
             inside = (c >= 0) & (c + 1 < lengths[r])
-            ranks[r[~inside & (c >= 0)], c[~inside & (c >= 0)]] = _NONE
             r, c = r[inside], c[inside]
-            slot = self.find(symbols[r, c], symbols[r, c + 1])
-            ranks[r, c] = np.where(slot >= 0, self.ranks[slot], _NONE)
-            made[r, c] = self.made[slot]
-
-        fill(*np.nonzero(columns[None, :] + 1 < lengths[:, None]))
-        while len(index):
-            best = ranks.argmin(axis=1)
-            live = ranks[np.arange(len(best)), best] < _NONE
+            left = cells[r, c] & _SYMBOL
+            slot = self.find(left, cells[r, c + 1] & _SYMBOL)
+            cells[r, c] = np.where(slot >= 0, self.ranks[slot].astype(np.int64) << 20, _UNMERGED) | left
+
+        rank(*np.nonzero(columns[None, :] + 1 < lengths[:, None]))
+        while True:
+            rows = np.arange(len(index))
+            best = cells.argmin(axis=1)
+            least = cells[rows, best]
+            live = least < _UNMERGED
             if not live.all():
                 done = index[~live]
-                out[done], out_lengths[done] = symbols[~live], lengths[~live]
-                symbols, ranks, made = symbols[live], ranks[live], made[live]
-                lengths, index, best = lengths[live], index[live], best[live]
-            rows = np.arange(len(best))
-            symbols[rows, best] = made[rows, best]
+                out[done], out_lengths[done] = cells[~live] & _SYMBOL, lengths[~live]
+                cells, lengths, index, best, least = cells[live], lengths[live], index[live], best[live], least[live]
+                rows = np.arange(len(index))
+            if not len(index):
+                return out, out_lengths
+            # What stands behind the merged pair moves up; the cell before it may merge with the new one.
             take = np.minimum(columns[None, :] + (columns[None, :] > best[:, None]), width - 1)
-            symbols = np.take_along_axis(symbols, take, axis=1)
-            ranks, made = (np.take_along_axis(x, take, axis=1) for x in (ranks, made))
+            cells = np.take_along_axis(cells, take, axis=1)
             lengths = lengths - 1
-            fill(rows, best)
-            fill(rows, best - 1)
-        return out, out_lengths
+            cells[rows, best] = self.by_rank[least >> 20] | _UNMERGED
+            before = best - 1
+            some = before >= 0
+            cells[rows[some], before[some]] = (cells[rows[some], before[some]] & _SYMBOL) | _UNMERGED
+            rank(np.r_[rows, rows], np.r_[best, before])
 
     def encode_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of words without white space, exactly as the tokenizer has them in any text: all ids, and
