@@ -53,9 +53,9 @@ def test_leftover_tags_only_of_the_element(spark):
     assert got == ["A <i>b</i>", "<authors>x"]
 
 
-def test_child_names_without_inline_markup(spark):
+def test_children_without_what_they_hold(spark):
     xml = '<article key="k"><author>A</author><title>x <i>y<sub>2</sub></i></title><ee/></article>'
-    assert column(spark, [xml], lambda c: markup.child_names(c)) == [["author", "title", "ee"]]
+    assert column(spark, [xml, "<book/>", None], lambda c: markup.child_counts(c)) == [{"author": 1, "title": 1, "ee": 1}, {}, None]
 
 
 def test_attribute_of_the_last_element(spark):
