@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from colophon.operators import authors, components
-from colophon.plans import graph, ingest
+from colophon.plans import graph, ingest, lookup
 from colophon.session import close_scratch, get_session
 from colophon.sources import tables as table_io
 
@@ -78,16 +78,15 @@ def _run(args, spark, show) -> None:
             spark, args.csv, args.folder, multi_line=not args.single_line))
     elif args.command == "check":
         show(ingest.check(spark, args.folder))
-    elif args.command in ("author", "authors", "sample"):
-        tables = table_io.read_tables(spark, args.folder, ("person", "author", "publication"))
-        if args.command == "author":
-            show(authors.author_publications(args.name, **tables))
-        elif args.command == "authors":
-            names = table_io.read_names(spark, args.names)
-            show(authors.publications_of(names, **tables))
-        else:
-            show(authors.benchmark_authors(
-                tables["person"], tables["author"], args.top, args.random, args.seed))
+    elif args.command == "author":
+        show(authors.author_publications(args.name, **lookup.lookup_tables(spark, args.folder)))
+    elif args.command == "authors":
+        names = table_io.read_names(spark, args.names)
+        show(authors.publications_of(names, **lookup.lookup_tables(spark, args.folder)))
+    elif args.command == "sample":
+        tables = table_io.read_tables(spark, args.folder, ("person", "author"))
+        show(authors.benchmark_authors(
+            tables["person"], tables["author"], args.top, args.random, args.seed))
     elif args.command == "graph":
         graph.build_graph(spark, args.folder, args.threshold, args.buckets, args.table)
     elif args.command == "component":

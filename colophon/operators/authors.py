@@ -26,7 +26,8 @@ def author_keys(person: DataFrame, author: DataFrame, name: str) -> DataFrame:
 
 
 def publications_of(
-    names: DataFrame, person: DataFrame, author: DataFrame, publication: DataFrame
+    names: DataFrame, person: DataFrame, author: DataFrame, publication: DataFrame,
+    person_by_id: DataFrame | None = None, author_by_publication: DataFrame | None = None,
 ) -> DataFrame:
     """Publications of all requested names with their authors, in one plan.
 
@@ -34,15 +35,24 @@ def publications_of(
     it, the requested one included; a person without publications gives one row of nulls, a
     name without a person none.
 
-    Each step reduces the next big table to the keys that matter: by a broadcast filter during
-    its scan while the keys are few, else by a shuffle join.
+    Each step reduces the next big table to the keys that matter: by a list that the scan gets or a
+    broadcast filter during it while the keys are few, else by a shuffle join. ``person_by_id`` and
+    ``author_by_publication`` are copies of the tables in the order of that column, if there are any.
     """
     spark = names.sparkSession
     scratch = Scratch(spark, "publications")
     rows = author.select("person_id", "publication_key")
-    wanted = person.select("id", "full_name").join(
-        checked_broadcast(names), F.col("full_name") == F.col("requested_name")
-    ).select("requested_name", "id")
+    coauthor_rows = rows if author_by_publication is None else author_by_publication.select(*rows.columns)
+    people = person.select("id", "full_name")
+    listed_names = names.limit(LISTED_KEYS + 1).collect()
+    if len(listed_names) <= LISTED_KEYS:
+        wanted = people.where(F.col("full_name").isin(
+            [r["requested_name"] for r in listed_names if r["requested_name"] is not None]
+        )).select(F.col("full_name").alias("requested_name"), "id")
+    else:
+        wanted = people.join(
+            checked_broadcast(names), F.col("full_name") == F.col("requested_name")
+        ).select("requested_name", "id")
     # A short list goes through the driver, which saves a written table; its length is checked.
     few = wanted.limit(LISTED_KEYS + 1).collect()
     n_wanted = len(few)
@@ -61,10 +71,10 @@ def publications_of(
     found = prune_to(
         publication.select(*PUBLICATION_COLUMNS), keys, "key", "publication_key", rows=n_keys)
     ids = scratch.table(
-        prune_to(rows, keys, "publication_key", "publication_key", rows=n_keys),
+        prune_to(coauthor_rows, keys, "publication_key", "publication_key", rows=n_keys),
         "authorship")
-    people = prune_to(person.select("id", "full_name"), ids, "id", "person_id",
-                      rows=scratch.rows["authorship"])
+    by_id = people if person_by_id is None else person_by_id.select(*people.columns)
+    people = prune_to(by_id, ids, "id", "person_id", rows=scratch.rows["authorship"])
     named = ids.join(people, ids["person_id"] == people["id"], "left").select(
         F.col("publication_key").alias("named_key"), "full_name")
     columns = ["requested_name", "full_name", *PUBLICATION_COLUMNS]
@@ -80,11 +90,13 @@ def publications_of(
 
 
 def author_publications(
-    name: str, person: DataFrame, author: DataFrame, publication: DataFrame
+    name: str, person: DataFrame, author: DataFrame, publication: DataFrame,
+    person_by_id: DataFrame | None = None, author_by_publication: DataFrame | None = None,
 ) -> DataFrame:
     """Publications of one name with all their authors."""
     names = person.sparkSession.createDataFrame([(name,)], "requested_name string")
-    return publications_of(names, person, author, publication).drop("requested_name")
+    return publications_of(names, person, author, publication, person_by_id, author_by_publication).drop(
+        "requested_name")
 
 
 def author_pub_counts(person: DataFrame, author: DataFrame) -> DataFrame:

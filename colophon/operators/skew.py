@@ -84,5 +84,5 @@ def prune_to(
     wanted = keys.select(F.col(key).alias(big_key)).where(F.col(big_key).isNotNull())
     rows = wanted.count() if rows is None else rows
     if rows <= min(LISTED_KEYS, BROADCAST_ROWS):
-        return big.where(F.col(big_key).isin([r[0] for r in wanted.distinct().collect()]))
+        return big.where(F.col(big_key).isin(list({r[0] for r in wanted.collect()})))
     return big.join(checked_broadcast(wanted, rows), big_key, "left_semi")

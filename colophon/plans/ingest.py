@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from colophon.operators import checks, profile, shred
+from colophon.plans import lookup
 from colophon.schemas import TABLES
 from colophon.session import Scratch
 from colophon.sources import tables as table_io, xml
@@ -83,7 +84,8 @@ def publish(spark: SparkSession, folder: str, target: str | None = None,
 
     ``folder`` is where ``ingest`` or a CSV load put them. Raises with the broken rules if there are
     any of the given kinds, and changes nothing then. The tables replace those below ``target``, if
-    it is given, all at once, and are known to SQL: in ``database`` for every session, else in this one.
+    it is given, all at once and with the copies that author lookups read, and are known to SQL: in
+    ``database`` for every session, else in this one.
     A catalogue knows tables one by one, so there each table is complete, but only ``target`` changes as a whole.
     """
     broken = (
@@ -94,7 +96,8 @@ def publish(spark: SparkSession, folder: str, target: str | None = None,
     if broken:
         raise ValueError("; ".join(f"{r.kind} {r.rule}: {r.violations}" for r in broken))
     if target and target != folder:
-        home = table_io.publish_tables(spark, table_io.read_tables(spark, folder), target)
+        tables = table_io.read_tables(spark, folder)
+        home = table_io.publish_tables(spark, tables | lookup.copies(tables), target)
     else:
         home = table_io.current_folder(spark, folder)
     known = set(t.name for t in spark.catalog.listTables(database)) if database else set()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colophon.operators import authors as ops, stats
+from colophon.plans import lookup
 from colophon.session import Scratch
 from colophon.sources import tables as table_io
 from registry.common import (
@@ -25,19 +26,32 @@ def _(spark, sf):
     return ops.author_keys(person(spark, sf), author(spark, sf), NAME)
 
 
-@entry("author_publications", f"""
+_PUBLICATIONS = f"""
 with {PERSON}, {AUTHOR}, {PUBLICATION}
 select p.full_name, key, title, booktitle, journal, pages, year
 from person me left join author a on a.person_id = me.id
   left join publication on publication.key = a.publication_key
   left join author b on b.publication_key = publication.key
   left join person p on p.id = b.person_id
-where me.full_name = '{NAME}'""")
+where me.full_name = '{NAME}'"""
+
+
+@entry("author_publications", _PUBLICATIONS)
 def _(spark, sf):
     return ops.author_publications(
         NAME, person(spark, sf), author(spark, sf), publication(spark, sf))
 
 
+@entry("author_publications_of_copies", _PUBLICATIONS)
+def _(spark, sf):
+    # The tables are laid out in the orders of the lookup first, as publishing does.
+    tables = {"person": person(spark, sf), "author": author(spark, sf), "publication": publication(spark, sf)}
+    folder = Scratch(spark, "copies").path
+    lookup.write_copies(tables, folder)
+    return ops.author_publications(NAME, **lookup.lookup_tables(
+        spark, folder, {name: df.schema for name, df in tables.items()}))
+
+
 @entry("author_pub_counts", f"""
 with {PART_PERSON}, {PART_AUTHOR}
 select id, full_name, count(publication_key) as count_publications
