@@ -40,7 +40,8 @@ def _parser() -> argparse.ArgumentParser:
     command("graph", "build co-author graph, ranking and components", folder,
             ("--threshold", {"type": float, "action": "append", "default": []}),
             ("--buckets", {"type": int}), ("--table", {"help": "catalogue name of a bucketed graph"}))
-    command("component", "component of one author id", folder, ("id", {"type": int}), out)
+    command("component", "component of one author id", folder, ("id", {"type": int}),
+            ("--threshold", {"type": float, "help": "only edges above this weight count"}), out)
     command("export", "write property-graph files", folder, ("target", {}), out)
     return parser
 
@@ -89,6 +90,8 @@ def _run(args, spark, show) -> None:
             tables["person"], tables["author"], args.top, args.random, args.seed))
     elif args.command == "graph":
         graph.build_graph(spark, args.folder, args.threshold, args.buckets, args.table)
+    elif args.command == "component" and args.threshold is not None:
+        show(graph.component_above(spark, args.folder, args.id, args.threshold))
     elif args.command == "component":
         labels = spark.read.parquet(f"{args.folder}/components")
         show(components.labelled_component(labels, args.id))

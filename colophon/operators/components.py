@@ -73,7 +73,7 @@ def _choices(edges: DataFrame, scratch: Scratch, round_no: int) -> DataFrame:
         "id", F.col("best.id").alias("rep"))
 
 
-def _followed(choice: DataFrame, rows: int) -> DataFrame:
+def followed(choice: DataFrame, rows: int) -> DataFrame:
     """A small table of choices with the choice of the choice, twice: up to four steps at once.
 
     Any vertex of the component may stand for the others, so this only saves rounds.
@@ -98,7 +98,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             break
         name = f"choice{round_no}"
         choice = scratch.table(_choices(graph, scratch, round_no), name)
-        choice = _followed(choice, scratch.rows[name])
+        choice = followed(choice, scratch.rows[name])
         picked.append(choice)
         for end in ("u", "v"):
             new = choice.select(F.col("id").alias(end), F.col("rep").alias(f"new_{end}"))

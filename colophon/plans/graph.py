@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colophon.operators import coauthor, components, stats
+from colophon.operators import coauthor, components, forest, stats
 from colophon.session import Scratch
 from colophon.sources import graphfiles, tables as table_io
 
@@ -22,7 +22,8 @@ def save_coauthor_graph(graph: DataFrame, table: str, path: str, buckets: int) -
 def build_graph(spark: SparkSession, folder: str, thresholds: Sequence[float] = (),
                 buckets: int | None = None, table: str | None = None) -> None:
     """Write ``coauthor_graph``, ``top_authors``, ``components``, ``component_sizes``,
-    ``component_distribution`` and, for thresholds, ``components_above``.
+    ``component_distribution`` and, for thresholds, ``spanning_forest`` and ``components_above``. The
+    forest answers any other threshold later, without the graph.
 
     With ``buckets`` the graph is bucketed and the catalogue knows it as ``table``, a name that
     the caller chooses, so that the graphs of several folders do not replace each other.
@@ -49,7 +50,15 @@ def build_graph(spark: SparkSession, folder: str, thresholds: Sequence[float] =
     sizes = write(components.component_sizes(labels), "component_sizes")
     write(stats.size_distribution(sizes), "component_distribution")
     if thresholds:
-        write(components.components_above(graph, thresholds, person), "components_above")
+        kept = write(forest.spanning_forest(graph), "spanning_forest")
+        write(components.components_above(kept, thresholds, person), "components_above")
+
+
+def component_above(spark: SparkSession, folder: str, person_id: int, threshold: float) -> DataFrame:
+    """``id`` of every person connected with one by edges above a threshold, from the written forest;
+    nothing if no such edge is there."""
+    kept = spark.read.parquet(f"{folder}/spanning_forest")
+    return components.component_of(kept.where(coauthor.above(threshold)), person_id)
 
 
 def export(spark: SparkSession, folder: str, target: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from colophon.operators import coauthor, components as comp, paths
+from colophon.operators import coauthor, components as comp, forest, paths
 from colophon.operators import projections as proj, stats
 from colophon.session import Scratch
 from colophon.sources import graphfiles
@@ -274,6 +274,34 @@ def _(spark, sf):
     return comp.components_above(edges, _THRESHOLDS, part_person(spark, sf))
 
 
+_FIVE = [0.3, 0.4, 0.5, 0.6, 0.8]
+_FIVE_SQL = ", ".join(_above_sql(t, i) + f", {_labels_sql(f'e{i}', f'l{i}')}" for i, t in enumerate(_FIVE))
+
+
+def _forest(spark, sf):
+    graph = Scratch(spark, "graph").table(coauthor.coauthor_graph(part_author(spark, sf)), "edges")
+    return forest.spanning_forest(graph)
+
+
+@entry("forest_edges_above", f"""
+with recursive {PART_AUTHOR}, {_GRAPH}, {_FIVE_SQL}
+""" + " union all ".join(
+    f"select {t}::double as threshold, count(*) - count(distinct component) as n_edges from l{i}"
+    for i, t in enumerate(_FIVE)))
+def _(spark, sf):
+    return forest.forest_edges_above(_forest(spark, sf), _FIVE)
+
+
+@entry("components_of_forest", f"""
+with recursive {PART_AUTHOR}, {_GRAPH}, {_FIVE_SQL}
+""" + " union all ".join(
+    f"select {t}::double as threshold, p_partkey as id, coalesce(component, p_partkey) as "
+    f"component from part left join l{i} on l{i}.id = p_partkey"
+    for i, t in enumerate(_FIVE)))
+def _(spark, sf):
+    return comp.components_above(_forest(spark, sf), _FIVE, part_person(spark, sf))
+
+
 @entry("bipartite_components", f"""
 with recursive {PART_AUTHOR}, {_BIPARTITE.format('author')}, {_labels_sql('e', 'label')}
 select v.id, coalesce(component, v.id) as component
