@@ -178,14 +178,19 @@ def edge_other_end(graph: DataFrame, person_id: int) -> DataFrame:
         "pair_count", "pair_weight")
 
 
-def merge_edges(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """All existing edges and those new ones that are not there in this form: the same ends and
-    count, and the same weight at 9 decimals, as the order of a distributed sum is not fixed."""
-    columns = ["author1_id", "author2_id", "pair_count", "pair_weight"]
+EDGE_COLUMNS = ["author1_id", "author2_id", "pair_count", "pair_weight"]
+
 
+def missing_edges(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """The new edges that are not there in this form: the same ends and count, and the same weight at 9
+    decimals, as the order of a distributed sum is not fixed."""
     def keyed(edges):
-        return edges.select(*columns).withColumn("_weight", F.round("pair_weight", 9))
+        return edges.select(*EDGE_COLUMNS).withColumn("_weight", F.round("pair_weight", 9))
 
-    missing = keyed(new).join(keyed(existing), ["author1_id", "author2_id", "pair_count", "_weight"], "left_anti")
-    return existing.select(*columns).unionByName(missing.select(*columns))
+    return keyed(new).join(
+        keyed(existing), ["author1_id", "author2_id", "pair_count", "_weight"], "left_anti").select(*EDGE_COLUMNS)
 
+
+def merge_edges(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """All existing edges and the new ones that are missing. ``edge_store`` adds these to written edges."""
+    return existing.select(*EDGE_COLUMNS).unionByName(missing_edges(existing, new))

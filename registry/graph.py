@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from colophon.operators import coauthor, components as comp, forest, paths
+from colophon.operators import coauthor, components as comp, edge_store, forest, paths
 from colophon.operators import projections as proj, stats
 from colophon.session import Scratch
 from colophon.sources import graphfiles
@@ -122,7 +122,7 @@ def _(spark, sf):
     return _rounded(coauthor.edge_other_end(graph, 7), "pair_weight")
 
 
-@entry("merge_edges", f"""
+_MERGED = f"""
 with {PART_AUTHOR}, {_GRAPH}, early as (
   select author1_id, author2_id, pair_count, round(pair_weight, 9) as pair_weight
   from graph where pair_count > 1),
@@ -134,12 +134,29 @@ select * from fresh where not exists (
   select 1 from early where early.author1_id = fresh.author1_id
     and early.author2_id = fresh.author2_id and early.pair_count = fresh.pair_count
     and early.pair_weight = fresh.pair_weight))
-select author1_id, author2_id, pair_count, round(pair_weight, 6) as pair_weight from merged""")
-def _(spark, sf):
+select author1_id, author2_id, pair_count, round(pair_weight, 6) as pair_weight from merged"""
+
+
+def _early_and_fresh(spark, sf):
     graph = coauthor.coauthor_graph(part_author(spark, sf))
     fresh = graph.withColumn("pair_count", F.when(
         coauthor.above(0.5), F.col("pair_count") + 1).otherwise(F.col("pair_count")))
-    return _rounded(coauthor.merge_edges(graph.where("pair_count > 1"), fresh), "pair_weight")
+    return graph.where("pair_count > 1"), fresh
+
+
+@entry("merge_edges", _MERGED)
+def _(spark, sf):
+    early, fresh = _early_and_fresh(spark, sf)
+    return _rounded(coauthor.merge_edges(early, fresh), "pair_weight")
+
+
+@entry("merge_edge_store", _MERGED)
+def _(spark, sf):
+    early, fresh = _early_and_fresh(spark, sf)
+    store = Scratch(spark, "store").path + "/edges"
+    edge_store.write_store(early, store, 16)
+    edge_store.merge_into(store, fresh, 16)
+    return _rounded(edge_store.read_store(spark, store).drop("bucket"), "pair_weight")
 
 
 @entry("khop_paths", f"""
@@ -274,6 +291,16 @@ def _(spark, sf):
     return comp.components_above(edges, _THRESHOLDS, part_person(spark, sf))
 
 
+@entry("labels_after_merge", f"""
+with recursive {PART_AUTHOR}, {_GRAPH}, {_above_sql(0.4)}, {_labels_sql('e', 'label')}
+select id, component from label""")
+def _(spark, sf):
+    scratch = Scratch(spark, "merged")
+    edges = scratch.table(coauthor.edges_above(part_author(spark, sf), 0.4), "edges")
+    before = comp.connected_components(edges.where(coauthor.above(0.5)), "author1_id", "author2_id")
+    return edge_store.merged_labels(scratch.table(before, "labels"), edges.where(~coauthor.above(0.5)))
+
+
 _FIVE = [0.3, 0.4, 0.5, 0.6, 0.8]
 _FIVE_SQL = ", ".join(_above_sql(t, i) + f", {_labels_sql(f'e{i}', f'l{i}')}" for i, t in enumerate(_FIVE))
 
