@@ -159,7 +159,7 @@ def _(spark, sf):
     return _rounded(edge_store.read_store(spark, store).drop("bucket"), "pair_weight")
 
 
-@entry("khop_paths", f"""
+_PATHS = f"""
 with {PART_AUTHOR}, {_GRAPH}, e as (
   select author1_id as s, author2_id as d from graph
   union all select author2_id, author1_id from graph)
@@ -170,12 +170,32 @@ where a.s = 1 and b.d <> 1
 union all
 select c.d, 3, '1-' || a.d || '-' || b.d || '-' || c.d
 from e a join e b on b.s = a.d join e c on c.s = b.d
-where a.s = 1 and b.d <> 1 and c.d <> 1 and c.d <> a.d""")
+where a.s = 1 and b.d <> 1 and c.d <> 1 and c.d <> a.d"""
+
+
+def _written_graph(spark, sf):
+    return Scratch(spark, "graph").table(coauthor.coauthor_graph(part_author(spark, sf)), "edges")
+
+
+def _dashed(found):
+    return found.withColumn("path", F.concat_ws("-", F.transform("path", lambda v: v.cast("string"))))
+
+
+@entry("khop_paths", _PATHS)
+def _(spark, sf):
+    return _dashed(paths.khop_paths(_written_graph(spark, sf), 1, 3))
+
+
+@entry("khop_reach", f"select id, min(depth) as depth from ({_PATHS}) group by id")
+def _(spark, sf):
+    return paths.reach(paths.walk_layers(_written_graph(spark, sf), 1, 3), 1)
+
+
+@entry("khop_paths_to", f"select * from ({_PATHS}) where id in (2, 3, 5, 8)")
 def _(spark, sf):
-    edges = Scratch(spark, "graph").table(
-        coauthor.coauthor_graph(part_author(spark, sf)), "edges")
-    return paths.khop_paths(edges, 1, 3).withColumn(
-        "path", F.concat_ws("-", F.transform("path", lambda v: v.cast("string"))))
+    layers = paths.walk_layers(_written_graph(spark, sf), 1, 3)
+    ends = spark.createDataFrame([(2,), (3,), (5,), (8,)], "id long")
+    return _dashed(paths.paths_to(layers, ends, 1, 3))
 
 
 # --- projections -----------------------------------------------------------------------------

@@ -270,6 +270,26 @@ def test_paths(spark):
     assert found == [(1, 2), (1, 2, 3), (1, 2, 3, 4), (1, 3), (1, 3, 2), (1, 3, 4)]
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_paths_to_wanted_ends(spark, few, monkeypatch):
+    from colophon.operators import skew
+    if not few:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    pairs = sorted({tuple(sorted(p)) for p in random_edges(5, 12, 25) if p[0] != p[1]} | {(20, 21)})
+    edges = spark.createDataFrame(pairs, "author1_id long, author2_id long")
+    every = {tuple(r.path) for r in paths.khop_paths(edges, pairs[0][0], 4).collect()}
+    start = pairs[0][0]
+    layers = paths.walk_layers(edges, start, 4)
+    ends = spark.createDataFrame([(3,), (3,), (7,), (start,), (21,), (None,)], "id long")
+    got = [(r.id, r.depth, tuple(r.path)) for r in paths.paths_to(layers, ends, start, 4).collect()]
+    assert sorted(got) == sorted((p[-1], len(p) - 1, p) for p in every if p[-1] in (3, 7))
+    # The shortest walk to a vertex is a path.
+    assert {r.id: r.depth for r in paths.reach(layers, start).collect()} == {
+        v: min(len(p) - 1 for p in every if p[-1] == v) for v in {p[-1] for p in every}}
+    # Walks to one vertex share their links: a layer holds no more than both directions of the graph.
+    assert layers.groupBy("hop").count().agg({"count": "max"}).first()[0] <= 2 * len(pairs)
+
+
 def test_merge(spark):
     schema = "author1_id long, author2_id long, pair_count long, pair_weight double"
     old = spark.createDataFrame([(1, 2, 1, 0.5), (1, 3, 1, 0.5)], schema)
