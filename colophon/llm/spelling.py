@@ -219,6 +219,10 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in np.flatnonzero(~short).tolist():
                 near[k] = one_edit(words[i[k]].as_py(), words[j[k]].as_py())
             i, j, at = i[near], j[near], to
+            # A list has words of one length in the order in which they arrived, which another list need not
+            # have: a pair is told the same way round by all lists that find it.
+            turned = pc.greater(words.take(pa.array(i)), words.take(pa.array(j))).to_numpy(zero_copy_only=False)
+            i, j = np.where(turned, j, i), np.where(turned, i, j)
             yield pa.RecordBatch.from_arrays(
                 [words.take(pa.array(i)), pa.array(n[i]), words.take(pa.array(j)), pa.array(n[j])],
                 names=["word", "n", "near", "near_n"])

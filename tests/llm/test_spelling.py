@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from colophon.llm import spelling
@@ -87,6 +88,15 @@ def test_all_near_words_are_found(spark, limits):
     assert all(n == words[b] for _, b, n in found)
 
 
+def test_lists_in_any_order_tell_a_pair_once():
+    """Two lists that hold the same words, arrived in different orders, as from several executors."""
+    rows = [("a", False, "abcde", 4), ("a", False, "abcdf", 3), ("b", False, "abcdf", 3), ("b", False, "abcde", 4),
+            ("b", True, "abcdee", 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["key", "longer", "word", "n"])
+    told = [tuple(r.values()) for b in spelling._merged(iter([batch])) for r in b.to_pylist()]
+    assert set(told) == {("abcde", 4, "abcdf", 3), ("abcde", 4, "abcdee", 5)}
+
+
 @pytest.mark.parametrize("frequent", [set(), {"ab", "ba", "aba"}, {"".join(p) for q in range(2, 6) for p in itertools.product("ab", repeat=q)}])
 def test_an_edit_leaves_the_promised_grams(frequent):
     counts = {g: 5 for g in frequent}
