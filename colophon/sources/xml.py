@@ -54,15 +54,42 @@ def _state_after(line: str, state: int) -> int:
     return _settled(line, state)[1]
 
 
-def _cut_at_records(tags: Sequence[str], states: SplitStates):
+def _text_of(lines, begin: int, end: int) -> str:
+    """Some lines of an Arrow column as one text, joined without an object per line."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    some = lines.slice(begin, end - begin).cast(pa.large_string())
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), pa.scalar("\n", pa.large_string()))
+    return whole[0].as_py() + "\n"
+
+
+def _cut_at_records(tags: Sequence[str], states: SplitStates, ends: bool):
     """Task function: lines of one or more splits in, text pieces that begin at records out.
 
     Of every split, what precedes its first record start is its head, what follows its last
     record start its tail; all pieces between are whole records with the text up to the next.
+    With ``ends`` heads and tails come out, and what is between is not cut; else the others do. The place of
+    a piece is where it begins in what the split shows, from 1; that of a head is 0.
     A split goes on in the state in which the one before it ended.
     """
     starts_at = re.compile(r"<(?:" + "|".join(tags) + r")(?=[\s/>]|$)")
 
+    def starts_of(text: str, first: bool):
+        """Places of record starts; for the ends only the first, if it is the split's, and the last."""
+        if not ends:
+            yield from (match.start() for match in starts_at.finditer(text))
+            return
+        match = starts_at.search(text)
+        if match:
+            if first:
+                yield match.start()
+            last = text.rfind("<")
+            while not starts_at.match(text, last):
+                last = text.rfind("<", 0, last)
+            if not first or last > match.start():
+                yield last
+
     def cut(batches):
         import pyarrow as pa
 
@@ -73,27 +100,28 @@ def _cut_at_records(tags: Sequence[str], states: SplitStates):
             columns = list(zip(*out)) or [[]] * len(names)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        current, open_text, place, state = None, [], 0, _MARKUP
+        current, open_text, place, seen, state = None, [], 0, 0, _MARKUP
         for batch in batches:
             out = []
             files, splits = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            lines = batch.column(2).to_pylist()
             bounds = runs_of(files, splits)
             for begin, end in zip(bounds, bounds[1:]):
                 split = (int(files[begin]), int(splits[begin]))
                 if split != current:
-                    if current is not None:
+                    if ends and current is not None:
                         out.append((*current, place, _TAIL if place else _HEAD, "".join(open_text)))
-                    current, open_text, place, state = split, [], 0, states.at(*split)
-                shown, state = _settled("\n".join(lines[begin:end]) + "\n", state)
+                    current, open_text, place, seen, state = split, [], 0, 0, states.at(*split)
+                shown, state = _settled(_text_of(batch.column(2), begin, end), state)
                 text, done = "".join(shown), 0
-                for match in starts_at.finditer(text):
-                    open_text.append(text[done:match.start()])
-                    out.append((*current, place, _RECORD if place else _HEAD, "".join(open_text)))
-                    open_text, place, done = [], place + 1, match.start()
+                for start in starts_of(text, not place):
+                    if ends != bool(place):
+                        open_text.append(text[done:start])
+                        out.append((*current, place, _RECORD if place else _HEAD, "".join(open_text)))
+                    open_text, place, done = [], seen + start + 1, start
                 open_text.append(text[done:])
+                seen += len(text)
             yield rows(out)
-        if current is not None:
+        if ends and current is not None:
             yield rows([(*current, place, _TAIL if place else _HEAD, "".join(open_text))])
 
     return cut
@@ -121,24 +149,29 @@ def scan_chunks(
     The text in front of a file's first record is a row as well. Files are read in splits. Lines with
     marks of comments or character data are read first, for the state in which each split begins.
     Only the pieces at the ends of splits, which still have to be joined, are written to the shared
-    folder; all others go straight on to what reads them, so write the result if more than one
-    step does.
+    folder; all others go straight on to what reads them. Every step that reads the result cuts the dump
+    anew, by tasks as many as its splits: written, it is so much smaller that a few tasks would read it all.
     """
     lines = lines_of(spark, path)
     marked = reduce(lambda a, b: a | b, (F.contains("value", F.lit(mark)) for mark in _STATE_MARKS))
     states = split_states(lines.where(marked), _state_after, 3)
-    pieces = lines.mapInArrow(_cut_at_records(tags, states), _SCAN_SCHEMA)
-    ends = Scratch(spark, "xml").table(pieces.where(F.col("part") != _RECORD), "ends")
-    inner = pieces.where(F.col("part") == _RECORD).drop("part")
+    ends = Scratch(spark, "xml").table(lines.mapInArrow(_cut_at_records(tags, states, True), _SCAN_SCHEMA), "ends")
+    inner = lines.mapInArrow(_cut_at_records(tags, states, False), _SCAN_SCHEMA).drop("part")
     return in_file_order(inner.unionByName(joined_at_splits(ends, LONGEST_CHUNK)), path)
 
 
-def _record_of(body: Column, tags: Sequence[str]) -> Column:
+def _record_of(body: Column, tags: Sequence[str], tag: Column) -> Column:
     """The record at the start of a chunk, without the text behind it."""
     names = "|".join(tags)
     record = F.regexp_extract(body, rf"(?s)^<({names})\b(?:[^>]*/>|.*?</\1\s*>)", 0)
+    # What nearly all records are is found without the expression: the first end tag has no spaces, and
+    # the start tag is none of an empty element.
+    until_end = F.call_function("substring_index", body, F.concat(F.lit("</"), tag), F.lit(1))
+    end = F.concat(F.lit("</"), tag, F.lit(">"))
+    plain = ~F.substring_index(body, ">", 1).endswith("/") & F.startswith(
+        F.substr(body, F.length(until_end) + 1), end)
     # A record without an end tag is kept whole, so that parsing reports it.
-    return F.when(record != "", record).otherwise(F.rtrim(body))
+    return F.when(plain, F.concat(until_end, end)).when(record != "", record).otherwise(F.rtrim(body))
 
 
 def records_of(chunks: DataFrame, tags: Sequence[str] = RECORD_TAGS) -> DataFrame:
@@ -147,7 +180,8 @@ def records_of(chunks: DataFrame, tags: Sequence[str] = RECORD_TAGS) -> DataFram
     return (
         chunks.withColumn("tag", tag)
         .where("tag != ''")
-        .select(*(c for c in chunks.columns if c == "at"), "tag", _record_of(F.col("body"), tags).alias("xml"))
+        .select(*(c for c in chunks.columns if c == "at"), "tag",
+                _record_of(F.col("body"), tags, F.col("tag")).alias("xml"))
     )
 
 

@@ -218,9 +218,8 @@ def xml_dump(spark, sf_dir) -> str:
 
 
 def xml_chunks(spark, sf_dir) -> DataFrame:
-    return _once(spark, sf_dir, "chunks",
-                 lambda: Scratch(spark, "chunks").table(
-                     scan_chunks(spark, xml_dump(spark, sf_dir)), "chunks"))
+    """The cut dump. It is not written, as the copy's few compressed splits would be few long tasks."""
+    return _once(spark, sf_dir, "chunks", lambda: scan_chunks(spark, xml_dump(spark, sf_dir)))
 
 
 def xml_records(spark, sf_dir) -> DataFrame:

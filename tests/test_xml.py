@@ -114,6 +114,27 @@ def test_state_of_one_file_does_not_reach_the_next(spark, tmp_path):
         assert [r["_key"] for r in sorted(found, key=lambda r: tuple(r["at"]))] == ["a", "b", "c"]
 
 
+def test_records_end_where_their_first_end_tag_does(spark):
+    bodies = {'<book key="a"/>\n<thing></book></thing>': '<book key="a"/>', '<book key="b"><title>x</title></book>\nrest</book>':
+              '<book key="b"><title>x</title></book>', '<book key="c">x</book\n >\n</book>': '<book key="c">x</book\n >',
+              '<book key="d">x</books></book>y': '<book key="d">x</books></book>', '<book key="e"><note/>x': '<book key="e"><note/>x',
+              '<www key="é"><note>ü😀</note></www> z': '<www key="é"><note>ü😀</note></www>'}
+    found = xml.records_of(spark.createDataFrame([(b,) for b in bodies], "body string"))
+    assert sorted(r["xml"] for r in found.collect()) == sorted(bodies.values())
+
+
+def test_each_split_is_a_task_of_whoever_reads_the_cut_dump(spark, tmp_path):
+    """A written copy is compressed, so that a few long tasks would read it all."""
+    from registry import common
+    common._staged[(spark.sparkContext.applicationId, "here", "dump")] = str(tmp_path / "d")
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.xml").write_text("".join(
+        f'<article key="k{i}"><author>A</author><title>title {i}</title></article>\n' for i in range(5000)))
+    found, tasks = in_splits_of(spark, 20_000, lambda: (
+        common.xml_records(spark, "here").count(), common.xml_chunks(spark, "here").rdd.getNumPartitions()))
+    assert found == 5000 and tasks >= 15
+
+
 def test_children_are_counted_by_depth(spark):
     records = spark.createDataFrame([
         ("article", '<article key="a>b"><cite><ref/><cite>x</cite></cite><i>x</i><title a="/>">H<sub>2<sub/></sub></title><ee/></article>'),
