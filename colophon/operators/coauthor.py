@@ -14,6 +14,8 @@ from colophon.session import Scratch
 
 # Author lists longer than this are paired in blocks of this size.
 BLOCK = 1_000
+# So many authorships are paired by one task, whose edges are counted in its memory.
+PAIRED_ROWS = 400_000
 
 
 def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -25,7 +27,14 @@ def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _paired(sized: DataFrame) -> DataFrame:
-    """Pairs of each publication with a short list of authors. Long lists are on neither side."""
+    """Pairs of each publication with a short list of authors. Long lists are on neither side.
+
+    The number of tasks follows the number of rows, as partitions of a size in bytes would be joined to few
+    of which each forms too many pairs.
+    """
+    tasks = sized.count() // PAIRED_ROWS + 1
+    if tasks > 1:
+        sized = sized.repartition(tasks, "publication_key")
     return _meet(sized, sized, ["publication_key"])
 
 

@@ -347,3 +347,16 @@ def test_bucketed_graph_needs_no_shuffle(spark, author, tmp_path):
         assert degree.count() == 6
     finally:
         spark.sql("drop table graph_in_buckets")
+
+
+def test_tasks_that_pair_authors_grow_with_the_rows(spark, monkeypatch):
+    author = spark.createDataFrame([(i % 7, i // 4) for i in range(400)], "person_id long, publication_key long").distinct()
+
+    def edges():
+        return sorted((r[0], r[1], r[2], round(r[3], 9)) for r in coauthor.coauthor_graph(author).collect())
+
+    whole = edges()
+    monkeypatch.setattr(coauthor, "PAIRED_ROWS", 30)
+    assert edges() == whole
+    plan = coauthor.coauthor_graph(author)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(publication_key#" in plan and ", 14), REPARTITION_BY_NUM" in plan
