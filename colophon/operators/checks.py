@@ -61,16 +61,25 @@ def unique_violations(df: DataFrame, columns: Sequence[str], covered: str | None
 
 
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
-    """Foreign key values without a parent row, with the number of rows that hold them.
+    """Foreign key values without a parent row, with the number of rows that hold them."""
+    found = _unmatched([child.select(F.col(foreign_key).alias("value"))], parent.select(F.col(key).alias("value")))
+    return found.select(F.col("value").cast(child.schema[foreign_key].dataType), F.col("n0").alias("rows"))
 
-    The values are counted first, so the anti-join sees each of them once.
+
+def _unmatched(children: Sequence[DataFrame], parent: DataFrame) -> DataFrame:
+    """``value, n0, n1, ...``: values of the children that the parent lacks, with the rows of each child.
+
+    Rows of all sides are counted by value in one aggregate, so nothing is sorted or broadcast, a value that many
+    rows hold is no single task's work, and a parent that repeats its values is reduced before it is moved.
     """
-    values = (
-        child.where(F.col(foreign_key).isNotNull())
-        .groupBy(F.col(foreign_key).alias("value"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    return values.join(parent.select(F.col(key).alias("value")), "value", "left_anti")
+    every = _union(
+        side.where("value is not null").select("value", *[F.lit(int(i == own)).cast("long").alias(f"n{i}")
+                                                          for i in range(len(children))],
+                                               F.lit(int(own < 0)).alias("known"))
+        for own, side in [*enumerate(children), (-1, parent)])
+    return every.groupBy("value").agg(
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(children))], F.max("known").alias("known")
+    ).where("known = 0").drop("known")
 
 
 def all_orphans(tables: Tables, foreign_keys=schemas.FOREIGN_KEYS) -> DataFrame:
@@ -82,14 +91,12 @@ def all_orphans(tables: Tables, foreign_keys=schemas.FOREIGN_KEYS) -> DataFrame:
             by_parent.setdefault((parent, key), []).append((child, column))
 
     def check(parent, key, children):
-        values = _union(
-            tables[child].where(F.col(column).isNotNull())
-            .groupBy(F.col(column).cast("string").alias("value"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(f"{child}.{column} -> {parent}.{key}").alias("reference"), "value", "rows")
-            for child, column in children)
-        known = tables[parent].select(F.col(key).cast("string").alias("value"))
-        return values.join(known, "value", "left_anti").select("reference", "value", "rows")
+        found = _unmatched([tables[child].select(F.col(column).cast("string").alias("value"))
+                            for child, column in children],
+                           tables[parent].select(F.col(key).cast("string").alias("value")))
+        counts = F.array(*[F.struct(F.lit(f"{child}.{column} -> {parent}.{key}").alias("reference"), "value",
+                                    F.col(f"n{i}").alias("rows")) for i, (child, column) in enumerate(children)])
+        return found.select(F.inline(counts)).where("rows > 0")
 
     return _union(check(*parent, children) for parent, children in by_parent.items())
 

@@ -62,3 +62,21 @@ def test_attribute_of_the_last_element(spark):
     xml = '<a><title bibtex="one">x</title><title label="l" bibtex="two">y</title></a>'
     assert column(spark, [xml, "<a><title>x</title></a>"],
                   lambda c: markup.attribute(c, "title", "bibtex")) == ["two", None]
+
+
+def test_orphans_need_no_join(spark):
+    from colophon.operators import checks
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,), (9,), (9,), (9,)], "fk int")
+    other = spark.createDataFrame([("9",), ("x",), ("1",)], "k string")
+    parent = spark.createDataFrame([(1,), (1,), (3,), (None,)], "id long")
+    found = checks.orphans(child, "fk", parent, "id")
+    assert found.dtypes == [("value", "int"), ("rows", "bigint")]
+    assert sorted(map(tuple, found.collect())) == [(2, 2), (9, 3)]
+    every = checks.all_orphans({"child": child, "other": other, "parent": parent},
+                               [("child", "fk", "parent", "id"), ("other", "k", "parent", "id")])
+    assert sorted(map(tuple, every.collect())) == [
+        ("child.fk -> parent.id", "2", 2), ("child.fk -> parent.id", "9", 3),
+        ("other.k -> parent.id", "9", 1), ("other.k -> parent.id", "x", 1)]
+    for df in (found, every):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Sort" not in plan and "SortAggregate" not in plan
