@@ -132,7 +132,7 @@ def with_publication_count(rows: DataFrame) -> DataFrame:
     lookup, so a publication that holds a large share of all rows is no single task's work."""
     scratch = Scratch(rows.sparkSession, "sizes")
     counts = scratch.table(authors_per_publication(rows), "counts")
-    return lookup_join(rows, counts, "publication_key", lookup_rows=scratch.rows["counts"])
+    return lookup_join(rows, counts, "publication_key", lookup_rows=scratch.rows["counts"], counted="n_authors")
 
 
 def publication_weight(author: DataFrame) -> DataFrame:

@@ -54,6 +54,11 @@ def _sized(rows: DataFrame) -> DataFrame:
     return with_publication_count(rows).where("n_authors > 1")
 
 
+def _held(sized: DataFrame) -> DataFrame:
+    """Sized authorships as a written table, as they are counted, cut by size and paired from there."""
+    return Scratch(sized.sparkSession, "authorships").table(sized, "sized")
+
+
 def _edges(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("author1_id", "author2_id").agg(
         F.count("publication_key").alias("pair_count"),
@@ -67,8 +72,7 @@ def coauthor_pairs(author: DataFrame, block: int = BLOCK) -> DataFrame:
     are paired by many tasks. Pairs are only formed where they are the result; rankings and
     components of all authors have forms without them.
     """
-    rows = authorship(author)
-    sized = _sized(rows)
+    sized = _held(_sized(authorship(author)))
     return _paired(sized.where(F.col("n_authors") <= block)).unionByName(
         _paired_in_blocks(sized.where(F.col("n_authors") > block), "n_authors", block))
 
@@ -87,8 +91,7 @@ def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> Data
     whoever only has long lists in common with others has a tiny total. The edges of the rest
     are complete.
     """
-    rows = authorship(author)
-    sized = _sized(rows)
+    sized = _held(_sized(authorship(author)))
     short = sized.where(F.col("n_authors") <= block)
     long = sized.where(F.col("n_authors") > block)
     total = sized.groupBy("person_id").agg(F.sum(F.lit(1.0) / F.col("n_authors")).alias("total"))

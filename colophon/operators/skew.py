@@ -16,6 +16,15 @@ LISTED_KEYS = 200
 HOT_SHARE = 1e-4
 # A key with fewer rows than this is never hot; it keeps the list of candidates short.
 HOT_ROWS = 100
+# So many narrow rows are held by the hash table of one task.
+TASK_ROWS = 400_000
+
+
+def distinct_in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """The distinct ones of so many narrow rows. The number of tasks follows the rows, as partitions of a size in
+    bytes would be joined to few of which each holds millions. Few rows are left to the planner."""
+    tasks = rows // TASK_ROWS + 1
+    return (df.repartition(tasks, *df.columns) if tasks > 1 else df).distinct()
 
 
 def is_small(df: DataFrame, rows: int | None = None) -> bool:
@@ -45,6 +54,7 @@ def lookup_join(
     on: str,
     hot_share: float = HOT_SHARE,
     lookup_rows: int | None = None,
+    counted: str | None = None,
 ) -> DataFrame:
     """``fact`` left join ``lookup`` on a key that is unique in ``lookup``.
 
@@ -52,12 +62,16 @@ def lookup_join(
     fact rows (at most ``1 / hot_share`` keys, whatever the data, and whether the lookup has them
     or not) are looked up by broadcast, null keys are not looked up at all, and only the other
     rows go through a shuffle join, so no task gets a hot key's rows. ``lookup`` should be a
-    written table; ``fact`` is read three times.
+    written table; ``fact`` is read three times, or twice if ``counted`` names a column of ``lookup`` that
+    holds the number of fact rows of each key.
     """
     if is_small(lookup, lookup_rows):
         return fact.join(F.broadcast(lookup), on, "left")
     rows = Observation()
-    counts = fact.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    if counted is None:
+        counts = fact.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        counts = lookup.select(on, F.col(counted).alias("_n"))
     often = Scratch(fact.sparkSession, "hot").table(
         counts.observe(rows, F.sum("_n").alias("total")).where(F.col("_n") >= HOT_ROWS), "keys")
     total = rows.get["total"] or 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from colophon.operators.skew import distinct_in_tasks
 from colophon.session import Scratch
 from colophon.sources.xml import good_records, parse_records, scan_chunks, records_of
 
@@ -33,9 +34,9 @@ def person(spark, sf_dir) -> DataFrame:
 
 def author(spark, sf_dir) -> DataFrame:
     """Suppliers as authors of orders."""
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("person_id"), F.col("l_orderkey").alias("publication_key")
-    ).distinct()
+    rows = load(spark, sf_dir, "lineitem")
+    return distinct_in_tasks(rows.select(
+        F.col("l_suppkey").alias("person_id"), F.col("l_orderkey").alias("publication_key")), rows.count())
 
 
 def part_person(spark, sf_dir) -> DataFrame:
@@ -46,9 +47,9 @@ def part_person(spark, sf_dir) -> DataFrame:
 
 def part_author(spark, sf_dir) -> DataFrame:
     """Parts as authors of orders."""
-    return load(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("person_id"), F.col("l_orderkey").alias("publication_key")
-    ).distinct()
+    rows = load(spark, sf_dir, "lineitem")
+    return distinct_in_tasks(rows.select(
+        F.col("l_partkey").alias("person_id"), F.col("l_orderkey").alias("publication_key")), rows.count())
 
 
 def publication(spark, sf_dir) -> DataFrame:

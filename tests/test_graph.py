@@ -360,3 +360,21 @@ def test_tasks_that_pair_authors_grow_with_the_rows(spark, monkeypatch):
     assert edges() == whole
     plan = coauthor.coauthor_graph(author)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(publication_key#" in plan and ", 14), REPARTITION_BY_NUM" in plan
+
+
+def test_distinct_authorships_are_found_in_tasks_that_follow_the_rows(spark, monkeypatch):
+    from colophon.operators import skew
+    monkeypatch.setattr(skew, "TASK_ROWS", 30)
+    rows = spark.createDataFrame([(i % 7, i // 4) for i in range(400)] * 2, "person_id long, publication_key long")
+    found = skew.distinct_in_tasks(rows, 800)
+    assert sorted(map(tuple, found.collect())) == sorted({(i % 7, i // 4) for i in range(400)})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(person_id#" in plan and ", 27), REPARTITION_BY_NUM" in plan
+    assert "ENSURE_REQUIREMENTS" not in plan
+    monkeypatch.setattr(skew, "TASK_ROWS", 10**6)
+    assert "REPARTITION" not in skew.distinct_in_tasks(rows, 800)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_authorships_are_made_once_for_all_that_pairs_them(spark, author, shuffles_only):
+    plan = coauthor.coauthor_pairs(author.distinct())._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("LeftOuter") == 0
