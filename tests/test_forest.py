@@ -94,3 +94,23 @@ def test_written_forest_answers_other_thresholds(spark, tmp_path):
     assert reached(3, 0.3) == [1, 2, 3, 4]
     assert reached(3, 0.1) == [1, 2, 3, 4, 5, 6, 7]
     assert reached(3, 0.4) == [] and reached(1, 0.4) == [1, 2] and reached(9, 0.0) == []
+
+
+@pytest.mark.parametrize("big", [False, True])
+def test_heaviest_edges_come_first_in_dense_graphs(spark, monkeypatch, big):
+    from colophon.operators import skew
+    if big:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    # Two parts, which only light edges connect, and vertices that only have light edges.
+    edges = random_edges(5, 60, 1200, [i / 10 for i in range(3, 40)])
+    edges += [(100 + u, 100 + v, w) for u, v, w in random_edges(6, 40, 800, [0.5, 1.5, 2.5])]
+    edges += [(3, 104, 0.01), (5, 105, 0.02), (200, 201, 0.05), (201, 7, 0.04), (202, 203, 0.1), (4, 4, 9.0)]
+    carried, plain = [], forest._heaviest
+
+    def counted(rows):
+        carried.append(rows.count())
+        return plain(rows)
+
+    monkeypatch.setattr(forest, "_heaviest", counted)
+    assert forest_of(spark, edges) == kruskal(edges)
+    assert carried[0] < 1200 and all(n < 100 for n in carried[-2:])
