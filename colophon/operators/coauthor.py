@@ -9,13 +9,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from colophon.operators.authors import authorship, top, with_publication_count
-from colophon.operators.skew import checked_broadcast, prune_to
+from colophon.operators.skew import checked_broadcast, in_tasks, prune_to
 from colophon.session import Scratch
 
 # Author lists longer than this are paired in blocks of this size.
 BLOCK = 1_000
-# So many authorships are paired by one task, whose edges are counted in its memory.
+# So many authorships are paired by one task, unless they form more than four times as many pairs.
 PAIRED_ROWS = 400_000
+# So many pairs are added up to edges by one task, which holds the edges in its memory.
+ADDED_PAIRS = 400_000
+
+
+def _n_pairs(sized: DataFrame, list_size: str) -> tuple[int, int]:
+    """How many authorships there are, and how many pairs they form."""
+    found = sized.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(list_size) - 1).alias("others")).first()
+    return found["rows"], (found["others"] or 0) // 2
+
+
+def _pairing_tasks(rows: int, pairs: int) -> int:
+    """The number of tasks follows the rows and pairs, as partitions of a size in bytes would be joined to few
+    of which each forms too many pairs."""
+    return max(rows, pairs // 4) // PAIRED_ROWS + 1
 
 
 def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -26,19 +40,13 @@ def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         (F.lit(1.0) / F.col("n_authors")).alias("publ_weight"))
 
 
-def _paired(sized: DataFrame) -> DataFrame:
-    """Pairs of each publication with a short list of authors. Long lists are on neither side.
-
-    The number of tasks follows the number of rows, as partitions of a size in bytes would be joined to few
-    of which each forms too many pairs.
-    """
-    tasks = sized.count() // PAIRED_ROWS + 1
-    if tasks > 1:
-        sized = sized.repartition(tasks, "publication_key")
+def _paired(sized: DataFrame, tasks: int) -> DataFrame:
+    """Pairs of each publication with a short list of authors. Long lists are on neither side."""
+    sized = in_tasks(sized, tasks, "publication_key")
     return _meet(sized, sized, ["publication_key"])
 
 
-def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame:
+def _paired_in_blocks(sized: DataFrame, list_size: str, block: int, tasks: int) -> DataFrame:
     """Pairs of publications with long author lists: each list is cut into blocks that meet the
     whole list, so that many tasks share one list."""
     cut = sized.withColumn("blocks", F.ceil(F.col(list_size) / F.lit(block)).cast("int"))
@@ -46,7 +54,8 @@ def _paired_in_blocks(sized: DataFrame, list_size: str, block: int) -> DataFrame
         "block", F.pmod(F.xxhash64("person_id"), F.col("blocks")).cast("int"))
     whole = cut.withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return _meet(part, whole, ["publication_key", "block"])
+    on = ["publication_key", "block"]
+    return _meet(in_tasks(part, tasks, *on), in_tasks(whole, tasks, *on), on)
 
 
 def _sized(rows: DataFrame) -> DataFrame:
@@ -59,9 +68,28 @@ def _held(sized: DataFrame) -> DataFrame:
     return Scratch(sized.sparkSession, "authorships").table(sized, "sized")
 
 
-def _edges(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("author1_id", "author2_id").agg(
-        F.count("publication_key").alias("pair_count"),
+def _pairs(short: DataFrame, long: DataFrame, list_size: str, block: int) -> tuple[DataFrame, int]:
+    """Pairs of short and long lists of authors, and how many there are."""
+    counts = _n_pairs(short, "n_authors"), _n_pairs(long, list_size)
+    pairs = _paired(short, _pairing_tasks(*counts[0])).unionByName(
+        _paired_in_blocks(long, list_size, block, _pairing_tasks(*counts[1])))
+    return pairs, sum(n for _, n in counts)
+
+
+def _all_pairs(sized: DataFrame, block: int) -> tuple[DataFrame, int]:
+    return _pairs(sized.where(F.col("n_authors") <= block), sized.where(F.col("n_authors") > block), "n_authors", block)
+
+
+def _edges(pairs: DataFrame, n_pairs: int, sized: DataFrame) -> DataFrame:
+    """So many pairs of sized authorships added up, in tasks that follow the pairs. Only where any two authors have
+    four pairs in common or more, that is left to the planner, whose tasks add up before the shuffle as well; else
+    they would just hold about all pairs once more."""
+    tasks = n_pairs // ADDED_PAIRS + 1
+    if tasks > 1 and n_pairs >= 2 * sized.agg(F.approx_count_distinct("person_id")).first()[0] ** 2:
+        tasks = 1
+    ends = ["author1_id", "author2_id"]
+    return in_tasks(pairs.select(*ends, "publ_weight"), tasks, *ends).groupBy(*ends).agg(
+        F.count(F.lit(1)).alias("pair_count"),
         F.sum("publ_weight").alias("pair_weight"))
 
 
@@ -72,15 +100,14 @@ def coauthor_pairs(author: DataFrame, block: int = BLOCK) -> DataFrame:
     are paired by many tasks. Pairs are only formed where they are the result; rankings and
     components of all authors have forms without them.
     """
-    sized = _held(_sized(authorship(author)))
-    return _paired(sized.where(F.col("n_authors") <= block)).unionByName(
-        _paired_in_blocks(sized.where(F.col("n_authors") > block), "n_authors", block))
+    return _all_pairs(_held(_sized(authorship(author))), block)[0]
 
 
 def coauthor_graph(author: DataFrame, block: int = BLOCK) -> DataFrame:
     """Each undirected edge once, with the number of common publications and the sum of their
     weights."""
-    return _edges(coauthor_pairs(author, block))
+    sized = _held(_sized(authorship(author)))
+    return _edges(*_all_pairs(sized, block), sized)
 
 
 def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -99,10 +126,9 @@ def edges_above(author: DataFrame, threshold: float, block: int = BLOCK) -> Data
     able = total.where(F.col("total") > F.lit(threshold) - 1e-6).select("person_id")
     kept = long.join(able, "person_id", "left_semi")
     # How many of a list remain; the weight goes on counting the whole list.
-    kept = with_publication_count(kept.withColumnRenamed("n_authors", "listed")).where(
-        "n_authors > 1").withColumnsRenamed({"n_authors": "remaining", "listed": "n_authors"})
-    pairs = _paired(short).unionByName(_paired_in_blocks(kept, "remaining", block))
-    return _edges(pairs).where(above(threshold))
+    kept = _held(with_publication_count(kept.withColumnRenamed("n_authors", "listed")).where(
+        "n_authors > 1").withColumnsRenamed({"n_authors": "remaining", "listed": "n_authors"}))
+    return _edges(*_pairs(short, kept, "remaining", block), sized).where(above(threshold))
 
 
 def above(threshold: float, weight: str = "pair_weight") -> Column:

@@ -23,8 +23,12 @@ TASK_ROWS = 400_000
 def distinct_in_tasks(df: DataFrame, rows: int) -> DataFrame:
     """The distinct ones of so many narrow rows. The number of tasks follows the rows, as partitions of a size in
     bytes would be joined to few of which each holds millions. Few rows are left to the planner."""
-    tasks = rows // TASK_ROWS + 1
-    return (df.repartition(tasks, *df.columns) if tasks > 1 else df).distinct()
+    return in_tasks(df, rows // TASK_ROWS + 1, *df.columns).distinct()
+
+
+def in_tasks(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` dealt by the keys over that many tasks, whatever its bytes; one task is left to the planner."""
+    return df.repartition(tasks, *keys) if tasks > 1 else df
 
 
 def is_small(df: DataFrame, rows: int | None = None) -> bool:
@@ -63,7 +67,8 @@ def lookup_join(
     or not) are looked up by broadcast, null keys are not looked up at all, and only the other
     rows go through a shuffle join, so no task gets a hot key's rows. ``lookup`` should be a
     written table; ``fact`` is read three times, or twice if ``counted`` names a column of ``lookup`` that
-    holds the number of fact rows of each key.
+    holds the number of fact rows of each key. Then both should be narrow, and the number of tasks follows
+    the rows, as each task sorts its own.
     """
     if is_small(lookup, lookup_rows):
         return fact.join(F.broadcast(lookup), on, "left")
@@ -82,7 +87,9 @@ def lookup_join(
     apart = F.col("_hot_key").isNotNull() | F.col(on).isNull()
     hot_rows = lookup.join(hot, F.col(on) == F.col("_hot_key"), "left_semi")
     resolved = marked.where(apart).drop("_hot_key").join(F.broadcast(hot_rows), on, "left")
-    rest = marked.where(~apart).drop("_hot_key").join(lookup, on, "left")
+    # A lookup that counts the rows has no more of its own.
+    tasks = 1 if counted is None else total // TASK_ROWS + 1
+    rest = in_tasks(marked.where(~apart).drop("_hot_key"), tasks, on).join(in_tasks(lookup, tasks, on), on, "left")
     return resolved.select(*columns).unionByName(rest.select(*columns))
 
 

@@ -378,3 +378,51 @@ def test_distinct_authorships_are_found_in_tasks_that_follow_the_rows(spark, mon
 def test_authorships_are_made_once_for_all_that_pairs_them(spark, author, shuffles_only):
     plan = coauthor.coauthor_pairs(author.distinct())._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan and plan.count("LeftOuter") == 0
+
+
+def test_tasks_that_add_up_pairs_grow_with_the_pairs(spark, monkeypatch):
+    # 100 publications of 4 of 40 authors, 600 pairs.
+    author = spark.createDataFrame([((i * 7 + i // 40) % 40, i // 4) for i in range(400)], "person_id long, publication_key long")
+    assert author.distinct().count() == 400
+
+    def planned():
+        graph = coauthor.coauthor_graph(author)
+        return (sorted((r[0], r[1], r[2], round(r[3], 9)) for r in graph.collect()),
+                graph._jdf.queryExecution().executedPlan().toString())
+
+    whole, plan = planned()
+    assert "author2_id#" in plan and "REPARTITION_BY_NUM" not in plan
+    monkeypatch.setattr(coauthor, "ADDED_PAIRS", 50)
+    found, plan = planned()
+    assert found == whole and sum(r[2] for r in found) == 600
+    to_edges = [line for line in plan.splitlines() if "Exchange hashpartitioning(author1_id#" in line]
+    assert to_edges and all(", 13), REPARTITION_BY_NUM" in line for line in to_edges)
+    # Five authors have each pair many times, which tasks add up before the shuffle.
+    author = author.select((F.col("publication_key") + F.col("person_id")).alias("person_id") % 5, "publication_key").toDF(
+        "person_id", "publication_key").distinct()
+    assert "REPARTITION_BY_NUM" not in planned()[1]
+
+
+def test_tasks_that_look_up_sizes_grow_with_the_rows(spark, shuffles_only, monkeypatch):
+    from colophon.operators import authors, skew
+    rows = spark.createDataFrame([(i, i // 4) for i in range(400)] + [(i, 7) for i in range(1000, 1300)],
+                                 "person_id long, publication_key long")
+    whole = sorted(map(tuple, authors.with_publication_count(rows).collect()))
+    monkeypatch.setattr(skew, "TASK_ROWS", 30)
+    found = authors.with_publication_count(rows)
+    assert sorted(map(tuple, found.collect())) == whole and (1000, 304) in {(r.person_id, r.n_authors) for r in found.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 24), REPARTITION_BY_NUM") >= 2 and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_long_lists_are_paired_in_tasks_that_follow_the_pairs(spark, monkeypatch):
+    rows = [(i, "a") for i in range(60)] + [(i, "b") for i in range(40, 70)] + [(1, "c"), (2, "c")]
+    author = spark.createDataFrame(rows, "person_id long, publication_key string")
+    whole = sorted((r[0], r[1], r[2], round(r[3], 9)) for r in coauthor.coauthor_graph(author).collect())
+    monkeypatch.setattr(coauthor, "PAIRED_ROWS", 30)
+    monkeypatch.setattr(coauthor, "ADDED_PAIRS", 50)
+    for made in (coauthor.coauthor_graph(author, 10), coauthor.edges_above(author, 0.0, 10)):
+        assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in made.collect()) == whole
+        # 60 * 59 / 2 + 30 * 29 / 2 = 2205 pairs, a quarter of them in parts of 30.
+        assert "hashpartitioning(publication_key#" in (plan := made._jdf.queryExecution().executedPlan().toString())
+        assert ", 19), REPARTITION_BY_NUM" in plan
